@@ -1,0 +1,147 @@
+"""A versioned Parquet table, hash-bucketed on its key, that changes bucket by bucket.
+
+Plain Parquet has no MERGE. Each commit writes new folders for the buckets it changed, then appends
+one small file to the commit log; until that file appears nobody sees the new folders. Untouched
+buckets stay where they are. One writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.sizing import fits_broadcast
+
+_LOG = "version BIGINT, bucket INT, folder STRING, schema STRING, writer STRING, batch BIGINT"
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name in the cluster's shared checkpoint folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        import tempfile
+
+        shared = tempfile.mkdtemp(prefix="funnelwise-")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a result that several plans use to the shared folder and read it back.
+
+    Cuts the lineage, survives lost executors, and gives the optimizer a true size.
+    """
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+class BucketStore:
+    """`buckets` should exceed the keys changed per commit, so that most of them stay untouched."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 64):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def _bucket(self, key) -> F.Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def _commits(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(_LOG).json(f"{self.path}/log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _LOG)
+
+    def _current(self, buckets: list[int] | None = None) -> list:
+        """Latest folder of each bucket: at most one small row per bucket."""
+        log = self._commits().filter(F.col("bucket").isNotNull())
+        if buckets is not None:
+            log = log.filter(F.col("bucket").isin(buckets))
+        return log.groupBy("bucket").agg(F.max_by("folder", "version").alias("folder")).collect()
+
+    def version(self) -> int:
+        return self._commits().agg(F.max("version")).first()[0] or 0
+
+    def last_batch(self, writer: str) -> int | None:
+        """Last batch number a writer committed."""
+        return self._commits().filter(F.col("writer") == writer).agg(F.max("batch")).first()[0]
+
+    def schema(self) -> T.StructType | None:
+        newest = self._commits().agg(F.max_by("schema", "version")).first()[0]
+        return None if newest is None else T.StructType.fromJson(json.loads(newest))
+
+    def _read(self, folders: list[str], schema: T.StructType) -> DataFrame:
+        full = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+        if not folders:
+            return self.spark.createDataFrame([], full)
+        reader = self.spark.read.schema(full).option("basePath", f"{self.path}/data")
+        return reader.parquet(*folders).select(*full.fieldNames())
+
+    def table(self) -> DataFrame:
+        """The current table, with its `bucket` as partition column for pruning."""
+        schema = self.schema()
+        if schema is None:
+            raise ValueError(f"nothing was committed to {self.path}")
+        return self._read([r["folder"] for r in self._current()], schema)
+
+    def read(self) -> DataFrame:
+        return self.table().drop("bucket")
+
+    def lookup(self, value) -> DataFrame:
+        """Rows of one key, reading only its bucket."""
+        table = self.table()
+        wanted = F.lit(value).cast(table.schema[self.key].dataType)
+        return table.filter((F.col("bucket") == self._bucket(wanted)) & (F.col(self.key) == wanted)).drop("bucket")
+
+    def _commit(self, df: DataFrame, touched: list[int], writer: str, batch: int | None) -> None:
+        version = self.version() + 1
+        schema = T.StructType([f for f in df.schema.fields if f.name != "bucket"])
+        # A retried commit gets a folder of its own, never half-written files of the first try.
+        folder = f"{self.path}/data/version={version}/try={uuid.uuid4().hex}"
+        df.write.partitionBy("bucket").parquet(folder)
+        filled = {r["bucket"] for r in self.spark.read.parquet(folder).select("bucket").distinct().collect()} if touched else set()
+        rows = [(version, b, f"{folder}/bucket={b}" if b in filled else None, schema.json(), writer, batch) for b in touched]
+        rows = rows or [(version, None, None, schema.json(), writer, batch)]
+        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
+
+    def publish(self, df: DataFrame, writer: str = "snapshot", batch: int | None = None) -> None:
+        """Replace the whole table in one commit; its key must be unique."""
+        bucketed = df.withColumn("bucket", self._bucket(F.col(self.key))).repartition("bucket")
+        self._commit(bucketed, list(range(self.buckets)), writer, batch)
+
+    def apply(
+        self, source: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], writer: str = "sync", batch: int | None = None
+    ) -> bool:
+        """Rewrite the buckets of the source's keys as change(target, source) in one commit.
+
+        With a `batch` number, a batch already committed by this writer is skipped; returns whether
+        anything was done.
+        """
+        done = self.last_batch(writer) if batch is not None else None
+        if done is not None and done >= batch:
+            return False
+        touched = [r[0] for r in source.select(self._bucket(F.col(self.key))).distinct().collect()]
+        schema = self.schema() or source.schema
+        known = {f.name for f in schema.fields}
+        schema = T.StructType([*schema.fields, *[f for f in source.schema.fields if f.name not in known]])
+        folders = [r["folder"] for r in self._current(touched) if r["folder"]]
+        target = self._read(folders, schema).drop("bucket")
+        changed = change(target, source).withColumn("bucket", self._bucket(F.col(self.key)))
+        if not fits_broadcast(source):
+            # The merge shuffled on the key; gather buckets again so that each is one file.
+            changed = changed.repartition("bucket")
+        self._commit(changed, touched, writer, batch)
+        return True
+
+
+def write_snapshot(df: DataFrame, path: str, key: str = "id", buckets: int = 64) -> BucketStore:
+    """Publish a whole table atomically as the next version at `path`."""
+    store = BucketStore(df.sparkSession, path, key, buckets)
+    store.publish(df)
+    return store
