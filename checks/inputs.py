@@ -12,7 +12,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 K = "o_orderkey"
 STAGE_IDS = range(1, 25)
-HISTORY = sorted(f"moved_to_stage_negociacao_nation_{i}_{i}" for i in STAGE_IDS)
+HISTORY = sorted(f"moved_to_stage_negociacao_{i}_{i}" for i in STAGE_IDS)
 
 
 def _history_id(column: str) -> int:
@@ -38,7 +38,7 @@ _HOURS = f"CAST(({K} * 37) % 2000 - 20 AS INT)"
 _UPDATED = f"(o_orderdate + INTERVAL '1' HOUR * {_HOURS})"
 _CLOSED = f"(o_orderdate + INTERVAL '24' HOUR * CAST({K} % 400 - 5 AS INT))"
 _PERSON = f"(o_custkey + CASE WHEN {K} % 83 = 0 THEN 10000000 ELSE 0 END)"
-_STAGE_NAME = "concat('Negociação ', n_name, ' (', CAST(n_nationkey AS STRING), ')')"
+_STAGE_NAME = "concat('Negociação (', CAST(n_nationkey AS STRING), ')')"
 
 
 def _text(expr: str) -> str:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_INT_TEXT = r"^\s*[+-]?\d+(\.0+)?\s*$"
+_ZERO_FRACTION = r"^\s*[+-]?\d+\.0+\s*$"
 
 
 def path(*keys: str) -> str:
@@ -18,27 +18,47 @@ def get(record: Column, *keys: str) -> Column:
     return F.try_variant_get(record, path(*keys), "variant")
 
 
-def text(value: Column) -> Column:
-    """Scalar as text, object or list as JSON text, JSON null as NULL."""
-    return F.try_variant_get(value, "$", "string")
+def text(record: Column, *keys: str) -> Column:
+    """Field as text: a scalar's value, an object's or list's JSON text, NULL for JSON null."""
+    return F.try_variant_get(record, path(*keys), "string")
 
 
 def kind(value: Column) -> Column:
     """Name of the JSON kind: VOID, STRING, BOOLEAN, BIGINT, DECIMAL, DOUBLE, OBJECT or ARRAY."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "(", 1), "<", 1)
+
+
+def is_object(record: Column, *keys: str) -> Column:
+    """Whether a field is an object, without describing what is in it."""
+    return F.try_variant_get(record, path(*keys), "struct<_: variant>").isNotNull()
+
+
+def whole_text(shown: Column, shape: Column) -> Column:
+    """Integer of a field given as text and kind; NULL where the rule for integers fails."""
+    padded = F.when(shown.rlike(_ZERO_FRACTION), F.substring_index(shown, ".", 1).try_cast("bigint"))
+    exponent = F.when(shape == "DOUBLE", shown.try_cast("decimal(38,9)"))
+    return F.coalesce(
+        shown.try_cast("bigint"),
+        padded,
+        F.when(exponent == F.floor(exponent), exponent.try_cast("bigint")),
+        F.when(shape == "BOOLEAN", (shown == "true").cast("bigint")),
+    )
 
 
 def whole_number(value: Column) -> Column:
     """Integer of a number, boolean or integer-like text; NULL for anything else."""
-    shown = text(value)
-    as_float = shown.try_cast("double")
-    from_text = F.when(shown.rlike(_INT_TEXT), F.regexp_extract(shown, r"[+-]?\d+", 0).try_cast("bigint"))
-    from_float = F.when((kind(value) == "DOUBLE") & (as_float == F.floor(as_float)), shown.try_cast("decimal(38,0)").try_cast("bigint"))
-    from_bool = F.when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "bigint"))
-    return F.coalesce(from_text, from_float, from_bool)
+    return whole_text(text(value), kind(value))
 
 
 def unwrap_id(value: Column, key: str = "id") -> Column:
     """Integer id given either directly or as an object holding it under `key`."""
-    inner = F.try_variant_get(value, path(key), "variant")
-    return whole_number(F.when(kind(value) == "OBJECT", inner).otherwise(value))
+    return whole_number(F.coalesce(get(value, key), value))
+
+
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters and projections read without evaluating them again.
+
+    Catalyst moves a filter below a projection by repeating the projected expressions in it, which
+    for record fields means navigating the record once more per use. A generator stops that.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

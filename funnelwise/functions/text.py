@@ -29,6 +29,17 @@ def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
     return single, several
 
 
+def _char_class(chars) -> str:
+    """Regex class of the characters, as few ranges as possible."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, chars)):
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in ranges) + "]"
+
+
 def _spell_out(text: Column) -> Column:
     """Replace 1:n compatibility characters (ligatures, fractions, ...)."""
     _, several = _ascii_folds()
@@ -40,8 +51,7 @@ def _spell_out(text: Column) -> Column:
 def fold_ascii(text: Column) -> Column:
     """Compatibility-decompose and keep the ASCII part only."""
     single, several = _ascii_folds()
-    rare = "[" + "".join(several) + "]"
-    text = F.when(text.rlike(rare), _spell_out(text)).otherwise(text)
+    text = F.when(text.rlike(_char_class(several)), _spell_out(text)).otherwise(text)
     text = F.translate(text, "".join(single), "".join(single.values()))
     return F.regexp_replace(text, r"[^\x00-\x7F]+", "")
 
@@ -52,5 +62,5 @@ def normalize_name(name: Column) -> Column:
     # Plain ASCII names, nearly all of them, skip the folding tables.
     ascii_text = F.when(lowered.rlike(r"[^\x00-\x7F]"), fold_ascii(lowered)).otherwise(lowered)
     slug = F.btrim(F.regexp_replace(ascii_text, "[^A-Za-z0-9]+", "_"), F.lit("_"))
-    slug = F.regexp_replace(slug, "^([0-9])", "_$1")
-    return F.when(name.isNull(), F.lit("")).when(slug == "", F.lit(INVALID_SLUG)).otherwise(slug)
+    slug = F.regexp_replace(F.regexp_replace(slug, "^([0-9])", "_$1"), "^$", INVALID_SLUG)
+    return F.coalesce(slug, F.lit(""))

@@ -8,11 +8,8 @@ from pyspark.sql import types as T
 
 from ..schema import STATUS_LABELS
 
-_DATE = r"\d{4}-\d{2}-\d{2}"
-_CLOCK = r"\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?"
-_ZONE = r"(Z|z|[+-]\d{2}(:?\d{2})?)"
-ISO_TIME = rf"^\s*{_DATE}([T ]{_CLOCK}\s*{_ZONE}?)?\s*$"
-EPOCH = r"^\s*[+-]?\d{1,16}(\.\d+)?\s*$"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|z|[+-]\d{2}(:?\d{2})?))?)?$"
+EPOCH = r"^[+-]?\d{1,16}(\.\d+)?$"
 # Epoch numbers above this are milliseconds.
 _EPOCH_SECONDS_LIMIT = 2e10
 
@@ -30,10 +27,12 @@ def safe_timestamp(c: Column, epoch: bool = True) -> Column:
 
     A text without zone means UTC whatever the session time zone is.
     """
-    text = F.replace(F.btrim(c.cast("string")), F.lit(","), F.lit("."))
-    zoned = text.rlike(rf"{_CLOCK}\s*{_ZONE}$")
-    utc = F.when(zoned, text).when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-    parsed = F.when(c.cast("string").rlike(ISO_TIME), utc.otherwise(F.concat(text, F.lit("Z"))).try_cast("timestamp"))
+    text = F.btrim(c.cast("string"))
+    sign = lambda place: F.substring(text, place, 1).isin("+", "-")
+    zoned = text.endswith("Z") | text.endswith("z") | sign(-6) | sign(-5) | sign(-3)
+    day = F.length(text) == 10
+    utc = F.when(day, F.concat(text, F.lit("T00:00:00Z"))).when(zoned, text).otherwise(F.concat(text, F.lit("Z")))
+    parsed = F.when(text.rlike(ISO_TIME), utc.try_cast("timestamp"))
     if not epoch:
         return parsed
     number = F.when(text.rlike(EPOCH), text.try_cast("double"))

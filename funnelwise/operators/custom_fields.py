@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import get, kind, text
+from ..functions.records import compute_once, get, is_object, text
 from ..schema import ADDRESS_KEYS, ADDRESS_SUFFIXES
 
 
 def is_address(value: Column) -> Column:
     """Whether a field value is an object with a telling address key."""
     keys = [get(value, k).isNotNull() for k in ADDRESS_KEYS]
-    any_key = keys[0] | keys[1] | keys[2] | keys[3]
-    return F.coalesce((kind(value) == "OBJECT") & any_key, F.lit(False))
+    return keys[0] | keys[1] | keys[2] | keys[3]
 
 
 def field_text(value: Column) -> Column:
     """Main text of a field: an object's address line or value, else the scalar itself."""
-    inner = text(get(value, "value"))
-    line = F.coalesce(F.nullif(text(get(value, "formatted_address")), F.lit("")), inner)
-    return F.when(is_address(value), line).when(kind(value) == "OBJECT", inner).otherwise(text(value))
+    inner = text(value, "value")
+    line = F.coalesce(F.nullif(text(value, "formatted_address"), F.lit("")), inner)
+    return F.when(is_address(value), line).when(is_object(value), inner).otherwise(text(value))
 
 
 def _present(value: Column) -> Column:
@@ -35,6 +34,11 @@ def _last(choices: list[tuple[Column, Column]]) -> Column:
     return result
 
 
+def _shown(value: Column) -> dict[str, Column]:
+    """What flattening needs to know of a field value."""
+    return {"set": _present(value), "address": is_address(value), "line": field_text(value)}
+
+
 def flatten_custom_fields(
     df: DataFrame, mapping: dict[str, str], record: str = "record", address_columns: set[str] | None = None
 ) -> DataFrame:
@@ -44,24 +48,24 @@ def flatten_custom_fields(
     the part columns built to those the table declares; None builds all of them.
     """
     held = {key: f"__cf_{i}" for i, key in enumerate(mapping)}
-    df = df.withColumns({c: get(F.col(record), "custom_fields", key) for key, c in held.items()})
+    df = compute_once(df, {c: get(F.col(record), "custom_fields", key) for key, c in held.items()})
+    facts = {f"{c}_{fact}": made for c in held.values() for fact, made in _shown(F.col(c)).items()}
+    df = compute_once(df, facts)
     by_slug: dict[str, list[str]] = {}
     for key, slug in mapping.items():
         by_slug.setdefault(slug, []).append(held[key])
     flat = {}
     for slug, holders in by_slug.items():
-        values = [F.col(c) for c in holders]
-        flat[slug] = _last([(_present(v), field_text(v)) for v in values])
+        flat[slug] = _last([(F.col(f"{c}_set"), F.col(f"{c}_line")) for c in holders])
         for part, suffix in ADDRESS_SUFFIXES.items():
             name = f"{slug}_{suffix}"
             if (address_columns is None or name in address_columns) and name not in by_slug:
-                flat[name] = _last([(is_address(v), text(get(v, part))) for v in values])
-    taken = [n for n in flat if n in df.columns]
-    return df.withColumns({n: c for n, c in flat.items() if n not in taken}).drop(*held.values())
+                flat[name] = _last([(F.col(f"{c}_address"), text(F.col(c), part)) for c in holders])
+    return df.withColumns({n: c for n, c in flat.items() if n not in df.columns}).drop(*held.values(), *facts)
 
 
 def flatten_address(df: DataFrame, value: str, name: str) -> DataFrame:
     """Split one address field (VARIANT) into `name` and its ten component columns."""
-    address = F.col(value)
-    parts = {f"{name}_{s}": F.when(is_address(address), text(get(address, p))) for p, s in ADDRESS_SUFFIXES.items()}
-    return df.withColumns({name: field_text(address), **parts})
+    df = compute_once(df, {f"__{fact}": made for fact, made in _shown(F.col(value)).items()})
+    parts = {f"{name}_{s}": F.when(F.col("__address"), text(F.col(value), p)) for p, s in ADDRESS_SUFFIXES.items()}
+    return df.withColumns({name: F.col("__line"), **parts}).drop("__set", "__address", "__line")

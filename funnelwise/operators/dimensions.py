@@ -22,7 +22,7 @@ def _id(record: str, key: str = "id") -> Column:
 def _name(record: str) -> Column:
     """Name; the default stands in for an absent key only, a null name stays NULL."""
     name = get(F.col(record), "name")
-    return F.when(name.isNull(), F.lit(UNKNOWN_NAME)).otherwise(text(name))
+    return F.when(name.isNull(), F.lit(UNKNOWN_NAME)).otherwise(text(F.col(record), "name"))
 
 
 def _active(record: str) -> Column:
@@ -43,7 +43,7 @@ def dim_persons(raw: DataFrame, record: str = "record") -> DataFrame:
 
 def dim_stages(raw: DataFrame, record: str = "record") -> DataFrame:
     """Stages with their slug; a null or empty name counts as absent here."""
-    given = F.coalesce(F.nullif(text(get(F.col(record), "name")), F.lit("")), F.lit(UNKNOWN_NAME))
+    given = F.coalesce(F.nullif(text(F.col(record), "name"), F.lit("")), F.lit(UNKNOWN_NAME))
     stripped = F.when(given.startswith(HISTORY_PREFIX), F.substring(given, F.lit(len(HISTORY_PREFIX) + 1), F.length(given))).otherwise(given)
     named = _known(raw, record).withColumn("stage_name", stripped)
     slug = F.when(F.col("stage_name") != UNKNOWN_NAME, normalize_name(F.col("stage_name")))
@@ -72,7 +72,7 @@ def id_name_map(raw: DataFrame, drop_empty: bool, record: str = "record") -> Dat
     known = _known(raw, record)
     if not drop_empty:
         return known.select(_id(record).alias("id"), _name(record).alias("name"))
-    trimmed = known.select(_id(record).alias("id"), F.btrim(text(get(F.col(record), "name"))).alias("name"))
+    trimmed = known.select(_id(record).alias("id"), F.btrim(text(F.col(record), "name")).alias("name"))
     return trimmed.filter((F.col("id") != 0) & (F.length("name") > 0))
 
 

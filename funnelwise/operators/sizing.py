@@ -19,12 +19,12 @@ def broadcast_limit(df: DataFrame) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate is within the session's broadcast limit."""
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(estimate.toString()) <= broadcast_limit(df)
+    return int(str(estimate)) <= broadcast_limit(df)
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     """The most frequent keys, at most HOT_KEYS of them, from one mergeable sketch."""
-    top = rows.agg(F.approx_top_k(F.col(key), HOT_KEYS, _TRACKED_KEYS).alias("top"))
+    top = rows.select(F.col(key).alias("k")).agg(F.expr(f"approx_top_k(k, {HOT_KEYS}, {_TRACKED_KEYS})").alias("top"))
     return top.select(F.explode("top.item").alias(key))
 
 

@@ -5,65 +5,81 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import get, kind, text, unwrap_id, whole_number
+from ..functions.records import compute_once, get, is_object, kind, text, whole_text
 from ..functions.values import safe_timestamp
 
 WRAPPED_IDS = ["creator_user_id", "person_id"]
 PLAIN_IDS = ["stage_id", "pipeline_id"]
 TEXTS = ["title", "status", "currency", "stage_name", "pipeline_name"]
 TIMES = ["add_time", "update_time"]
-_FIELDS = ["id", *WRAPPED_IDS, *PLAIN_IDS, *TEXTS, "value", *TIMES, "custom_fields"]
 _NUMBERS = ["BIGINT", "DECIMAL", "DOUBLE"]
+_FIELDS = ["id", *WRAPPED_IDS, *PLAIN_IDS, *TEXTS, "value", *TIMES]
+_SEPARATOR = "; "
 
 
-def _empty(value: Column) -> Column:
-    return value.isNull() | F.is_variant_null(value)
+def _shape(name: str) -> Column:
+    return F.col(f"__{name}_kind")
 
 
-def _bad_wrapped(value: Column) -> Column:
-    inner = get(value, "id")
-    no_id = (kind(value) == "OBJECT") & _empty(inner)
-    return ~_empty(value) & ~no_id & unwrap_id(value).isNull()
+def _text(name: str) -> Column:
+    return F.col(f"__{name}_text")
 
 
-def _bad_value(value: Column) -> Column:
-    """Numbers, booleans and numeric text pass, NaN included; infinities do not fit the column."""
-    number = text(value).try_cast("double")
-    scalar = kind(value).isin(_NUMBERS + ["STRING", "BOOLEAN"])
-    parsed = F.coalesce(number, F.when(kind(value) == "BOOLEAN", F.lit(0.0)))
-    return ~_empty(value) & ~F.coalesce(scalar & parsed.isNotNull() & (F.abs(parsed) != float("inf")), F.lit(False))
+def _empty(name: str) -> Column:
+    """Absent or JSON null."""
+    return _shape(name).isNull() | (_shape(name) == "VOID")
+
+
+def _bad_int(name: str) -> Column:
+    return ~_empty(name) & whole_text(_text(name), _shape(name)).isNull()
 
 
-def _bad_time(value: Column) -> Column:
-    readable = kind(value).isin(_NUMBERS + ["STRING"]) & safe_timestamp(text(value)).isNotNull()
-    return ~_empty(value) & ~readable
+def _bad_wrapped(name: str) -> Column:
+    """An object counts as its id; one without an id counts as NULL."""
+    inner = f"{name}_id"
+    plain = (_shape(name) != "OBJECT") & whole_text(_text(name), _shape(name)).isNull()
+    return ~_empty(name) & (plain | ((_shape(name) == "OBJECT") & _bad_int(inner)))
+
+
+def _bad_value(name: str) -> Column:
+    """Numbers, booleans and numeric text pass, NaN included; infinities do not fit the column."""
+    number = F.coalesce(_text(name).try_cast("double"), F.when(_shape(name) == "BOOLEAN", 0.0))
+    scalar = _shape(name).isin([*_NUMBERS, "STRING", "BOOLEAN"])
+    return ~_empty(name) & ~F.coalesce(scalar & (F.abs(number) != float("inf")), F.lit(False))
 
 
-def _too_long(value: Column) -> Column:
-    return F.length(text(value)) > 10
+def _bad_time(name: str) -> Column:
+    readable = _shape(name).isin([*_NUMBERS, "STRING"]) & safe_timestamp(_text(name)).isNotNull()
+    return ~_empty(name) & ~readable
 
 
-def _reasons(f: dict[str, Column]) -> Column:
+def _broken_rules() -> Column:
+    """Texts of the broken rules, joined by the separator."""
     checks: list[tuple[Column, str]] = [
-        (_empty(f["id"]), "id: missing"),
-        (~_empty(f["id"]) & whole_number(f["id"]).isNull(), "id: not an integer"),
+        (_empty("id"), "id: missing"),
+        (_bad_int("id"), "id: not an integer"),
     ]
-    checks += [(_bad_wrapped(f[n]), f"{n}: not an integer") for n in WRAPPED_IDS]
-    checks += [(~_empty(f[n]) & whole_number(f[n]).isNull(), f"{n}: not an integer") for n in PLAIN_IDS]
-    checks += [(~_empty(f[n]) & (kind(f[n]) != "STRING"), f"{n}: not a text") for n in TEXTS]
-    checks += [((kind(f["currency"]) == "STRING") & _too_long(f["currency"]), "currency: too long")]
-    checks += [(_bad_value(f["value"]), "value: not a number")]
-    checks += [(_bad_time(f[n]), f"{n}: not a time") for n in TIMES]
-    custom = f["custom_fields"]
-    checks += [(custom.isNotNull() & (kind(custom) != "OBJECT"), "custom_fields: not an object")]
-    return F.array_compact(F.array(*[F.when(bad, F.lit(reason)) for bad, reason in checks]))
+    checks += [(_bad_wrapped(n), f"{n}: not an integer") for n in WRAPPED_IDS]
+    checks += [(_bad_int(n), f"{n}: not an integer") for n in PLAIN_IDS]
+    checks += [(~_empty(n) & (_shape(n) != "STRING"), f"{n}: not a text") for n in TEXTS]
+    checks += [((_shape("currency") == "STRING") & (F.length(_text("currency")) > 10), "currency: too long")]
+    checks += [(_bad_value("value"), "value: not a number")]
+    checks += [(_bad_time(n), f"{n}: not a time") for n in TIMES]
+    checks += [(F.col("__has_custom") & ~F.col("__custom_object"), "custom_fields: not an object")]
+    return F.concat_ws(_SEPARATOR, *[F.when(bad, F.lit(reason)) for bad, reason in checks])
 
 
 def validate_deals(raw: DataFrame, record: str = "record") -> DataFrame:
     """Add `reasons`: one text per broken rule, empty for a valid record. Rows pass unchanged."""
-    fields = raw.withColumns({f"__{n}": get(F.col(record), n) for n in _FIELDS})
-    checked = fields.withColumn("reasons", _reasons({n: F.col(f"__{n}") for n in _FIELDS}))
-    return checked.drop(*[f"__{n}" for n in _FIELDS])
+    field = F.col(record)
+    paths = {n: [n] for n in _FIELDS} | {f"{n}_id": [n, "id"] for n in WRAPPED_IDS}
+    seen = {f"__{n}_kind": kind(get(field, *keys)) for n, keys in paths.items()}
+    seen |= {f"__{n}_text": text(field, *keys) for n, keys in paths.items() if n not in TEXTS or n == "currency"}
+    seen |= {"__has_custom": get(field, "custom_fields").isNotNull(), "__custom_object": is_object(field, "custom_fields")}
+    checked = compute_once(compute_once(raw, seen), {"__broken": _broken_rules()})
+    none = F.array().cast("array<string>")
+    reasons = F.when(F.col("__broken") == "", none).otherwise(F.split("__broken", _SEPARATOR))
+    return checked.withColumn("reasons", reasons).drop(*seen, "__broken")
 
 
 def valid(checked: DataFrame) -> DataFrame:

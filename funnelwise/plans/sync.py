@@ -18,7 +18,7 @@ from .transform import transform_deals
 
 def records_since(raw: DataFrame, since: Column | None, record: str = "record") -> DataFrame:
     """Raw records updated at or after `since` (all if None)."""
-    return raw if since is None else raw.filter(safe_timestamp(text(get(F.col(record), "update_time"))) >= since)
+    return raw if since is None else raw.filter(safe_timestamp(text(F.col(record), "update_time")) >= since)
 
 
 def sync_deals(
@@ -41,7 +41,7 @@ def sync_deals(
 
 def sync_summary(fetched: DataFrame, loaded: DataFrame, record: str = "record") -> DataFrame:
     """Counts, status and next watermark of a sync, as one row."""
-    times = fetched.select(safe_timestamp(text(get(F.col(record), "update_time"))).alias("update_time"))
+    times = fetched.select(safe_timestamp(text(F.col(record), "update_time")).alias("update_time"))
     summary = run_summary(fetched, rejected(validate_deals(fetched, record)), loaded)
     marked = summary.unionByName(run_watermark(times, loaded), allowMissingColumns=True)
     return marked.agg(*[F.max(c).alias(c) for c in marked.columns])

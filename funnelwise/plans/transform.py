@@ -22,7 +22,7 @@ _WRAPPED = ["creator_user_id", "owner_id", "person_id", "org_id"]
 def type_deals(records: DataFrame, record: str = "record") -> DataFrame:
     """Typed base columns of valid records, before names are looked up; other columns stay."""
     field = lambda name: get(F.col(record), name)
-    shown = lambda name: text(field(name))
+    shown = lambda name: text(F.col(record), name)
     typed = records.withColumns({
         "id": whole_number(field("id")).cast("string"),
         "titulo": shown("title"),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.endpoints import normalize_endpoint
-from ..functions.records import get, text
+from ..functions.records import text
 from ..functions.values import safe_timestamp
 from ..operators.dimensions import upsert_dim
 from ..operators.history import stage_entries
@@ -57,7 +57,7 @@ def stream_watermark(stream: DataFrame, path: str, checkpoint: str, record: str
     """Keep the newest update_time of each micro-batch under `path`, one folder per batch."""
 
     def each(batch: DataFrame, number: int) -> None:
-        newest = batch.agg(F.max(safe_timestamp(text(get(F.col(record), "update_time")))).alias("newest"))
+        newest = batch.agg(F.max(safe_timestamp(text(F.col(record), "update_time"))).alias("newest"))
         newest.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return _start(stream, each, checkpoint, trigger)
