@@ -22,10 +22,10 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(estimate)) <= broadcast_limit(df)
 
 
-def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+def hot_keys(rows: DataFrame, key: str, name: str) -> DataFrame:
     """The most frequent keys, at most HOT_KEYS of them, from one mergeable sketch."""
     top = rows.select(F.col(key).alias("k")).agg(F.expr(f"approx_top_k(k, {HOT_KEYS}, {_TRACKED_KEYS})").alias("top"))
-    return top.select(F.explode("top.item").alias(key))
+    return top.select(F.explode("top.item").alias(name))
 
 
 def attach(
@@ -43,22 +43,23 @@ def attach(
     rows of hot keys get their values from a broadcast of at most HOT_KEYS table rows and, with
     the rows of a NULL key, are spread evenly over the shuffle by a hash of `spread_by`.
     """
-    chosen = [F.expr(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in picks.items()]
-    table = table.select(F.col(table_key).alias("__key"), *chosen)
-    names = [c for c in rows.columns if c not in picks] + list(picks)
+    found = {n: f"__found_{n}" for n in picks}
+    table = table.select(
+        F.col(table_key).alias("__key"), *[(F.expr(c) if isinstance(c, str) else c).alias(found[n]) for n, c in picks.items()]
+    )
+    kept = [c for c in rows.columns if c not in picks]
     if strategy == "plain" or (strategy == "auto" and fits_broadcast(table)):
-        return rows.join(table, rows[key] == table["__key"], "left").select(*names)
+        joined = rows.join(table, F.col(key) == F.col("__key"), "left")
+        return joined.select(*kept, *[F.col(c).alias(n) for n, c in found.items()])
 
-    hot = hot_keys(rows, key).withColumnRenamed(key, "__key")
-    hot_table = table.join(F.broadcast(hot), "__key", "left_semi").select(
-        F.col("__key").alias("__hot"), *[F.col(n).alias(f"__hot_{n}") for n in picks]
-    )
-    rows = rows.join(F.broadcast(hot_table), rows[key] == hot_table["__hot"], "left")
-    done = F.col("__hot").isNotNull() | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*(spread_by or names[: len(names) - len(picks)])), F.lit(1 << 30)) + 1
-    rows = rows.withColumn("__salt", F.when(done, spread).otherwise(F.lit(0).cast("bigint")))
-    table = table.withColumn("__zero", F.lit(0).cast("bigint"))
-    joined = rows.join(table, (F.coalesce(rows[key], F.lit(0).cast(rows.schema[key].dataType)) == table["__key"]) & (rows["__salt"] == table["__zero"]), "left")
-    filled = {n: F.when(F.col("__hot").isNotNull(), F.col(f"__hot_{n}")).otherwise(table[n]) for n in picks}
-    kept = [rows[c] for c in names if c not in picks]
-    return joined.select(*kept, *[c.alias(n) for n, c in filled.items()])
+    hot = table.join(F.broadcast(hot_keys(rows, key, "__key")), "__key", "left_semi")
+    hot = hot.select(F.col("__key").alias("__hot"), *[F.col(c).alias(f"__hot_{n}") for n, c in found.items()])
+    rows = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    settled = F.col("__hot").isNotNull() | F.col(key).isNull()
+    spread = F.pmod(F.xxhash64(*(spread_by or kept)), F.lit(1 << 30)) + 1
+    rows = rows.withColumn("__salt", F.when(settled, spread).otherwise(F.lit(0).cast("bigint")))
+    # Only rows with salt 0 can meet a table row; the others keep their hot value or NULL.
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__salt") == F.col("__zero"))
+    joined = rows.join(table.withColumn("__zero", F.lit(0).cast("bigint")), same, "left")
+    values = [F.when(F.col("__hot").isNotNull(), F.col(f"__hot_{n}")).otherwise(F.col(c)).alias(n) for n, c in found.items()]
+    return joined.select(*kept, *values)
