@@ -18,7 +18,9 @@ def session(cores: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("funnelwise")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate()
+        .config("spark.driver.memory", "8g")
+        # HotSpot leaves methods over 8000 bytes interpreted, which generated code for wide records exceeds.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods").config("spark.ui.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -235,9 +235,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **{n: load(spark, sf_dir, n) for n in used})
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a share where a table comes as fewer files than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_records(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A JSON input with its `record` as VARIANT and its key as arrival order `seq`."""
-    lines = load(spark, sf_dir, name)
+    lines = _spread(load(spark, sf_dir, name))
     return lines.select(F.parse_json("record").alias("record"), F.col("k").cast("bigint").alias("seq"))
 
 

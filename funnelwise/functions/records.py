@@ -33,21 +33,34 @@ def is_object(record: Column, *keys: str) -> Column:
     return F.try_variant_get(record, path(*keys), "struct<_: variant>").isNotNull()
 
 
-def whole_text(shown: Column, shape: Column) -> Column:
-    """Integer of a field given as text and kind; NULL where the rule for integers fails."""
+def read_fields(df: DataFrame, record: str, names: list[str], kind: str, suffix: str) -> DataFrame:
+    """Add `__<name><suffix>` for several top-level fields, found in one pass over the record.
+
+    As "string" each field is what `text` gives, as "variant" what `get` gives.
+    """
+    shape = f"struct<{', '.join(f'`{n}`: {kind}' for n in names)}>"
+    found = F.inline(F.array(F.try_variant_get(F.col(record), "$", shape)))
+    return df.select("*", found.alias(*[f"__{n}{suffix}" for n in names]))
+
+
+def whole_text(shown: Column) -> Column:
+    """Integer of a number, boolean or integer-like text shown as text; NULL for anything else."""
     padded = F.when(shown.rlike(_ZERO_FRACTION), F.substring_index(shown, ".", 1).try_cast("bigint"))
-    exponent = F.when(shape == "DOUBLE", shown.try_cast("decimal(38,9)"))
-    return F.coalesce(
-        shown.try_cast("bigint"),
-        padded,
-        F.when(exponent == F.floor(exponent), exponent.try_cast("bigint")),
-        F.when(shape == "BOOLEAN", (shown == "true").cast("bigint")),
-    )
+    return F.coalesce(shown.try_cast("bigint"), padded, F.when(shown.isin("true", "false"), (shown == "true").cast("bigint")))
+
+
+def whole_double(shown: Column) -> Column:
+    """Integer of a number written with an exponent, as large JSON numbers are."""
+    number = F.when(shown.contains("E"), shown.try_cast("decimal(38,9)"))
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def whole_number(value: Column) -> Column:
     """Integer of a number, boolean or integer-like text; NULL for anything else."""
-    return whole_text(text(value), kind(value))
+    number, shape = whole_text(text(value)), kind(value)
+    return F.when(shape == "DOUBLE", F.coalesce(number, whole_double(text(value)))).when(shape != "STRING", number).otherwise(
+        F.when(~text(value).isin("true", "false"), number)
+    )
 
 
 def unwrap_id(value: Column, key: str = "id") -> Column:
@@ -55,6 +68,12 @@ def unwrap_id(value: Column, key: str = "id") -> Column:
     return whole_number(F.coalesce(get(value, key), value))
 
 
+def plain_id(shown: Column, record: Column, name: str) -> Column:
+    """Integer of a field given as text; an object counts as the `id` it holds."""
+    shown = F.when(shown.startswith("{"), text(record, name, "id")).otherwise(shown)
+    return F.coalesce(whole_text(shown), whole_double(shown))
+
+
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that later filters and projections read without evaluating them again.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import compute_once, get, is_object, kind, text, whole_text
+from ..functions.records import compute_once, get, is_object, kind, read_fields, text, whole_double, whole_text
 from ..functions.values import safe_timestamp
 
 WRAPPED_IDS = ["creator_user_id", "person_id"]
@@ -18,6 +18,7 @@ _SEPARATOR = "; "
 
 
 def _shape(name: str) -> Column:
+    """Kind of a field; absent counts as JSON null."""
     return F.col(f"__{name}_kind")
 
 
@@ -25,61 +26,69 @@ def _text(name: str) -> Column:
     return F.col(f"__{name}_text")
 
 
-def _empty(name: str) -> Column:
-    """Absent or JSON null."""
-    return _shape(name).isNull() | (_shape(name) == "VOID")
+def _set(name: str) -> Column:
+    return _shape(name) != "VOID"
+
+
+def _not_whole(shown: Column, shape: Column) -> Column:
+    number = whole_text(shown).isNotNull() & ((shape != "STRING") | ~shown.isin("true", "false"))
+    return ~(number | ((shape == "DOUBLE") & whole_double(shown).isNotNull()))
 
 
 def _bad_int(name: str) -> Column:
-    return ~_empty(name) & whole_text(_text(name), _shape(name)).isNull()
+    return _set(name) & F.coalesce(_not_whole(_text(name), _shape(name)), F.lit(True))
 
 
 def _bad_wrapped(name: str) -> Column:
     """An object counts as its id; one without an id counts as NULL."""
-    inner = f"{name}_id"
-    plain = (_shape(name) != "OBJECT") & whole_text(_text(name), _shape(name)).isNull()
-    return ~_empty(name) & (plain | ((_shape(name) == "OBJECT") & _bad_int(inner)))
+    inner = F.col(f"__{name}_id")
+    inside = F.coalesce((kind(inner) != "VOID") & _not_whole(text(inner), kind(inner)), F.lit(False))
+    return F.when(_shape(name) == "OBJECT", inside).otherwise(_bad_int(name))
 
 
 def _bad_value(name: str) -> Column:
     """Numbers, booleans and numeric text pass, NaN included; infinities do not fit the column."""
-    number = F.coalesce(_text(name).try_cast("double"), F.when(_shape(name) == "BOOLEAN", 0.0))
-    scalar = _shape(name).isin([*_NUMBERS, "STRING", "BOOLEAN"])
-    return ~_empty(name) & ~F.coalesce(scalar & (F.abs(number) != float("inf")), F.lit(False))
+    number = F.abs(_text(name).try_cast("double")) != float("inf")
+    scalar = _shape(name).isin([*_NUMBERS, "STRING"]) & F.coalesce(number, F.lit(False))
+    return _set(name) & (_shape(name) != "BOOLEAN") & ~scalar
 
 
 def _bad_time(name: str) -> Column:
     readable = _shape(name).isin([*_NUMBERS, "STRING"]) & safe_timestamp(_text(name)).isNotNull()
-    return ~_empty(name) & ~readable
+    return _set(name) & ~readable
+
+
+def _joined(checks: list[tuple[Column, str]]) -> Column:
+    return F.concat_ws(_SEPARATOR, *[F.when(bad, F.lit(reason)) for bad, reason in checks])
 
 
-def _broken_rules() -> Column:
-    """Texts of the broken rules, joined by the separator."""
-    checks: list[tuple[Column, str]] = [
-        (_empty("id"), "id: missing"),
-        (_bad_int("id"), "id: not an integer"),
-    ]
+def _broken_ids() -> Column:
+    checks = [(~_set("id"), "id: missing"), (_bad_int("id"), "id: not an integer")]
     checks += [(_bad_wrapped(n), f"{n}: not an integer") for n in WRAPPED_IDS]
     checks += [(_bad_int(n), f"{n}: not an integer") for n in PLAIN_IDS]
-    checks += [(~_empty(n) & (_shape(n) != "STRING"), f"{n}: not a text") for n in TEXTS]
+    return _joined(checks)
+
+
+def _broken_values() -> Column:
+    checks = [(_set(n) & (_shape(n) != "STRING"), f"{n}: not a text") for n in TEXTS]
     checks += [((_shape("currency") == "STRING") & (F.length(_text("currency")) > 10), "currency: too long")]
     checks += [(_bad_value("value"), "value: not a number")]
     checks += [(_bad_time(n), f"{n}: not a time") for n in TIMES]
-    checks += [(F.col("__has_custom") & ~F.col("__custom_object"), "custom_fields: not an object")]
-    return F.concat_ws(_SEPARATOR, *[F.when(bad, F.lit(reason)) for bad, reason in checks])
+    checks += [(F.col("__custom_fields_value").isNotNull() & ~is_object(F.col("__custom_fields_value")), "custom_fields: not an object")]
+    return _joined(checks)
 
 
 def validate_deals(raw: DataFrame, record: str = "record") -> DataFrame:
     """Add `reasons`: one text per broken rule, empty for a valid record. Rows pass unchanged."""
-    field = F.col(record)
-    paths = {n: [n] for n in _FIELDS} | {f"{n}_id": [n, "id"] for n in WRAPPED_IDS}
-    seen = {f"__{n}_kind": kind(get(field, *keys)) for n, keys in paths.items()}
-    seen |= {f"__{n}_text": text(field, *keys) for n, keys in paths.items() if n not in TEXTS or n == "currency"}
-    seen |= {"__has_custom": get(field, "custom_fields").isNotNull(), "__custom_object": is_object(field, "custom_fields")}
-    checked = compute_once(compute_once(raw, seen), {"__broken": _broken_rules()})
+    seen = read_fields(read_fields(raw, record, _FIELDS, "string", "_text"), record, [*_FIELDS, "custom_fields"], "variant", "_value")
+    kinds = {f"__{n}_kind": F.coalesce(kind(F.col(f"__{n}_value")), F.lit("VOID")) for n in _FIELDS}
+    inner = {f"__{n}_id": F.when(F.col(f"__{n}_text").startswith("{"), get(F.col(f"__{n}_value"), "id")) for n in WRAPPED_IDS}
+    seen = compute_once(seen, kinds | inner)
+    seen = compute_once(compute_once(seen, {"__ids": _broken_ids()}), {"__values": _broken_values()})
+    broken = F.concat_ws(_SEPARATOR, F.nullif("__ids", F.lit("")), F.nullif("__values", F.lit("")))
     none = F.array().cast("array<string>")
-    reasons = F.when(F.col("__broken") == "", none).otherwise(F.split("__broken", _SEPARATOR))
-    return checked.withColumn("reasons", reasons).drop(*seen, "__broken")
+    reasons = F.when((F.col("__ids") == "") & (F.col("__values") == ""), none).otherwise(F.split(broken, _SEPARATOR))
+    return seen.withColumn("reasons", reasons).select(*raw.columns, "reasons")
 
 
 def valid(checked: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.records import get, text, unwrap_id, whole_number
+from ..functions.records import plain_id, read_fields, whole_text
 from ..functions.values import default_fill, recode_status, safe_date, safe_numeric, safe_timestamp
 from ..operators.catalogs import conform_columns
 from ..operators.custom_fields import flatten_custom_fields
@@ -16,28 +16,31 @@ from ..operators.validate import valid, validate_deals
 from ..schema import FIELD_DEFAULTS, MONEY, PERCENT
 
 _TIMES = ["add_time", "update_time", "close_time", "won_time", "lost_time", "first_won_time"]
-_WRAPPED = ["creator_user_id", "owner_id", "person_id", "org_id"]
+_IDS = ["creator_user_id", "owner_id", "person_id", "org_id", "stage_id", "pipeline_id"]
+_TEXTS = ["title", "status", "currency", "value", "lost_reason", "visible_to", "expected_close_date", "probability"]
+_READ = ["id", *_TEXTS, *_TIMES, *_IDS]
 
 
 def type_deals(records: DataFrame, record: str = "record") -> DataFrame:
     """Typed base columns of valid records, before names are looked up; other columns stay."""
-    field = lambda name: get(F.col(record), name)
-    shown = lambda name: text(F.col(record), name)
-    typed = records.withColumns({
-        "id": whole_number(field("id")).cast("string"),
+    kept = records.columns
+    records = read_fields(records, record, _READ, "string", "_text")
+    shown = lambda name: F.col(f"__{name}_text")
+    number = lambda name: plain_id(shown(name), F.col(record), name)
+    typed = {
+        "id": number("id").cast("string"),
         "titulo": shown("title"),
         "status": recode_status(shown("status")),
         "currency": shown("currency"),
-        "value": F.coalesce(safe_numeric(shown("value"), MONEY), whole_number(field("value")).cast(MONEY)),
+        "value": F.coalesce(safe_numeric(shown("value"), MONEY), whole_text(shown("value")).cast(MONEY)),
         "lost_reason": shown("lost_reason"),
         "visible_to": shown("visible_to"),
         "expected_close_date": safe_date(shown("expected_close_date")),
         "probability": safe_numeric(shown("probability"), PERCENT),
         **{n: safe_timestamp(shown(n)) for n in _TIMES},
-        **{n: unwrap_id(field(n)) for n in _WRAPPED},
-        **{n: whole_number(field(n)) for n in ("stage_id", "pipeline_id")},
-    })
-    return default_fill(typed, FIELD_DEFAULTS)
+        **{n: number(n) for n in _IDS},
+    }
+    return default_fill(records.select(*kept, *[c.alias(n) for n, c in typed.items()]), FIELD_DEFAULTS)
 
 
 def transform_deals(
