@@ -30,8 +30,9 @@ def safe_timestamp(c: Column, epoch: bool = True) -> Column:
     text = F.btrim(c.cast("string"))
     sign = lambda place: F.substring(text, place, 1).isin("+", "-")
     zoned = text.endswith("Z") | text.endswith("z") | sign(-6) | sign(-5) | sign(-3)
-    day = F.length(text) == 10
-    utc = F.when(day, F.concat(text, F.lit("T00:00:00Z"))).when(zoned, text).otherwise(F.concat(text, F.lit("Z")))
+    day, short = F.length(text) == 10, F.substring(text, 17, 1) != ":"
+    full = F.when(short, F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 7))).otherwise(text)
+    utc = F.when(day, F.concat(text, F.lit("T00:00:00Z"))).when(zoned, full).otherwise(F.concat(full, F.lit("Z")))
     parsed = F.when(text.rlike(ISO_TIME), utc.try_cast("timestamp"))
     if not epoch:
         return parsed
