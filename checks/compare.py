@@ -7,20 +7,19 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from . import ORACLES, QUERIES
 
 ALL_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-def session(cores: int = 8) -> SparkSession:
+def session(cores: int = 8, java_options: str = "") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("funnelwise")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        # HotSpot leaves methods over 8000 bytes interpreted, which generated code for wide records exceeds.
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods").config("spark.ui.enabled", "false").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.driver.extraJavaOptions", java_options)
+        .config("spark.ui.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -46,9 +45,9 @@ def canonical(columns: list[str], rows) -> tuple[list[str], list[str]]:
     return [columns[i] for i in order], sorted(repr([_cell(r[i]) for i in order]) for r in rows)
 
 
-def compare(spark: SparkSession, con, sf_dir: str, key: str) -> str:
+def compare(spark: SparkSession, con, sf_dir: str, key: str, df: DataFrame | None = None) -> str:
     """'' where both engines agree, else what differs."""
-    df = QUERIES[key](spark, sf_dir)
+    df = QUERIES[key](spark, sf_dir) if df is None else df
     left = canonical(df.columns, [tuple(r) for r in df.collect()])
     if key not in ORACLES:
         return ""

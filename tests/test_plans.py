@@ -1,11 +1,7 @@
 """Shape of the physical plans, and streams across restarts."""
 
-import re
-
-import pytest
 from pyspark.sql import functions as F
 
-from checks import QUERIES
 from checks.cases_tables import at
 from checks.inputs import load
 from funnelwise.operators import merge, scan
@@ -13,19 +9,11 @@ from funnelwise.operators.history import stage_entries
 from funnelwise.streaming import streams
 
 SF_DIR = "/root/testdata/sf0.001"
-LAZY = sorted(k for k in QUERIES if not k.startswith("stream_") and k not in ("write_snapshot", "sync_deals_stored", "export_run_metrics_csv", "read_pages"))
-
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", LAZY)
-def test_no_python_and_no_cross_join(spark, key):
-    text = plan(QUERIES[key](spark, SF_DIR))
-    assert not re.search("PythonUDF|BatchEvalPython|ArrowEvalPython|MapInPandas|CartesianProduct|BroadcastNestedLoopJoin", text)
-
-
 def test_incremental_scan_pushes_its_filter(spark):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet").withColumnRenamed("ts", "update_time")
     assert "GreaterThanOrEqual(ts" in plan(scan.incremental_scan(events, at("2024-01-10 00:00:00")))
