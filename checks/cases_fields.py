@@ -254,7 +254,8 @@ def custom_field_catalog(spark, d):
 )
 def stage_column_catalog(spark, d):
     stages = load(spark, d, "stage_meta")
-    taken = stages.filter("id = 4").select(F.concat(F.lit(HISTORY_PREFIX), F.lit("negociacao_4_4")).alias("column"))
+    name = F.concat(F.lit(HISTORY_PREFIX), F.lit("negociacao_"), "id", F.lit("_"), "id")
+    taken = stages.filter("id % 23 = 4").select(name.alias("column"))
     return catalogs.stage_column_catalog(stages, taken)
 
 
