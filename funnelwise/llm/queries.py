@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import keep
 from .language import identify_language
+from .mixing import mix_sources, with_word_counts
 from .quality import repetition_quality
+from .secrets import BASE_RULES, scan_secrets, spans_text
 from .token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +42,17 @@ def op3_language_id(spark, sf_dir):
 @query
 def op7_token_counts(spark, sf_dir):
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_secret_scan(spark, sf_dir):
+    found = scan_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind_no"] < len(BASE_RULES))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(r.kind) for r in BASE_RULES], F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("secrets")).alias("spans"))
+
+
+@query
+def op10_source_mix(spark, sf_dir):
+    sized = keep(with_word_counts(documents(spark, sf_dir), wanted=["doc_id", "source"]))
+    return mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken")
