@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import keep
 from .language import identify_language
+from .licenses import scan_licenses
 from .mixing import mix_sources, with_word_counts
+from .packing import pack_documents
 from .quality import repetition_quality
 from .secrets import BASE_RULES, scan_secrets, spans_text
 from .token_counts import count_tokens
@@ -56,3 +58,14 @@ def op8_secret_scan(spark, sf_dir):
 def op10_source_mix(spark, sf_dir):
     sized = keep(with_word_counts(documents(spark, sf_dir), wanted=["doc_id", "source"]))
     return mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op5_sequence_packing(spark, sf_dir):
+    ids, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pack_documents(documents(spark, sf_dir), ids, ranks)
+
+
+@query
+def op9_license_scan(spark, sf_dir):
+    return scan_licenses(documents(spark, sf_dir))

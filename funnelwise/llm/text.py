@@ -7,7 +7,7 @@ of whole documents of about a megabyte, so memory follows the chunk and the long
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
@@ -72,6 +72,7 @@ class Chunk:
     first_row: int
     data: np.ndarray
     row_at: np.ndarray
+    separators: np.ndarray = field(default_factory=lambda: SEPARATOR)
 
     @property
     def rows(self) -> int:
@@ -83,7 +84,7 @@ class Chunk:
     @cached_property
     def spans(self) -> tuple[np.ndarray, np.ndarray]:
         """Byte offsets at which words start and end."""
-        inside = ~SEPARATOR[self.data]
+        inside = ~self.separators[self.data]
         border = np.zeros(len(self.data) + 1, bool)
         border[self.row_at] = True
         before = border[:-1].copy()
@@ -127,7 +128,7 @@ class Chunk:
         return start, mix(total[start], n)
 
 
-def chunks(column: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
+def chunks(column: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES, separators: np.ndarray = SEPARATOR) -> Iterator[Chunk]:
     """The column cut into chunks of whole rows of about `size` bytes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -139,7 +140,7 @@ def chunks(column: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Itera
     row = 0
     while row < len(column):
         upto = min(max(int(np.searchsorted(at, at[row] + size, "right")) - 1, row + 1), row + 60_000, len(column))
-        yield Chunk(row, data[at[row] : at[upto]], at[row : upto + 1] - at[row])
+        yield Chunk(row, data[at[row] : at[upto]], at[row : upto + 1] - at[row], separators)
         row = upto
 
 
