@@ -15,6 +15,7 @@ from .mixing import mix_sources, with_word_counts
 from .packing import pack_documents
 from .quality import repetition_quality
 from .secrets import BASE_RULES, scan_secrets, spans_text
+from .substrings import remove_shared
 from .token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +70,8 @@ def op5_sequence_packing(spark, sf_dir):
 @query
 def op9_license_scan(spark, sf_dir):
     return scan_licenses(documents(spark, sf_dir))
+
+
+@query
+def op2_substring_dedup(spark, sf_dir):
+    return remove_shared(documents(spark, sf_dir), kept=None)
