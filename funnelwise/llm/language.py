@@ -146,7 +146,7 @@ def language_samples(docs: DataFrame, text: str, lang: str, key: str, rows: int,
     first = labelled.withColumn("__rank", F.row_number().over(by_hash)).filter(F.col("__rank") <= rows)
     before = F.sum("__bytes").over(by_hash.rowsBetween(Window.unboundedPreceding, -1))
     picked = first.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < size).select(F.col(key).alias("__key")).distinct()
-    found = docs.select(lang, text, key).join(picked, F.col(key) == F.col("__key"), "left_semi").filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    found = docs.select(lang, text, key).join(F.broadcast(picked), F.col(key) == F.col("__key"), "left_semi").filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     samples: dict[str, list[str]] = {}
     for l, _, t in sorted((r[0], r[2], r[1]) for r in found.collect()):
         samples.setdefault(l, []).append(t)
