@@ -12,6 +12,7 @@ from ..sources.scratch import keep
 from .language import identify_language
 from .licenses import scan_licenses
 from .mixing import mix_sources, with_word_counts
+from .neardup import near_duplicates
 from .packing import pack_documents
 from .quality import repetition_quality
 from .secrets import BASE_RULES, scan_secrets, spans_text
@@ -75,3 +76,8 @@ def op9_license_scan(spark, sf_dir):
 @query
 def op2_substring_dedup(spark, sf_dir):
     return remove_shared(documents(spark, sf_dir), kept=None)
+
+
+@query
+def op6_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), percent=85)
