@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import keep
 from .text import chunks
 
+PLAN_COLUMNS = ["position", "shard", "source_size", "target", "copies", "cut_start", "cut_end", "wrap_end", "taken"]
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 17
 #: Shards are apportioned in two steps, so that no step has more rows than this in a group of shards.
@@ -118,8 +119,7 @@ def mix_sources(
     [0, wrap_end); `taken` counts them all. `sized` is read several times: pass a table. Null sources are a source, the last; repeated rows each count; documents
     without words are taken 0 times; an empty table gives an empty one. Columns of these names are replaced.
     """
-    added = ["position", "shard", "source_size", "target", "copies", "cut_start", "cut_end", "wrap_end", "taken"]
-    sized = sized.drop(*added)
+    sized = sized.drop(*PLAN_COLUMNS)
     sources = keep(source_targets(sized.select("source", "size"), weights, share, most))
     own = sources.withColumnRenamed("source", "__source")
     placed = sized.join(own, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
@@ -142,4 +142,4 @@ def mix_sources(
         "wrap_end": inside((F.col("__first") + F.col("__extra") - F.col("__blocks")) * block),
     })
     taken = F.col("copies") * F.col("size") + F.col("cut_end") - F.col("cut_start") + F.col("wrap_end")
-    return rows.withColumn("taken", taken).select(*sized.columns, *added[2:])
+    return rows.withColumn("taken", taken).select(*sized.columns, *PLAN_COLUMNS[2:])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import keep
+from .embeddings import near_embeddings
 from .language import identify_language
 from .licenses import scan_licenses
 from .mixing import mix_sources, with_word_counts
@@ -81,3 +82,8 @@ def op2_substring_dedup(spark, sf_dir):
 @query
 def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir), percent=85)
+
+
+@query
+def op4_embedding_near_dedup(spark, sf_dir):
+    return near_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
