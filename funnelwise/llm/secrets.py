@@ -42,7 +42,7 @@ MORE_RULES = [
     SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,250}"),
     SecretRule("google", r"AIza[A-Za-z0-9_-]{35}"),
     SecretRule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,250}"),
-    SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{10,2000}\.eyJ[A-Za-z0-9_-]{10,4000}\.[A-Za-z0-9_-]{10,1000}"),
+    SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 ]
 RULES = BASE_RULES + MORE_RULES
 
