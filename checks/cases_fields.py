@@ -150,6 +150,19 @@ def endpoints(spark, d):
     return urls.select("id", normalize_endpoint(F.col("url"), base).alias("endpoint"))
 
 
+_DEFAULT_PATH = "string_split(trim(split_part(regexp_replace(url, '^https?://[^/?]+(?:/api)?/v[0-9]+(/|\\?|$)', '\\1'), '?', 1), '/'), '/')"
+
+
+@check(
+    "SELECT id, endpoint FROM labelled", ("api_calls",),
+    source="SELECT event_id AS id, url FROM api_calls UNION ALL SELECT -1 - page_id, url FROM pages", labelled=ENDPOINT_SQL.replace(_PATH, _DEFAULT_PATH),
+)
+def normalize_endpoint_default_base(spark, d):
+    pages = spark.read.parquet(f"{d}/pages.parquet").select((-1 - F.col("page_id")).alias("id"), "url")
+    urls = load(spark, d, "api_calls").select(F.col("event_id").alias("id"), "url").unionByName(pages)
+    return urls.select("id", normalize_endpoint(F.col("url")).alias("endpoint"))
+
+
 COST_SQL = """
     SELECT *, CASE WHEN outcome <> 'ok' THEN 0 ELSE CASE endpoint WHEN '/deals/detail/changelog' THEN 20 WHEN '/dealFields' THEN 20 WHEN '/users' THEN 20
         WHEN '/users/detail' THEN 5 WHEN '/deals' THEN 10 WHEN '/stages' THEN 5 WHEN '/pipelines' THEN 5 WHEN '/persons/detail' THEN 1

@@ -137,6 +137,14 @@ _SERIES = [
 _ALL_HISTS = " UNION ALL ".join(f"SELECT '{n}' AS metric, series, le, \"count\" FROM ({hist_sql(t, v, e, b, w)}) h" for n, t, v, e, b, w in _SERIES)
 
 
+@check(
+    "SELECT series.endpoint AS endpoint, series.method AS method, series.status_code AS status_code, le, \"count\" FROM hist", ("api_calls",), **CALLS,
+    hist=hist_sql("labelled", "duration_s", API_SECONDS_EDGES, "{'endpoint': endpoint, 'method': method, 'status_code': status_code}", "status_code IS NOT NULL"),
+)
+def api_latency_by_endpoint(spark, d):
+    return api_log.latency_by_endpoint(load(spark, d, "api_calls"))
+
+
 def _hist(spark, d, name):
     _, table, value, edges, by, where = next(s for s in _SERIES if s[0] == name)
     rows = load(spark, d, table).filter(where).withColumn("series", F.col(by))
@@ -216,6 +224,16 @@ def run_summary(spark, d):
     return run_log.run_summary(deals, deals.filter("status IS NULL"), deals.filter("status = 'won'"))
 
 
+@check(
+    """SELECT f AS fetched, f - x AS validated, l AS loaded, greatest(x, f - l) AS failed, 'error' AS status, 'Critical ETL failure: disk full' AS message
+        FROM (SELECT count(*) AS f, count(*) FILTER (status IS NULL) AS x, count(*) FILTER (status = 'won') AS l FROM deals) c""", ("deals",),
+)
+def run_summary_error(spark, d):
+    """A run that broke off after loading a part."""
+    deals = load(spark, d, "deals")
+    return run_log.run_summary(deals, deals.filter("status IS NULL"), deals.filter("status = 'won'"), "disk full")
+
+
 @check(
     """SELECT run_id, batch_id, original AS size, schema_failed, transform_failed, schema_failed + transform_failed AS failed,
         CASE WHEN original > 0 THEN (schema_failed + transform_failed) / original END AS error_rate, original = 0 AS is_empty FROM batches""", ("batches",),

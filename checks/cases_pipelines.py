@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from funnelwise.operators import catalogs, merge
-from funnelwise.plans import backfill, sync, transform
-from funnelwise.schema import BASE_COLUMNS, deal_schema
-from funnelwise.sources.store import BucketStore, scratch_folder
+from funnelwise.plans import backfill, metadata, sync, transform
+from funnelwise.schema import BASE_COLUMNS, BASE_NAMES, SYSTEM_FIELD_KEYS, deal_schema
+from funnelwise.sources import tables
+from funnelwise.sources.scratch import new_folder as scratch_folder
 from funnelwise.streaming import streams
 
-from .cases_fields import CALLS, MAPPING, STATUS_SQL, checked_sql, flat_sql
+from .cases_fields import CALLS, MAPPING, STATUS_SQL, checked_sql, flat_sql, slug_sql
 from .cases_logs import ENTRIES, FIRST_SQL, HISTORY, WIDE_SQL, ANY_NULL, catalog, filled_sql
 from .cases_tables import DIM_SQL, DIMS, ENRICHED_SQL, LATEST_SQL, NOW, OLD_PERSONS_SQL, RAW, TIES, UPSERTED_SQL, at, dims, landed, old_persons
 from .inputs import load, load_records
@@ -55,13 +56,13 @@ HELD_SQL = "SELECT " + ", ".join(
 ) + " FROM latest"
 
 
-def synced_sql(batch: str = "batch") -> str:
+def synced_sql(batch: str = "batch", held: str = "held", columns=COLUMNS, kept=("add_time",)) -> str:
     wins = "(s.id IS NOT NULL AND (t.id IS NULL OR t.update_time IS NULL OR s.update_time >= t.update_time))"
     cells = []
-    for c in COLUMNS[1:]:
-        new = f"coalesce(t.{c}, s.{c})" if c == "add_time" else f"s.{c}"
+    for c in columns[1:]:
+        new = f"coalesce(t.{c}, s.{c})" if c in kept else f"s.{c}"
         cells.append(f"CASE WHEN {wins} THEN {new} ELSE t.{c} END AS {c}")
-    return f"SELECT coalesce(t.id, s.id) AS id, {', '.join(cells)} FROM held t FULL OUTER JOIN {batch} s ON t.id = s.id"
+    return f"SELECT coalesce(t.id, s.id) AS id, {', '.join(cells)} FROM {held} t FULL OUTER JOIN {batch} s ON t.id = s.id"
 
 
 SYNC = dict(**STEPS, latest=LATEST_SQL, held=HELD_SQL)
@@ -72,6 +73,73 @@ def sync_deals(spark, d):
     return sync.sync_deals(held_deals(spark, d), load_records(spark, d, "deal_json"), dims(spark, d), MAPPING, SCHEMA)[0]
 
 
+_SINCE = "1996-06-01 00:00:00"
+
+
+@check(
+    "SELECT * FROM synced", (*INPUTS, "changes"), **SYNC, late=f"SELECT * FROM batch WHERE update_time >= TIMESTAMP '{_SINCE}'", synced=synced_sql("late"),
+)
+def sync_deals_since(spark, d):
+    since = F.lit(_SINCE).cast("timestamp")
+    return sync.sync_deals(held_deals(spark, d), load_records(spark, d, "deal_json"), dims(spark, d), MAPPING, SCHEMA, since)[0]
+
+
+_CELLS = HISTORY[:2]
+_TRACKED = deal_schema(["origem", "pontos", "etiquetas"], _CELLS)
+_HISTORY_STEPS = dict(
+    **SYNC, held2=f"SELECT *, add_time AS {_CELLS[0]}, CASE WHEN stage_id % 2 = 0 THEN update_time END AS {_CELLS[1]} FROM held",
+    batch2=f"SELECT *, CAST(NULL AS TIMESTAMP) AS {_CELLS[0]}, CAST(NULL AS TIMESTAMP) AS {_CELLS[1]} FROM batch",
+)
+
+
+def _with_history(spark, d, rule):
+    held = held_deals(spark, d).withColumns({_CELLS[0]: F.col("add_time"), _CELLS[1]: F.when(F.col("stage_id") % 2 == 0, F.col("update_time"))})
+    return sync.sync_deals(held, load_records(spark, d, "deal_json"), dims(spark, d), MAPPING, _TRACKED, history=rule)[0]
+
+
+@check("SELECT * FROM synced", (*INPUTS, "changes"), **_HISTORY_STEPS, synced=synced_sql("batch2", "held2", [*COLUMNS, *_CELLS]))
+def sync_deals_history_overwrite(spark, d):
+    return _with_history(spark, d, "overwrite")
+
+
+@check("SELECT * FROM synced", (*INPUTS, "changes"), **_HISTORY_STEPS, synced=synced_sql("batch2", "held2", [*COLUMNS, *_CELLS], ["add_time", *_CELLS]))
+def sync_deals_history_preserve(spark, d):
+    return _with_history(spark, d, "preserve")
+
+
+@check("SELECT * FROM batch", INPUTS, **STEPS)
+def transform_deals_evolve(spark, d):
+    """Two custom columns that the table does not declare yet are loaded in the same run."""
+    raw = load_records(spark, d, "deal_json")
+    return transform.transform_deals(raw, dims(spark, d), MAPPING, deal_schema(["origem"]), seq=["seq"], evolve=True)
+
+
+@check(
+    """SELECT column_name AS "column", 'TEXT' AS type FROM (SELECT unnest(['pontos', 'etiquetas']) AS column_name) c WHERE (SELECT count(*) FROM deal_json) > 0""", ("deal_json",),
+)
+def evolved_column_types(spark, d):
+    schema = deal_schema(["origem"])
+    flat = transform.transform_deals(load_records(spark, d, "deal_json"), dims(spark, d), MAPPING, schema, seq=["seq"], evolve=True)
+    return catalogs.select_new_column_types(flat, transform.undeclared_columns(MAPPING, schema))
+
+
+_FIELD_SQL = f"""SELECT key AS api_key, {slug_sql('name')} AS slug FROM field_meta WHERE name <> '' AND key NOT IN ({", ".join(f"'{k}'" for k in SYSTEM_FIELD_KEYS)})"""
+
+
+@check(
+    f"""SELECT 'mapping' AS part, api_key AS name, slug AS kind FROM fields WHERE slug <> '_invalid_normalized_name'
+        UNION ALL SELECT DISTINCT 'column', slug, 'text' FROM fields WHERE slug NOT IN ('_invalid_normalized_name', {", ".join(f"'{n}'" for n in BASE_NAMES)}) AND NOT starts_with(slug, 'moved_to_stage_')
+        UNION ALL SELECT 'column', 'moved_to_stage_negociacao_' || id || '_' || id, 'time' FROM stage_meta WHERE id <> 0""",
+    ("field_meta", "stage_meta"), fields=_FIELD_SQL,
+)
+def deal_plan(spark, d):
+    """The declarations made from metadata, as rows."""
+    plan = metadata.deal_plan(load(spark, d, "field_meta"), load(spark, d, "stage_meta"))
+    rows = [("mapping", k, c) for k, c in plan.mapping.items()]
+    rows += [("column", f.name, "time" if f.name in plan.history else "text") for f in plan.schema.fields if f.name not in BASE_NAMES]
+    return spark.createDataFrame(rows, "part string, name string, kind string")
+
+
 @check(
     """SELECT count(*) AS fetched, count(*) FILTER (reasons = '') AS validated, count(*) FILTER (reasons = '') AS loaded, count(*) FILTER (reasons <> '') AS failed,
         'success' AS status, 'ETL completed. Fetched=' || count(*) || ', Validated=' || count(*) FILTER (reasons = '') || ', Loaded=' || count(*) FILTER (reasons = '')
@@ -84,11 +152,11 @@ def sync_deals_summary(spark, d):
 
 @check("SELECT * FROM synced", (*INPUTS, "changes"), **SYNC, synced=synced_sql())
 def sync_deals_stored(spark, d):
-    """The same sync into a bucketed table, rewriting touched buckets only."""
-    store = BucketStore(spark, scratch_folder(spark), buckets=8)
-    store.publish(held_deals(spark, d))
-    sync.sync_into_store(store, load_records(spark, d, "deal_json"), dims(spark, d), MAPPING, SCHEMA)
-    return store.read()
+    """The same sync into a stored table, appending the merged rows of the batch's ids only."""
+    folder = scratch_folder(spark)
+    tables.write_snapshot(held_deals(spark, d), folder)
+    sync.sync_into_table(folder, 1, load_records(spark, d, "deal_json"), dims(spark, d), MAPPING, SCHEMA)
+    return tables.read_table(spark, folder, schema=SCHEMA)
 
 
 _CHOSEN = f"SELECT id FROM tracked WHERE {ANY_NULL} ORDER BY add_time ASC NULLS LAST, id LIMIT 5000"
@@ -130,6 +198,18 @@ def sync_dimensions(spark, d):
     return out
 
 
+@check(UPSERTED_SQL, ("person_json",), fresh=DIM_SQL["persons"], old=OLD_PERSONS_SQL)
+def sync_dimensions_later_run(spark, d):
+    """Two fetches whose pages count from 1: the later one wins, whatever its page numbers."""
+    def fetch(day, first_page, shown):
+        lines = load(spark, d, "person_json").withColumn("record", F.replace("record", F.lit('"name":"'), F.lit(f'"name":"{shown}')))
+        seq = F.struct(F.lit(day).cast("timestamp").alias("landed_at"), (F.col("k") % 7 + first_page).alias("page_no"), F.col("k").alias("place"))
+        return lines.select(F.parse_json("record").alias("record"), seq.alias("seq"))
+
+    raw = fetch("2024-01-01", 500, "stale ").unionByName(fetch("2024-01-02", 1, ""))
+    return sync.sync_dimensions({"persons": old_persons(spark, d)}, {"persons": raw}, at(NOW))[0]["persons"]
+
+
 # --- Streams: landed files in several micro-batches, results as in batch
 
 _KEPT = "k % 23 <> 0 AND k % 19 <> 0"
@@ -156,10 +236,10 @@ def stream_deals(spark, d):
 
 @check("SELECT * FROM synced", (*INPUTS, "changes"), **{**_STREAMED, "latest": LATEST_SQL, "held": HELD_SQL}, synced=synced_sql())
 def stream_sync(spark, d):
-    store = BucketStore(spark, scratch_folder(spark), buckets=8)
-    store.publish(held_deals(spark, d))
-    _run(streams.stream_sync(page_stream(spark, d), store, dims(spark, d), MAPPING, SCHEMA, scratch_folder(spark)))
-    return store.read()
+    folder = scratch_folder(spark)
+    tables.write_snapshot(held_deals(spark, d), folder)
+    _run(streams.stream_sync(page_stream(spark, d), folder, dims(spark, d), MAPPING, SCHEMA, scratch_folder(spark)))
+    return tables.read_table(spark, folder, schema=SCHEMA)
 
 
 @check(f"SELECT max(CAST(record->>'$.update_time' AS TIMESTAMP)) + INTERVAL 1 SECOND AS watermark FROM deal_json WHERE {_KEPT}", ("deal_json",))
@@ -180,14 +260,14 @@ def stream_first_entry(spark, d):
 
 @check(UPSERTED_SQL, ("person_json",), fresh=DIM_SQL["persons"], old=OLD_PERSONS_SQL)
 def stream_dim_sync(spark, d):
-    store = BucketStore(spark, scratch_folder(spark), key="person_id", buckets=8)
-    store.publish(old_persons(spark, d))
+    held = scratch_folder(spark)
+    tables.write_snapshot(old_persons(spark, d), held, "person_id")
     lines, folder = load(spark, d, "person_json"), scratch_folder(spark)
     lines.repartition(3).write.parquet(folder)
     stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     records = stream.select(F.parse_json("record").alias("record"), F.col("k").alias("seq"))
-    _run(streams.stream_dim_sync(records, "persons", store, at(NOW), scratch_folder(spark)))
-    return store.read()
+    _run(streams.stream_dim_sync(records, "persons", held, at(NOW), scratch_folder(spark)))
+    return tables.read_table(spark, held, "person_id")
 
 
 @check(
@@ -202,7 +282,7 @@ def stream_batch_stats(spark, d):
 
 @check(
     """SELECT time_bucket(INTERVAL '5 minutes', ts) AS bucket, endpoint, count(*) AS calls, count(*) FILTER (outcome <> 'ok') AS errors, sum(duration_s) AS total_s
-        FROM labelled GROUP BY 1, 2 HAVING time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' <= (SELECT date_trunc('millisecond', max(ts)) FROM labelled) - INTERVAL '1 hour'""",
+        FROM labelled GROUP BY 1, 2""",
     ("api_calls",), **CALLS,
 )
 def stream_api_metrics(spark, d):
@@ -210,4 +290,4 @@ def stream_api_metrics(spark, d):
     calls.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(folder)
     stream = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
     _run(streams.stream_api_metrics(stream, out, scratch_folder(spark)))
-    return spark.read.parquet(out)
+    return streams.read_api_metrics(spark, out)

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from funnelwise.operators import dimensions, lookups, merge, quality, scan
 from funnelwise.sources import pages
 from funnelwise.sources.export import export_run_metrics_csv
-from funnelwise.sources.store import scratch_folder
-from funnelwise.sources.store import write_snapshot as publish
+from funnelwise.sources import tables
+from funnelwise.sources.scratch import keep
+from funnelwise.sources.scratch import new_folder as scratch_folder
 
 from .cases_fields import slug_sql
 from .inputs import load, load_records
@@ -20,7 +21,7 @@ def at(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def landed(spark, d, files: int = 1) -> str:
+def landed(spark, d, files: int = 4) -> str:
     """The page lines written out as landed files; returns their folder."""
     folder = scratch_folder(spark)
     load(spark, d, "page_json").select("value").repartition(files).write.text(folder)
@@ -53,7 +54,7 @@ def read_pages(spark, d):
     ("page_json",),
 )
 def page_chain_audit(spark, d):
-    return pages.page_chain_audit(pages.parse_pages(load(spark, d, "page_json")))
+    return pages.page_chain_audit(pages.parse_page_heads(load(spark, d, "page_json")))
 
 
 @check(f"SELECT id, update_time, status FROM deals WHERE update_time >= TIMESTAMP '{SINCE}'", ("deals",))
@@ -91,7 +92,9 @@ def stages_listing(spark, d):
 @check("SELECT id, titulo, status, CAST(value AS DOUBLE) AS value, update_time FROM deals", ("deals",))
 def write_snapshot(spark, d):
     deals = load(spark, d, "deals").select("id", "titulo", "status", "value", "update_time")
-    return publish(deals, scratch_folder(spark), buckets=8).read()
+    folder = scratch_folder(spark)
+    tables.write_snapshot(deals, folder)
+    return tables.read_table(spark, folder)
 
 
 @check("SELECT experiment, seq, batch_size, loaded, duration_s FROM runs", ("runs",), name="export_run_metrics_csv")
@@ -123,7 +126,8 @@ def enrich_deals(spark, d):
 @check(f"SELECT id, {NAMES} FROM enriched", ("deals", *DIMS), enriched=ENRICHED_SQL.format(source="deals"))
 def enrich_deals_large_dims(spark, d):
     """The plan for dimensions beyond the broadcast limit."""
-    return lookups.enrich_deals(load(spark, d, "deals"), **dims(spark, d), strategy="spread").select("id", *NAMES.split(", "))
+    large = {n: t.hint("merge") for n, t in dims(spark, d).items()}
+    return lookups.enrich_deals(load(spark, d, "deals"), **large).select("id", *NAMES.split(", "))
 
 
 _NEEDED = """SELECT DISTINCT dim, id FROM (SELECT 'users' AS dim, creator_user_id AS id FROM deals UNION ALL SELECT 'users', owner_id FROM deals
@@ -182,35 +186,34 @@ def merged_sql() -> str:
     return f"SELECT {', '.join(columns)} FROM deals t FULL OUTER JOIN latest s ON t.id = s.id"
 
 
-def _merge(spark, d, strategy):
+def _merge(spark, d):
     target = load(spark, d, "deals").select(*_MERGED)
     source = merge.latest_per_id(load(spark, d, "changes"), seq=TIES).drop(*TIES[:3])
-    return merge.merge_deals(target, source, strategy=strategy)
+    return merge.merge_deals(target, source)
 
 
 @check(merged_sql(), ("deals", "changes"), latest=LATEST_SQL)
 def merge_deals(spark, d):
-    return _merge(spark, d, "shuffle")
+    return _merge(spark, d)
 
 
 @check(merged_sql(), ("deals", "changes"), latest=LATEST_SQL)
 def merge_deals_small_source(spark, d):
-    """The plan for a source within the broadcast limit."""
-    return _merge(spark, d, "broadcast")
+    """The source as a small stored change: written once, then appended to the stored table."""
+    folder = scratch_folder(spark)
+    tables.write_snapshot(load(spark, d, "deals").select(*_MERGED), folder)
+    source = keep(merge.latest_per_id(load(spark, d, "changes"), seq=TIES).drop(*TIES[:3]))
+    tables.apply_changes(source, folder, 1, merge.merge_deals)
+    return tables.read_table(spark, folder)
 
 
-@check(
-    "SELECT count(*) AS rows, count(*) FILTER (update_time < TIMESTAMP '1999-01-01') AS older FROM (" + merged_sql() + ") m", ("deals", "changes"), latest=LATEST_SQL,
-)
+@check(merged_sql(), ("deals", "changes"), latest=LATEST_SQL)
 def stale_update_guard(spark, d):
     """Merging an older batch again changes nothing."""
-    once = _merge(spark, d, "shuffle")
+    once = _merge(spark, d)
     source = merge.latest_per_id(load(spark, d, "changes"), seq=TIES).drop(*TIES[:3])
-    stale = source.withColumn("update_time", F.col("update_time") - F.expr("INTERVAL '30' DAY"))
-    again = merge.merge_deals(once, stale, strategy="shuffle")
-    older = F.count_if(F.col("update_time") < at("1999-01-01 00:00:00")).alias("older")
-    unchanged = once.select(F.struct("id", "update_time", "value").alias("r")).intersect(again.select(F.struct("id", "update_time", "value").alias("r")))
-    return unchanged.select("r.*").agg(F.count("*").alias("rows"), older)
+    stale = source.filter(F.col("update_time").isNotNull()).withColumn("update_time", F.col("update_time") - F.expr("INTERVAL '30' DAY"))
+    return merge.merge_deals(once, stale.withColumn("titulo", F.lit("stale")))
 
 
 _NAME_SQL = "CASE WHEN json_exists(record, '$.name') THEN record->>'$.name' ELSE 'Desconhecido' END"

@@ -14,11 +14,13 @@ from . import ORACLES, QUERIES
 ALL_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-def session(cores: int = 8, java_options: str = "") -> SparkSession:
+def session(cores: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("funnelwise")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g").config("spark.driver.extraJavaOptions", java_options)
+        .config("spark.driver.memory", "8g")
+        # the JVM does not compile larger methods; Spark then generates several instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

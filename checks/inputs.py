@@ -236,9 +236,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Give every core a share where a table comes as fewer files than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Give every core a share, as a test table comes as fewer files than there are cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def load_records(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -33,14 +33,13 @@ def is_object(record: Column, *keys: str) -> Column:
     return F.try_variant_get(record, path(*keys), "struct<_: variant>").isNotNull()
 
 
-def read_fields(df: DataFrame, record: str, names: list[str], kind: str, suffix: str) -> DataFrame:
-    """Add `__<name><suffix>` for several top-level fields, found in one pass over the record.
+def fields(record: str, names: list[str], kind: str, *keys: str) -> Column:
+    """Struct of several fields, found in one pass over the record or over the object under `keys`.
 
     As "string" each field is what `text` gives, as "variant" what `get` gives.
     """
-    shape = f"struct<{', '.join(f'`{n}`: {kind}' for n in names)}>"
-    found = F.inline(F.array(F.try_variant_get(F.col(record), "$", shape)))
-    return df.select("*", found.alias(*[f"__{n}{suffix}" for n in names]))
+    shape = ", ".join(f"`{n.replace('`', '``')}`: {kind}" for n in names)
+    return F.try_variant_get(F.col(record), path(*keys), f"struct<{shape}>")
 
 
 def whole_text(shown: Column) -> Column:

@@ -41,11 +41,11 @@ def _char_class(chars) -> str:
 
 
 def _spell_out(text: Column) -> Column:
-    """Replace 1:n compatibility characters (ligatures, fractions, ...)."""
+    """Replace 1:n compatibility characters (ligatures, fractions, ...); the text between them is taken as it is."""
     _, several = _ascii_folds()
     folds = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-    chars = F.regexp_extract_all(text, F.lit(r"(?s)(.)"), F.lit(1))
-    return F.array_join(F.transform(chars, lambda ch: F.coalesce(folds[ch], ch)), "")
+    found, plain = F.regexp_extract_all(text, F.lit(_char_class(several)), F.lit(0)), F.split(text, _char_class(several), -1)
+    return F.array_join(F.zip_with(plain, found, lambda before, ch: F.concat(before, F.coalesce(folds[ch], F.lit("")))), "")
 
 
 def fold_ascii(text: Column) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.endpoints import normalize_endpoint
-from ..schema import DAILY_TOKEN_BUDGET, DEFAULT_ENDPOINT_COST, ENDPOINT_COSTS
+from ..schema import API_SECONDS_EDGES, DAILY_TOKEN_BUDGET, DEFAULT_ENDPOINT_COST, ENDPOINT_COSTS
+from .histograms import duration_histogram
 
 OK = "ok"
 
@@ -32,10 +33,9 @@ def endpoint_cost(calls: DataFrame, costs: dict[str, int] = ENDPOINT_COSTS, defa
 
 def token_cost_by_endpoint(calls: DataFrame, costs: dict[str, int] = ENDPOINT_COSTS) -> DataFrame:
     """Token cost by job and endpoint, and with a NULL endpoint the total of each job."""
-    spent = endpoint_cost(calls, costs).groupBy("job", "endpoint").agg(F.sum("cost").alias("cost"))
-    return spent.unionByName(
-        endpoint_cost(calls, costs).groupBy("job").agg(F.sum("cost").alias("cost")).withColumn("endpoint", F.lit(None).cast("string"))
-    )
+    job, endpoint = F.col("job"), F.col("endpoint")
+    spent = endpoint_cost(calls, costs).groupingSets([(job, endpoint), (job,)], job, endpoint)
+    return spent.agg(F.sum("cost").alias("cost")).select("job", "endpoint", "cost")
 
 
 def token_budget(calls: DataFrame, costs: dict[str, int] = ENDPOINT_COSTS, budget: int = DAILY_TOKEN_BUDGET) -> DataFrame:
@@ -51,6 +51,12 @@ def calls_by_endpoint(calls: DataFrame) -> DataFrame:
     return answered.groupBy("endpoint", "method", "status_code").agg(F.count("*").alias("calls"))
 
 
+def latency_by_endpoint(calls: DataFrame, edges: list[float] = API_SECONDS_EDGES) -> DataFrame:
+    """Cumulative counts of answer times by endpoint, method and status code -> (endpoint, method, status_code, le, count)."""
+    answered = _labelled(calls.filter(F.col("status_code").isNotNull()))
+    return duration_histogram(answered, "duration_s", edges, ["endpoint", "method", "status_code"])
+
+
 def errors_by_type(calls: DataFrame) -> DataFrame:
     """Failed calls by endpoint, error type and status ('N/A' without an answer)."""
     failed = _labelled(calls.filter(~_succeeded()))

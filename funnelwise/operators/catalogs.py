@@ -25,7 +25,7 @@ def custom_field_catalog(fields: DataFrame, base_columns=BASE_NAMES, keep_reserv
         reserved = F.col("column").isin(list(base_columns)) | F.col("column").startswith(HISTORY_PREFIX)
         catalog = catalog.filter(~reserved)
     claims = catalog.groupBy("column").agg(F.count("*").alias("claims"))
-    return attach(catalog, claims, "column", "column", {"collides": F.col("claims") > 1}, spread_by=["api_key"])
+    return attach(catalog, claims, "column", "column", {"collides": F.col("claims") > 1})
 
 
 def stage_column_catalog(stages: DataFrame, forbidden: DataFrame | None = None) -> DataFrame:

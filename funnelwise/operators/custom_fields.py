@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import compute_once, get, is_object, text
+from ..functions.records import compute_once, fields, text
 from ..schema import ADDRESS_KEYS, ADDRESS_SUFFIXES
 
 
-def is_address(value: Column) -> Column:
-    """Whether a field value is an object with a telling address key."""
-    keys = [get(value, k).isNotNull() for k in ADDRESS_KEYS]
-    return keys[0] | keys[1] | keys[2] | keys[3]
+_PARTS = list(dict.fromkeys(["value", *ADDRESS_KEYS, *ADDRESS_SUFFIXES]))
+_OBJECT = "struct<" + ", ".join(f"`{p}`: variant" for p in _PARTS) + ">"
 
 
-def field_text(value: Column) -> Column:
+def _part(held: Column, name: str) -> Column:
+    return F.try_variant_get(held[name], "$", "string")
+
+
+def _line(value: Column, held: Column) -> Column:
     """Main text of a field: an object's address line or value, else the scalar itself."""
-    inner = text(value, "value")
-    line = F.coalesce(F.nullif(text(value, "formatted_address"), F.lit("")), inner)
-    return F.when(is_address(value), line).when(is_object(value), inner).otherwise(text(value))
+    inner = _part(held, "value")
+    line = F.coalesce(F.nullif(_part(held, "formatted_address"), F.lit("")), inner)
+    return F.when(_is_address(held), line).when(held.isNotNull(), inner).otherwise(text(value))
+
+
+def _is_address(held: Column) -> Column:
+    """Whether an object has a telling address key."""
+    return F.coalesce(*[held[k] for k in ADDRESS_KEYS]).isNotNull()
 
 
 def _present(value: Column) -> Column:
@@ -34,38 +41,37 @@ def _last(choices: list[tuple[Column, Column]]) -> Column:
     return result
 
 
-def _shown(value: Column) -> dict[str, Column]:
-    """What flattening needs to know of a field value."""
-    return {"set": _present(value), "address": is_address(value), "line": field_text(value)}
-
-
 def flatten_custom_fields(
     df: DataFrame, mapping: dict[str, str], record: str = "record", address_columns: set[str] | None = None
 ) -> DataFrame:
     """Add one text column per mapped slug, and address parts as `<slug>_<suffix>`.
 
     Where two keys share a slug, the last mapped one with a value wins. `address_columns` limits
-    the part columns built to those the table declares; None builds all of them.
+    the part columns built to those the table declares; None builds all of them. The custom fields
+    are found in one pass, and the parts of each object in another.
     """
-    held = {key: f"__cf_{i}" for i, key in enumerate(mapping)}
-    df = compute_once(df, {c: get(F.col(record), "custom_fields", key) for key, c in held.items()})
-    facts = {f"{c}_{fact}": made for c in held.values() for fact, made in _shown(F.col(c)).items()}
-    df = compute_once(df, facts)
+    if not mapping:
+        return df
+    df = compute_once(df, {"__cf": fields(record, list(mapping), "variant", "custom_fields")})
+    value = {key: F.col("__cf").getField(key) for key in mapping}
+    df = compute_once(df, {f"__cf_{i}": F.try_variant_get(value[key], "$", _OBJECT) for i, key in enumerate(mapping)})
+    held = {key: F.col(f"__cf_{i}") for i, key in enumerate(mapping)}
     by_slug: dict[str, list[str]] = {}
     for key, slug in mapping.items():
-        by_slug.setdefault(slug, []).append(held[key])
+        by_slug.setdefault(slug, []).append(key)
     flat = {}
-    for slug, holders in by_slug.items():
-        flat[slug] = _last([(F.col(f"{c}_set"), F.col(f"{c}_line")) for c in holders])
+    for slug, keys in by_slug.items():
+        flat[slug] = _last([(_present(value[k]), _line(value[k], held[k])) for k in keys])
         for part, suffix in ADDRESS_SUFFIXES.items():
             name = f"{slug}_{suffix}"
             if (address_columns is None or name in address_columns) and name not in by_slug:
-                flat[name] = _last([(F.col(f"{c}_address"), text(F.col(c), part)) for c in holders])
-    return df.withColumns({n: c for n, c in flat.items() if n not in df.columns}).drop(*held.values(), *facts)
+                flat[name] = _last([(_is_address(held[k]), _part(held[k], part)) for k in keys])
+    return df.withColumns({n: c for n, c in flat.items() if n not in df.columns}).drop("__cf", *[f"__cf_{i}" for i in range(len(mapping))])
 
 
 def flatten_address(df: DataFrame, value: str, name: str) -> DataFrame:
     """Split one address field (VARIANT) into `name` and its ten component columns."""
-    df = compute_once(df, {f"__{fact}": made for fact, made in _shown(F.col(value)).items()})
-    parts = {f"{name}_{s}": F.when(F.col("__address"), text(F.col(value), p)) for p, s in ADDRESS_SUFFIXES.items()}
-    return df.withColumns({name: F.col("__line"), **parts}).drop("__set", "__address", "__line")
+    df = compute_once(df, {"__held": F.try_variant_get(F.col(value), "$", _OBJECT)})
+    held = F.col("__held")
+    parts = {f"{name}_{s}": F.when(_is_address(held), _part(held, p)) for p, s in ADDRESS_SUFFIXES.items()}
+    return df.withColumns({name: _line(F.col(value), held), **parts}).drop("__held")

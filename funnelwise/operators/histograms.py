@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import keep
 from .ordered import previous
-from .sizing import attach
 
 
 def duration_histogram(df: DataFrame, value: str, edges: list[float], by: list[str]) -> DataFrame:
@@ -43,56 +43,41 @@ def histogram_quantile(hist: DataFrame, q: float, by: list[str]) -> DataFrame:
     return placed.select(*by, F.lit(float(q)).alias("q"), value.alias("value"))
 
 
-_COARSE = 32
-
-
-def _slot(value: Column, edges: Column) -> Column:
-    """Number of sorted edges below a value, found in two short scans."""
-    coarse = F.filter(edges, lambda e, i: (i % _COARSE == _COARSE - 1) & (e < value))
-    skip = F.size(coarse) * _COARSE
-    return skip + F.size(F.filter(F.slice(edges, skip + 1, _COARSE), lambda e: e < value))
-
-
-def exact_quantiles(df: DataFrame, value: str, quantiles: list[float], by: list[str], slots: int = 1024) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, quantiles: list[float], by: list[str], bins: int = 1024) -> DataFrame:
     """Interpolated exact quantiles per group -> (by..., q, value).
 
-    Values are counted first, so repeated ones collapse before any shuffle. Each group is cut into
-    `slots` ranges at approximate quantiles of its distinct values; only the ranges that hold a
-    wanted rank are then ordered. Exact at any group size: the approximation only places the cuts.
+    Values are counted first, so repeated ones collapse before any shuffle, and written once. Each group's range is
+    cut into `bins` of equal width by arithmetic; only bins that hold a wanted rank are cut again, and only what then
+    shares a bin with a wanted rank is ordered. Exact at any group size: the cuts only save work.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("c"))
-    cuts = [i / slots for i in range(1, slots)]
-    edges = counted.groupBy(*by).agg(F.array_sort(F.percentile_approx("v", cuts, 10_000)).alias("edges"))
-    group = F.to_json(F.struct(*by))
-    counted, edges = counted.withColumn("group", group), edges.withColumn("group", group)
-    cut = attach(counted, edges, "group", "group", {"edges": F.col("edges")}, spread_by=[*by, "v"])
-    slotted = cut.select(*by, "v", "c", _slot(F.col("v"), F.col("edges")).alias("slot"))
-
-    sizes = slotted.groupBy(*by, "slot").agg(F.sum("c").alias("size"))
-    so_far = Window.partitionBy(*by).orderBy("slot")
-    whole = Window.partitionBy(*by)
-    sizes = sizes.withColumn("upto", F.sum("size").over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
-    sizes = sizes.withColumn("n", F.sum("size").over(whole)).withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
-    place = F.col("q") * (F.col("n") - 1)
-    sizes = sizes.withColumns({"low": F.floor(place), "high": F.ceil(place), "share": place - F.floor(place)})
-    start = F.col("upto") - F.col("size")
-    reached = lambda rank: (F.col(rank) >= start) & (F.col(rank) < F.col("upto"))
-    wanted = sizes.filter(reached("low") | reached("high")).select(*by, "slot", "q", "low", "high", "share", start.alias("start"))
-
-    # Order each wanted range once, whatever number of quantiles falls into it.
-    kept = slotted.join(wanted.select(*by, "slot").distinct(), [*by, "slot"], "left_semi")
-    inside = Window.partitionBy(*by, "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = kept.withColumn("to", F.sum("c").over(inside))
-    ranked = ordered.join(wanted, [*by, "slot"])
-    first, last = F.col("start") + F.col("to") - F.col("c"), F.col("start") + F.col("to")
-    holds = lambda rank: (F.col(rank) >= first) & (F.col(rank) < last)
-    ranked = ranked.filter(holds("low") | holds("high"))
-    ends = ranked.groupBy(*by, "q").agg(
-        F.max(F.when(holds("low"), F.col("v"))).alias("a"),
-        F.max(F.when(holds("high"), F.col("v"))).alias("b"),
-        F.max("share").alias("share"),
-    )
-    return ends.select(*by, "q", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))
+    counted = keep(df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("c")))
+    wanted = counted.groupBy(*by).agg(F.sum("c").alias("c")).withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
+    wanted = wanted.withColumn("place", F.col("q") * (F.col("c") - 1)).select(*by, "q", "place", F.explode(F.array(F.floor("place"), F.ceil("place"))).alias("rank")).distinct()
+    inside, cells = counted, list(by)
+    for level in range(2):
+        binned = _binned(inside, cells, bins, f"bin{level}")
+        sizes = binned.groupBy(*cells, f"bin{level}").agg(F.sum("c").alias("size"))
+        upto = F.sum("size").over(Window.partitionBy(*cells).orderBy(f"bin{level}").rowsBetween(Window.unboundedPreceding, 0))
+        sizes = sizes.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("size"))
+        wanted = wanted.join(sizes, cells).filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("upto")))
+        cells = [*cells, f"bin{level}"]
+        wanted = wanted.select(*cells, "q", "place", (F.col("rank") - F.col("start")).alias("rank"))
+        inside = binned.join(wanted.select(*cells).distinct(), cells, "left_semi")
+    last = F.sum("c").over(Window.partitionBy(*cells).orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ordered = inside.withColumn("last", last)
+    hit = ordered.join(wanted, cells).filter((F.col("rank") < F.col("last")) & (F.col("rank") >= F.col("last") - F.col("c")))
+    ends = hit.groupBy(*by, "q").agg(F.min("v").alias("a"), F.max("v").alias("b"), F.max("place").alias("place"))
+    share = F.col("place") - F.floor("place")
+    return ends.select(*by, "q", (F.col("a") + (F.col("b") - F.col("a")) * share).alias("value"))
+
+
+def _binned(rows: DataFrame, by: list[str], bins: int, name: str) -> DataFrame:
+    """Add the number of the equal-width bin of `v` within its group; a range without width is one bin."""
+    ends = rows.groupBy(*by).agg(F.min("v").alias("__low"), F.max("v").alias("__high"))
+    # halves, as the width of a range can exceed the largest double
+    share = F.try_divide(F.col("v") / 2 - F.col("__low") / 2, F.col("__high") / 2 - F.col("__low") / 2)
+    whole = F.when(F.isnan("__high") | F.abs(F.col("__high")).isin(float("inf")) | F.abs(F.col("__low")).isin(float("inf")), 0).otherwise(F.floor(F.coalesce(share, F.lit(0.0)) * bins))
+    return rows.join(ends, by).withColumn(name, whole.cast("long")).drop("__low", "__high")
 
 
 def counter_increase(samples: DataFrame, bucket: str = "5 minutes") -> DataFrame:
@@ -101,7 +86,8 @@ def counter_increase(samples: DataFrame, bucket: str = "5 minutes") -> DataFrame
     A falling value means a restart, so it counts in full; the first sample of a series counts 0.
     """
     timed = samples.withColumn("bucket", F.window("ts", bucket)["start"])
-    stepped = previous(timed, ["series"], F.col("ts"), "value", "bucket", "before")
+    # samples of one time count in the order of their values, the same on every run
+    stepped = previous(timed, ["series"], F.struct("ts", "value"), "value", "bucket", "before")
     step = F.when(F.col("before").isNull(), 0.0).when(F.col("value") < F.col("before"), F.col("value")).otherwise(F.col("value") - F.col("before"))
     totals = stepped.withColumn("step", step).groupBy("series", "bucket").agg(F.sum("step").alias("increase"))
     return totals.withColumn("rate", F.col("increase") / _seconds(bucket))

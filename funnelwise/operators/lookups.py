@@ -26,12 +26,10 @@ def enrich_deals(
     pipelines: DataFrame,
     orgs: DataFrame,
     unknown: str = UNKNOWN_NAME,
-    spread_by: list[str] | None = None,
-    strategy: str = "auto",
 ) -> DataFrame:
     """Add the six display names; a missing row or name gives `unknown`.
 
-    Stages contribute their slug. Each dimension must hold its key once.
+    Stages contribute their slug. Each dimension must hold its key once. Six joins on one lineage.
     """
     slug = F.nullif(F.col("normalized_name"), F.lit(""))
     lookups = [
@@ -43,7 +41,7 @@ def enrich_deals(
         (orgs, "org_id", "org_id", "org_name", F.col("org_name")),
     ]
     for table, key, table_key, name, source in lookups:
-        deals = attach(deals, table, key, table_key, {name: source}, spread_by or ["id"], strategy)
+        deals = attach(deals, table, key, table_key, {name: source})
     return deals.withColumns({n: F.coalesce(F.col(n), F.lit(unknown)) for *_, n, _ in lookups})
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import HISTORY_PREFIX
-from .sizing import fits_broadcast
 
 
 def latest_per_id(df: DataFrame, id: str = "id", order: str = "update_time", seq: str | list[str] = "seq") -> DataFrame:
@@ -43,27 +42,20 @@ def _merged(column: str, shared: bool, applies: Column, history: str) -> Column:
     return F.when(applies, new).otherwise(old)
 
 
-def merge_deals(target: DataFrame, source: DataFrame, history: str = "overwrite", strategy: str = "auto") -> DataFrame:
+def merge_deals(target: DataFrame, source: DataFrame, history: str = "overwrite") -> DataFrame:
     """Upsert `source` (one row per id) into `target`.
 
     New ids are inserted. A known id is updated when the target's update_time is NULL or not
     newer; the earliest known add_time stays. `history="preserve"` keeps stage-history cells that
     are already filled, "overwrite" replaces them with the source's.
 
-    Within the broadcast limit the source goes to the target, which then is not shuffled at all;
-    beyond it both sides are shuffled once on id.
+    One full outer join reads either side once.
     """
     source = source.select(*[c for c in target.columns if c in source.columns])
-    small = strategy == "broadcast" or (strategy == "auto" and fits_broadcast(source))
     t, s = target.alias("t"), source.withColumn("__sent", F.lit(True)).alias("s")
     on = F.col("t.id") == F.col("s.id")
     applies = F.col("s.__sent").isNotNull() & _applies(F.col("t.update_time"), F.col("s.update_time"))
     shared = set(source.columns) - {"id"}
-    if small:
-        updated = t.join(s, on, "left").select(*[_merged(c, c in shared, applies, history).alias(c) for c in target.columns])
-        met = target.select("id").join(source.select("id"), "id", "left_semi")
-        inserted = source.join(met, "id", "left_anti")
-        return updated.unionByName(inserted, allowMissingColumns=True)
     inserts = F.col("t.id").isNull()
     columns = []
     for c in target.columns:

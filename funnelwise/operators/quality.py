@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import keep
+
 CRITICAL_FIELDS = ["value", "currency", "status", "stage_name"]
 
 
@@ -53,36 +55,39 @@ def date_consistency(deals: DataFrame, today: Column) -> DataFrame:
     return deals.agg(F.count_if(date_issue(today)).alias("issues"))
 
 
-def _message() -> Column:
-    shown = lambda c: F.coalesce(F.col(c), F.lit("None"))
-    differs = F.concat(F.lit("Field mismatch "), F.col("field"), F.lit(": "), shown("source"), F.lit(" vs "), shown("target"))
-    return F.when(F.col("field").isNull(), F.concat(F.lit("Missing record "), F.col("id"))).otherwise(differs)
-
-
 def data_quality_report(source: DataFrame, target: DataFrame, today: Column, n: int | None = None, fields=CRITICAL_FIELDS) -> DataFrame:
-    """One row: issue counts in total and by kind, count match, and the first five messages."""
-    mismatches = field_mismatches(source, target, fields, n)
-    first = mismatches.select(F.col("id"), F.coalesce("field", F.lit("")).alias("field"), _message().alias("message"))
-    first = first.orderBy("id", "field").limit(5)
-    counts = {
-        "missing_ids": reconcile_ids(source, target).select(F.col("missing_ids").alias("n"), F.col("extra_ids").alias("m"), "count_match"),
-        "field_issues": mismatches.agg(F.count("field").alias("n")),
-        "date_issues": date_consistency(target, today).select(F.col("issues").alias("n")),
-        "messages": first.agg(F.array_sort(F.collect_list(F.struct("id", "field", "message"))).alias("lines")),
-    }
-    parts = None
-    for name, part in counts.items():
-        part = part.withColumn("part", F.lit(name))
-        parts = part if parts is None else parts.unionByName(part, allowMissingColumns=True)
-    value = lambda part: F.max(F.when(F.col("part") == part, F.col("n")))
-    report = parts.agg(
-        value("missing_ids").alias("missing_ids_count"),
-        F.max("m").alias("extra_ids_count"),
-        value("field_issues").alias("field_issues"),
-        value("date_issues").alias("date_issues"),
-        F.bool_and("count_match").alias("count_match"),
-        F.flatten(F.collect_list("lines")).alias("lines"),
+    """One row: issue counts in total and by kind, count match, and the first five messages.
+
+    Without `n`, one full outer join of the two sides gives everything; their ids must be unique.
+    """
+    side = lambda df, p: [F.col("id").cast("string").alias(f"{p}_id"), *[F.col(f).cast("string").alias(f"{p}_{f}") for f in fields]]
+    chosen, left = F.lit(True), source
+    if n is not None:
+        picked = source.orderBy(F.xxhash64("id"), "id").limit(n).select("id", F.lit(True).alias("__chosen"))
+        chosen, left = F.coalesce("__chosen", F.lit(False)), source.join(picked, "id", "left")
+    left = left.select(*side(left, "s"), F.lit(True).alias("in_source"), chosen.alias("chosen"))
+    right = target.select(*side(target, "t"), F.lit(True).alias("in_target"), date_issue(today).alias("odd_dates"))
+    both = left.join(right, F.col("s_id") == F.col("t_id"), "full_outer")
+    missing, extra = F.col("in_target").isNull() & F.col("s_id").isNotNull(), F.col("in_source").isNull() & F.col("t_id").isNotNull()
+    pairs = [F.struct(F.lit(f).alias("field"), F.col(f"s_{f}").alias("source"), F.col(f"t_{f}").alias("target")) for f in fields]
+    differing = F.filter(F.array(*pairs), lambda p: ~p["source"].eqNullSafe(p["target"]))
+    found = F.when(F.col("chosen") & F.col("in_target"), differing).otherwise(F.array().cast("array<struct<field:string,source:string,target:string>>"))
+    both = both.withColumns({"missing": missing, "extra": extra, "found": found})
+    shown = lambda p, c: F.coalesce(p[c], F.lit("None"))
+    message = lambda p: F.concat(F.lit("Field mismatch "), p["field"], F.lit(": "), shown(p, "source"), F.lit(" vs "), shown(p, "target"))
+    lines = F.transform("found", lambda p: F.struct(F.col("s_id").alias("id"), p["field"].alias("field"), message(p).alias("message")))
+    gone = F.array(F.struct(F.col("s_id").alias("id"), F.lit("").alias("field"), F.concat(F.lit("Missing record "), F.col("s_id")).alias("message")))
+    judged = keep(both.select("missing", "extra", "in_source", "in_target", "odd_dates", F.size("found").alias("n"), F.when(F.col("missing") & F.col("chosen"), gone).otherwise(lines).alias("lines")))
+    first = judged.select(F.inline("lines")).orderBy("id", "field").limit(5)
+    counts = judged.agg(
+        F.count_if("missing").alias("missing_ids_count"),
+        F.count_if("extra").alias("extra_ids_count"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("field_issues"),
+        F.count_if("odd_dates").alias("date_issues"),
+        (F.count("in_source") == F.count("in_target")).alias("count_match"),
     )
+    listed = first.agg(F.array_sort(F.collect_list(F.struct("id", "field", "message"))).alias("lines"))
+    report = counts.unionByName(listed, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in counts.columns], F.flatten(F.collect_list("lines")).alias("lines"))
     total = F.col("missing_ids_count") + F.col("extra_ids_count") + F.col("field_issues") + F.col("date_issues")
     sample = F.array_join(F.transform("lines", lambda line: line["message"]), "; ")
     return report.select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .ordered import numbered, trailing_mean
 
 RESOURCES = ["peak_memory_mb", "cpu_percent", "threads", "disk_bytes"]
-SUCCESS = "success"
+SUCCESS, ERROR = "success", "error"
 
 
 def run_watermark(fetched: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -16,12 +16,19 @@ def run_watermark(fetched: DataFrame, loaded: DataFrame) -> DataFrame:
     newest = fetched.agg(F.max("update_time").alias("newest")).withColumn("loaded", F.lit(0).cast("bigint"))
     count = loaded.agg(F.count("*").alias("loaded"))
     both = newest.unionByName(count, allowMissingColumns=True).agg(F.max("newest").alias("newest"), F.sum("loaded").alias("loaded"))
-    next_second = F.date_trunc("second", F.col("newest") + F.expr("INTERVAL '1' SECOND")).cast(fetched.schema["update_time"].dataType)
+    next_second = next_watermark("newest").cast(fetched.schema["update_time"].dataType)
     return both.select(F.when(F.col("loaded") > 0, next_second).alias("watermark"))
 
 
-def run_summary(fetched: DataFrame, rejected: DataFrame, loaded: DataFrame) -> DataFrame:
-    """One row: fetched, validated, loaded and failed counts with status and message."""
+def next_watermark(newest: str) -> Column:
+    return F.date_trunc("second", F.col(newest) + F.expr("INTERVAL '1' SECOND"))
+
+
+def run_summary(fetched: DataFrame, rejected: DataFrame, loaded: DataFrame, error: str | None = None) -> DataFrame:
+    """One row: fetched, validated, loaded and failed counts with status and message.
+
+    With the `error` that broke a run off, whatever was not loaded counts as failed.
+    """
     sides = {"fetched": fetched, "failed": rejected, "loaded": loaded}
     counts = None
     for name, df in sides.items():
@@ -29,9 +36,18 @@ def run_summary(fetched: DataFrame, rejected: DataFrame, loaded: DataFrame) -> D
         counts = part if counts is None else counts.unionByName(part)
     total = lambda side: F.sum(F.when(F.col("side") == side, F.col("n")))
     row = counts.agg(*[total(s).alias(s) for s in sides])
-    row = row.withColumn("validated", F.col("fetched") - F.col("failed"))
+    return summary_row(row, error)
+
+
+def summary_row(counts: DataFrame, error: str | None = None) -> DataFrame:
+    """Add validated, status and message to fetched, failed and loaded; other columns stay, last."""
+    row = counts.withColumn("validated", F.col("fetched") - F.col("failed"))
     message = F.format_string("ETL completed. Fetched=%d, Validated=%d, Loaded=%d, Failed=%d.", "fetched", "validated", "loaded", "failed")
-    return row.select("fetched", "validated", "loaded", "failed", F.lit(SUCCESS).alias("status"), message.alias("message"))
+    rest = [c for c in counts.columns if c not in ("fetched", "failed", "loaded")]
+    if error is not None:
+        failed = F.greatest(F.col("failed"), F.col("fetched") - F.col("loaded")).alias("failed")
+        return row.select("fetched", "validated", "loaded", failed, F.lit(ERROR).alias("status"), F.lit(f"Critical ETL failure: {error}").alias("message"), *rest)
+    return row.select("fetched", "validated", "loaded", "failed", F.lit(SUCCESS).alias("status"), message.alias("message"), *rest)
 
 
 def batch_quality(batches: DataFrame) -> DataFrame:

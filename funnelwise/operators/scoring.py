@@ -15,7 +15,7 @@ def _best(runs: DataFrame, usable: Column, maxima: dict[str, Column], score: Col
     """Best-scoring usable run per experiment; the earliest wins ties, `default` if none is usable."""
     runs = runs.withColumn("usable", F.coalesce(usable, F.lit(False)))
     tops = runs.groupBy("experiment").agg(*[F.max(F.when(F.col("usable"), c)).alias(n) for n, c in maxima.items()])
-    rated = attach(runs, tops, "experiment", "experiment", {n: F.col(n) for n in maxima}, spread_by=["experiment", "seq"])
+    rated = attach(runs, tops, "experiment", "experiment", {n: F.col(n) for n in maxima})
     rated = rated.withColumn("score", F.when(F.col("usable"), score))
     order = F.when(F.col("usable"), F.struct(F.col("score"), -F.col("seq")))
     best = rated.groupBy("experiment").agg(F.max_by(F.struct("batch_size", "score"), order).alias("best"))

@@ -1,65 +1,22 @@
-"""Joins that stay balanced when one key holds much of the data."""
+"""Joins to tables with unique keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 256
-_TRACKED_KEYS = 16_384
 
-
-def broadcast_limit(df: DataFrame) -> int:
-    """Largest table, in bytes, that the session allows to broadcast."""
-    setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
-    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(setting[-1:], 1)
-    return int(setting.rstrip("kmg")) * unit
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is within the session's broadcast limit."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= broadcast_limit(df)
-
-
-def hot_keys(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """The most frequent keys, at most HOT_KEYS of them, from one mergeable sketch."""
-    top = rows.select(F.col(key).alias("k")).agg(F.expr(f"approx_top_k(k, {HOT_KEYS}, {_TRACKED_KEYS})").alias("top"))
-    return top.select(F.explode("top.item").alias(name))
-
-
-def attach(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    table_key: str,
-    picks: dict[str, Column | str],
-    spread_by: list[str] | None = None,
-    strategy: str = "auto",
-) -> DataFrame:
+def attach(rows: DataFrame, table: DataFrame, key: str, table_key: str, picks: dict[str, Column | str]) -> DataFrame:
     """Left join a table with unique keys, adding `picks` (new name -> table column).
 
-    A table within the broadcast limit is left to Catalyst's own broadcast join. Beyond it, the
-    rows of hot keys get their values from a broadcast of at most HOT_KEYS table rows and, with
-    the rows of a NULL key, are spread evenly over the shuffle by a hash of `spread_by`.
+    The join carries no hint, so that its plan follows sizes measured at run time: adaptive execution
+    broadcasts a table within the session's limit, and else splits the partitions that hot and NULL
+    keys make large.
     """
     found = {n: f"__found_{n}" for n in picks}
     table = table.select(
         F.col(table_key).alias("__key"), *[(F.expr(c) if isinstance(c, str) else c).alias(found[n]) for n, c in picks.items()]
     )
     kept = [c for c in rows.columns if c not in picks]
-    if strategy == "plain" or (strategy == "auto" and fits_broadcast(table)):
-        joined = rows.join(table, F.col(key) == F.col("__key"), "left")
-        return joined.select(*kept, *[F.col(c).alias(n) for n, c in found.items()])
-
-    hot = table.join(F.broadcast(hot_keys(rows, key, "__key")), "__key", "left_semi")
-    hot = hot.select(F.col("__key").alias("__hot"), *[F.col(c).alias(f"__hot_{n}") for n, c in found.items()])
-    rows = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
-    settled = F.col("__hot").isNotNull() | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*(spread_by or kept)), F.lit(1 << 30)) + 1
-    rows = rows.withColumn("__salt", F.when(settled, spread).otherwise(F.lit(0).cast("bigint")))
-    # Only rows with salt 0 can meet a table row; the others keep their hot value or NULL.
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__salt") == F.col("__zero"))
-    joined = rows.join(table.withColumn("__zero", F.lit(0).cast("bigint")), same, "left")
-    values = [F.when(F.col("__hot").isNotNull(), F.col(f"__hot_{n}")).otherwise(F.col(c)).alias(n) for n, c in found.items()]
-    return joined.select(*kept, *values)
+    joined = rows.join(table, F.col(key) == F.col("__key"), "left")
+    return joined.select(*kept, *[F.col(c).alias(n) for n, c in found.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import compute_once, get, is_object, kind, read_fields, text, whole_double, whole_text
+from ..functions.records import compute_once, fields, get, is_object, kind, text, whole_double, whole_text
 from ..functions.values import safe_timestamp
 
 WRAPPED_IDS = ["creator_user_id", "person_id"]
@@ -23,7 +23,7 @@ def _shape(name: str) -> Column:
 
 
 def _text(name: str) -> Column:
-    return F.col(f"__{name}_text")
+    return F.col(f"__text.{name}")
 
 
 def _set(name: str) -> Column:
@@ -74,21 +74,27 @@ def _broken_values() -> Column:
     checks += [((_shape("currency") == "STRING") & (F.length(_text("currency")) > 10), "currency: too long")]
     checks += [(_bad_value("value"), "value: not a number")]
     checks += [(_bad_time(n), f"{n}: not a time") for n in TIMES]
-    checks += [(F.col("__custom_fields_value").isNotNull() & ~is_object(F.col("__custom_fields_value")), "custom_fields: not an object")]
+    checks += [(F.col("__value.custom_fields").isNotNull() & ~is_object(F.col("__value.custom_fields")), "custom_fields: not an object")]
     return _joined(checks)
 
 
-def validate_deals(raw: DataFrame, record: str = "record") -> DataFrame:
-    """Add `reasons`: one text per broken rule, empty for a valid record. Rows pass unchanged."""
-    seen = read_fields(read_fields(raw, record, _FIELDS, "string", "_text"), record, [*_FIELDS, "custom_fields"], "variant", "_value")
-    kinds = {f"__{n}_kind": F.coalesce(kind(F.col(f"__{n}_value")), F.lit("VOID")) for n in _FIELDS}
-    inner = {f"__{n}_id": F.when(F.col(f"__{n}_text").startswith("{"), get(F.col(f"__{n}_value"), "id")) for n in WRAPPED_IDS}
+def judge_deals(raw: DataFrame, texts: list[str], record: str = "record") -> DataFrame:
+    """Add `reasons`, and `__text` with the text of the fields judged and of `texts`: the record is read once."""
+    found = {"__text": fields(record, list(dict.fromkeys([*_FIELDS, *texts])), "string"), "__value": fields(record, [*_FIELDS, "custom_fields"], "variant")}
+    seen = compute_once(raw, found)
+    kinds = {f"__{n}_kind": F.coalesce(kind(F.col(f"__value.{n}")), F.lit("VOID")) for n in _FIELDS}
+    inner = {f"__{n}_id": F.when(_text(n).startswith("{"), get(F.col(f"__value.{n}"), "id")) for n in WRAPPED_IDS}
     seen = compute_once(seen, kinds | inner)
-    seen = compute_once(compute_once(seen, {"__ids": _broken_ids()}), {"__values": _broken_values()})
+    seen = compute_once(seen, {"__ids": _broken_ids(), "__values": _broken_values()})
     broken = F.concat_ws(_SEPARATOR, F.nullif("__ids", F.lit("")), F.nullif("__values", F.lit("")))
     none = F.array().cast("array<string>")
     reasons = F.when((F.col("__ids") == "") & (F.col("__values") == ""), none).otherwise(F.split(broken, _SEPARATOR))
-    return seen.withColumn("reasons", reasons).select(*raw.columns, "reasons")
+    return seen.withColumn("reasons", reasons).select(*raw.columns, "__text", "reasons")
+
+
+def validate_deals(raw: DataFrame, record: str = "record") -> DataFrame:
+    """Add `reasons`: one text per broken rule, empty for a valid record. Rows pass unchanged."""
+    return judge_deals(raw, [], record).drop("__text")
 
 
 def valid(checked: DataFrame) -> DataFrame:

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.records import get, text, whole_number
+from ..functions.records import compute_once, get, plain_id, text, whole_number
 from ..functions.values import safe_timestamp
 from ..operators import dimensions as D
 from ..operators.merge import latest_per_id, merge_deals
-from ..operators.run_log import run_summary, run_watermark
-from ..operators.validate import rejected, validate_deals
-from ..sources.store import BucketStore, materialize
+from ..operators.run_log import next_watermark, summary_row
+from ..operators.validate import validate_deals
+from ..sources.scratch import forget, keep
+from ..sources.tables import apply_changes
 from .transform import transform_deals
 
 
 def records_since(raw: DataFrame, since: Column | None, record: str = "record") -> DataFrame:
     """Raw records updated at or after `since` (all if None)."""
-    return raw if since is None else raw.filter(safe_timestamp(text(F.col(record), "update_time")) >= since)
+    if since is None:
+        return raw
+    timed = compute_once(raw, {"__time": safe_timestamp(text(F.col(record), "update_time"))})
+    return timed.filter(F.col("__time") >= since).drop("__time")
 
 
 def sync_deals(
@@ -36,31 +40,44 @@ def sync_deals(
     fetched = records_since(raw, since, record)
     batch = transform_deals(fetched, dims, mapping, schema, record, seq or ["seq"])
     merged = merge_deals(target, batch, history)
-    return merged, sync_summary(fetched, batch, record)
+    return merged, sync_summary(fetched, record)
 
 
-def sync_summary(fetched: DataFrame, loaded: DataFrame, record: str = "record") -> DataFrame:
-    """Counts, status and next watermark of a sync, as one row."""
-    times = fetched.select(safe_timestamp(text(F.col(record), "update_time")).alias("update_time"))
-    summary = run_summary(fetched, rejected(validate_deals(fetched, record)), loaded)
-    marked = summary.unionByName(run_watermark(times, loaded), allowMissingColumns=True)
-    return marked.agg(*[F.max(c).alias(c) for c in marked.columns])
+def sync_summary(fetched: DataFrame, record: str = "record") -> DataFrame:
+    """Counts, status and next watermark of a sync that loads the newest record of each id, as one row.
+
+    Every record is read and judged once.
+    """
+    good, time = F.size("reasons") == 0, safe_timestamp(text(F.col(record), "update_time"))
+    judged = validate_deals(fetched, record).select(
+        good.alias("good"), time.alias("time"), F.when(good, plain_id(text(F.col(record), "id"), F.col(record), "id")).alias("id")
+    )
+    counts = judged.agg(
+        F.count("*").alias("fetched"), F.count_if(~F.col("good")).alias("failed"), F.count_distinct("id").alias("loaded"), F.max("time").alias("newest")
+    )
+    return summary_row(counts).withColumn("watermark", F.when(F.col("loaded") > 0, next_watermark("newest"))).drop("newest")
+
+
+def stored_watermark(spark: SparkSession, summaries: str) -> Column:
+    """Where the next sync starts: the newest watermark among the summaries that runs have left; NULL before any."""
+    return F.lit(spark.read.parquet(summaries).agg(F.max("watermark")).first()[0])
 
 
-def sync_into_store(
-    store: BucketStore,
+def sync_into_table(
+    path: str,
+    number: int,
     raw: DataFrame,
     dims: dict[str, DataFrame],
     mapping: dict[str, str],
     schema: T.StructType,
     history: str = "overwrite",
     seq: list[str] | None = None,
-    batch: int | None = None,
-    writer: str = "sync",
-) -> bool:
-    """Transform raw records once and merge them into the touched buckets of a stored table."""
-    prepared = materialize(transform_deals(raw, dims, mapping, schema, seq=seq or ["seq"]))
-    return store.apply(prepared, lambda t, s: merge_deals(t, s, history), writer, batch)
+) -> DataFrame:
+    """Transform raw records once and append the merged rows of their ids as write `number` of a stored table -> run summary."""
+    prepared = keep(transform_deals(raw, dims, mapping, schema, seq=seq or ["seq"]))
+    apply_changes(prepared, path, number, lambda t, s: merge_deals(t, s, history), schema=schema)
+    forget(prepared)
+    return sync_summary(raw)
 
 
 # Entity -> (key, mapper).

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.records import plain_id, read_fields, whole_text
+from ..functions.records import compute_once, fields, plain_id, whole_text
 from ..functions.values import default_fill, recode_status, safe_date, safe_numeric, safe_timestamp
 from ..operators.catalogs import conform_columns
 from ..operators.custom_fields import flatten_custom_fields
 from ..operators.lookups import enrich_deals
 from ..operators.merge import latest_per_id
-from ..operators.validate import valid, validate_deals
+from ..operators.validate import judge_deals, valid
 from ..schema import FIELD_DEFAULTS, MONEY, PERCENT
 
 _TIMES = ["add_time", "update_time", "close_time", "won_time", "lost_time", "first_won_time"]
@@ -21,11 +21,9 @@ _TEXTS = ["title", "status", "currency", "value", "lost_reason", "visible_to", "
 _READ = ["id", *_TEXTS, *_TIMES, *_IDS]
 
 
-def type_deals(records: DataFrame, record: str = "record") -> DataFrame:
-    """Typed base columns of valid records, before names are looked up; other columns stay."""
-    kept = records.columns
-    records = read_fields(records, record, _READ, "string", "_text")
-    shown = lambda name: F.col(f"__{name}_text")
+def _typed(rows: DataFrame, record: str) -> DataFrame:
+    """Typed base columns beside the other ones, from the texts in `__text`."""
+    shown = lambda name: F.col(f"__text.{name}")
     number = lambda name: plain_id(shown(name), F.col(record), name)
     typed = {
         "id": number("id").cast("string"),
@@ -40,7 +38,13 @@ def type_deals(records: DataFrame, record: str = "record") -> DataFrame:
         **{n: safe_timestamp(shown(n)) for n in _TIMES},
         **{n: number(n) for n in _IDS},
     }
-    return default_fill(records.select(*kept, *[c.alias(n) for n, c in typed.items()]), FIELD_DEFAULTS)
+    kept = [c for c in rows.columns if c not in ("__text", "reasons")]
+    return default_fill(rows.select(*kept, *[c.alias(n) for n, c in typed.items()]), FIELD_DEFAULTS)
+
+
+def type_deals(records: DataFrame, record: str = "record") -> DataFrame:
+    """Typed base columns of valid records, before names are looked up; other columns stay."""
+    return _typed(compute_once(records, {"__text": fields(record, _READ, "string")}), record)
 
 
 def transform_deals(
@@ -50,17 +54,29 @@ def transform_deals(
     schema: T.StructType,
     record: str = "record",
     seq: list[str] | None = None,
-    strategy: str = "auto",
+    evolve: bool = False,
 ) -> DataFrame:
-    """Validate, type, enrich and flatten raw records, then conform them to `schema`.
+    """Validate, type, flatten and enrich raw records, then conform them to `schema`.
 
     `dims` holds users, persons, stages, pipelines and orgs; `mapping` custom field keys to
-    columns. With `seq`, only the newest record of each id is kept, before any name is looked up.
+    columns. With `seq`, only the newest record of each id is kept, before any name is looked up;
+    the raw record is gone by then, so only finished columns are shuffled. `evolve` keeps flattened columns that
+    the schema does not declare, behind the declared ones.
     """
-    typed = type_deals(valid(validate_deals(raw, record)), record)
-    if seq:
-        typed = latest_per_id(typed, seq=seq)
     declared = {f.name for f in schema.fields}
+    typed = _typed(valid(judge_deals(raw, _READ, record)), record)
     flat = flatten_custom_fields(typed, mapping, record, address_columns=declared).drop(record)
-    enriched = enrich_deals(flat, **dims, strategy=strategy)
-    return conform_columns(enriched, schema)[0]
+    if seq:
+        flat = latest_per_id(flat, seq=seq)
+    enriched = enrich_deals(flat.drop(*[c for c in raw.columns if c != record]), **dims)
+    conformed, extra = conform_columns(enriched, schema)
+    if not evolve:
+        return conformed
+    wide = T.StructType([*schema.fields, *[enriched.schema[c] for c in extra]])
+    return conform_columns(enriched, wide)[0]
+
+
+def undeclared_columns(mapping: dict[str, str], schema: T.StructType) -> list[str]:
+    """Custom columns that `evolve` adds to a table of this schema."""
+    declared = {f.name for f in schema.fields}
+    return [c for c in dict.fromkeys(mapping.values()) if c not in declared]

@@ -81,18 +81,17 @@ ADDRESS_SUFFIXES = {
 ADDRESS_KEYS = ["formatted_address", "locality", "country", "postal_code"]
 
 # Field keys that belong to the system and are never custom fields.
-SYSTEM_FIELD_KEYS = """
-    id creator_user_id person_id org_id stage_id pipeline_id title value currency add_time
-    update_time status lost_reason visible_to close_time won_time lost_time first_won_time
-    products_count files_count notes_count followers_count email_messages_count
-    activities_count done_activities_count undone_activities_count participants_count
-    expected_close_date probability next_activity_date next_activity_time next_activity_id
-    last_activity_id last_activity_date stage_change_time last_incoming_mail_time
-    last_outgoing_mail_time label stage_order_nr person_name org_name next_activity_subject
-    next_activity_type next_activity_duration next_activity_note formatted_value
-    weighted_value formatted_weighted_value weighted_value_currency rotten_time owner_name
-    cc_email
-""".split()
+SYSTEM_FIELD_KEYS = [
+    "id", "creator_user_id", "person_id", "org_id", "stage_id", "pipeline_id", "title", "value", "currency", "add_time",
+    "update_time", "status", "lost_reason", "visible_to", "close_time", "won_time", "lost_time", "first_won_time",
+    "products_count", "files_count", "notes_count", "followers_count", "email_messages_count", "activities_count",
+    "done_activities_count", "undone_activities_count", "participants_count", "expected_close_date", "probability",
+    "next_activity_date", "next_activity_time", "next_activity_id", "last_activity_id", "last_activity_date",
+    "stage_change_time", "last_incoming_mail_time", "last_outgoing_mail_time", "label", "stage_order_nr", "person_name",
+    "org_name", "next_activity_subject", "next_activity_type", "next_activity_duration", "next_activity_note",
+    "formatted_value", "weighted_value", "formatted_weighted_value", "weighted_value_currency", "rotten_time",
+    "owner_name", "cc_email",
+]
 
 # Token price of one successful call per endpoint label.
 ENDPOINT_COSTS = {

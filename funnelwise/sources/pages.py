@@ -2,41 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENVELOPE = """
-    entity STRING, page_no BIGINT, success BOOLEAN, data ARRAY<VARIANT>,
+_HEAD = """
+    entity STRING, page_no BIGINT, success BOOLEAN,
     additional_data STRUCT<
         next_cursor: STRING,
         pagination: STRUCT<more_items_in_collection: BOOLEAN, next_start: BIGINT>
     >
 """
+ENVELOPE = _HEAD + ", data ARRAY<VARIANT>"
+
+
+def _landed_at(lines: DataFrame) -> Column:
+    """When a line arrived: its column `landed_at`, which files give from their time; one time for all without it."""
+    if "landed_at" in lines.columns:
+        return F.col("landed_at").cast("timestamp")
+    return F.lit(None).cast("timestamp")
+
+
+def with_landing_time(lines: DataFrame) -> DataFrame:
+    """Lines read from files, with the time their file landed."""
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
 def parse_pages(lines: DataFrame, column: str = "value") -> DataFrame:
     """Page envelopes of JSON lines; a broken line becomes a page with NULL fields."""
-    return lines.select(F.from_json(F.col(column), ENVELOPE).alias("page")).select("page.*")
+    return lines.select(_landed_at(lines).alias("landed_at"), F.from_json(F.col(column), ENVELOPE).alias("page")).select("landed_at", "page.*")
+
+
+def parse_page_heads(lines: DataFrame, column: str = "value") -> DataFrame:
+    """What `page_chain_audit` needs: envelopes without their records, and the number of records `size`."""
+    page, data = F.from_json(F.col(column), _HEAD), F.get_json_object(F.col(column), "$.data")
+    return lines.select(page.alias("page"), F.json_array_length(data).alias("size")).select("page.*", "size")
 
 
 def page_records(pages: DataFrame) -> DataFrame:
     """Items of successful pages -> (record VARIANT, entity, page_no, cursor, seq).
 
-    `seq` orders records by page and place, so that a later arrival has a higher one.
+    `seq` orders records by landing time, page and place, so that a later arrival has a higher one
+    although every fetch counts its pages anew.
     """
     good = pages.filter(F.col("success"))
-    items = good.select("entity", "page_no", F.col("additional_data.next_cursor").alias("cursor"), F.posexplode("data").alias("place", "record"))
-    seq = F.coalesce("page_no", F.lit(0)) * F.lit(1_000_000) + F.col("place")
-    return items.select("record", "entity", "page_no", "cursor", seq.alias("seq"))
+    items = good.select("landed_at", "entity", "page_no", F.col("additional_data.next_cursor").alias("cursor"), F.posexplode("data").alias("place", "record"))
+    return items.select("record", "entity", "page_no", "cursor", F.struct("landed_at", "page_no", "place").alias("seq"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Records of the landed pages under `path`; unsuccessful and empty pages give none."""
-    return page_records(parse_pages(spark.read.text(path)))
+    return page_records(parse_pages(with_landing_time(spark.read.text(path))))
 
 
 def page_chain_audit(pages: DataFrame) -> DataFrame:
-    """Where each entity's page chain ended, and why.
+    """Where each entity's page chain ended, and why, from page heads.
 
     A chain stops at its first unsuccessful, empty or final page. `missing_next_start` is a page
     that promises more without saying where; `missing_page` a chain whose last page promises more.
@@ -44,7 +63,7 @@ def page_chain_audit(pages: DataFrame) -> DataFrame:
     pagination = F.col("additional_data.pagination")
     more = F.coalesce(pagination["more_items_in_collection"], F.lit(False))
     follows = (more & pagination["next_start"].isNotNull()) | (F.length("additional_data.next_cursor") > 0)
-    size = F.coalesce(F.array_size("data"), F.lit(0))
+    size = F.coalesce(F.col("size"), F.lit(0))
     reason = (
         F.when(~F.coalesce("success", F.lit(False)), "unsuccessful")
         .when(size == 0, "no_data")

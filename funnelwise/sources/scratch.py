@@ -20,12 +20,17 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder name in the shared folder that nothing has used."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write a result that later plans read more than once, and read it back.
 
     The files outlive lost executors, cut the lineage and give the optimizer a true size.
     """
-    folder = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    folder = new_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

@@ -1,7 +1,7 @@
 """Continuous sync, history, dimensions and metrics.
 
-Every stream runs through `foreachBatch` with a checkpoint. Table changes carry the batch number,
-so a batch replayed after a failure is applied once; plain outputs are overwritten per batch.
+Every stream runs through `foreachBatch` with a checkpoint. What a batch writes is in a folder of the
+batch's number, so a batch replayed after a failure replaces what it wrote before.
 """
 
 from __future__ import annotations
@@ -17,14 +17,16 @@ from ..functions.values import safe_timestamp
 from ..operators.dimensions import upsert_dim
 from ..operators.history import stage_entries
 from ..operators.validate import validate_deals
-from ..plans.sync import DIMENSIONS, newest_entity_rows, sync_into_store
-from ..sources.pages import page_records, parse_pages
-from ..sources.store import BucketStore, materialize
+from ..plans.sync import DIMENSIONS, newest_entity_rows, sync_into_table
+from ..sources.pages import page_records, parse_pages, with_landing_time
+from ..sources.scratch import forget, keep
+from ..sources.tables import apply_changes
 
 
 def stream_deals(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
     """Records of page files as they land under `path`, at most `max_files` per micro-batch."""
-    return page_records(parse_pages(spark.readStream.option("maxFilesPerTrigger", max_files).text(path)))
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+    return page_records(parse_pages(with_landing_time(lines)))
 
 
 def _start(stream: DataFrame, each, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -34,38 +36,42 @@ def _start(stream: DataFrame, each, checkpoint: str, trigger: dict | None) -> St
 
 def stream_sync(
     stream: DataFrame,
-    store: BucketStore,
+    path: str,
     dims: dict[str, DataFrame],
     mapping: dict[str, str],
     schema: T.StructType,
     checkpoint: str,
     history: str = "overwrite",
-    writer: str = "stream",
+    summaries: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Transform each micro-batch and merge it into the store; older updates never win."""
+    """Transform each micro-batch and merge it into the table at `path`; older updates never win.
 
+    Micro-batch k is write k + 1 of the table, so a replay takes its own place. With `summaries`, each batch
+    leaves its counts, status and watermark there.
+    """
     def each(batch: DataFrame, number: int) -> None:
-        done = store.last_batch(writer)
-        if done is None or done < number:
-            sync_into_store(store, batch, dims, mapping, schema, history, batch=number, writer=writer)
+        summary = sync_into_table(path, number + 1, batch, dims, mapping, schema, history)
+        if summaries is not None:
+            summary.write.mode("overwrite").parquet(f"{summaries}/batch={number}")
 
     return _start(stream, each, checkpoint, trigger)
 
 
 def stream_watermark(stream: DataFrame, path: str, checkpoint: str, record: str = "record", trigger: dict | None = None) -> StreamingQuery:
-    """Keep the newest update_time of each micro-batch under `path`, one folder per batch."""
+    """Keep the newest update_time and the valid records of each micro-batch under `path`, one folder per batch."""
 
     def each(batch: DataFrame, number: int) -> None:
-        newest = batch.agg(F.max(safe_timestamp(text(F.col(record), "update_time"))).alias("newest"))
+        time = safe_timestamp(text(F.col(record), "update_time"))
+        newest = validate_deals(batch, record).agg(F.max(time).alias("newest"), F.count_if(F.size("reasons") == 0).alias("loaded"))
         newest.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return _start(stream, each, checkpoint, trigger)
 
 
 def read_watermark(spark: SparkSession, path: str) -> DataFrame:
-    """Newest time over all batches plus one second, as the batch watermark has it."""
-    newest = F.max("newest") + F.expr("INTERVAL '1' SECOND")
+    """Newest time over the batches that loaded something plus one second, as the batch watermark has it."""
+    newest = F.max(F.when(F.col("loaded") > 0, F.col("newest"))) + F.expr("INTERVAL '1' SECOND")
     return spark.read.parquet(path).agg(F.date_trunc("second", newest).alias("watermark"))
 
 
@@ -82,18 +88,24 @@ def stream_first_entry(changelog: DataFrame, catalog: DataFrame, path: str, chec
     return _start(changelog, each, checkpoint, trigger)
 
 
+def fold_first_entries(spark: SparkSession, path: str, to: str) -> None:
+    """Write the minima of all batches so far as one batch at a new path, where the stream's readers then move."""
+    read_first_entry(spark, path).write.parquet(f"{to}/batch=-1")
+
+
 def read_first_entry(spark: SparkSession, path: str) -> DataFrame:
     """Earliest entry per deal and stage over all batches."""
     return spark.read.parquet(path).groupBy("deal_id", "column").agg(F.min("ts").alias("ts"))
 
 
-def stream_dim_sync(stream: DataFrame, entity: str, store: BucketStore, now: Column, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Upsert one entity's raw records into its stored dimension."""
+def stream_dim_sync(stream: DataFrame, entity: str, path: str, now: Column, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Upsert one entity's raw records into its dimension at `path`; micro-batch k is write k + 1."""
     key = DIMENSIONS[entity][0]
 
     def each(batch: DataFrame, number: int) -> None:
-        rows = materialize(newest_entity_rows(batch, entity, ["seq"]).withColumn("last_synced_at", now))
-        store.apply(rows, lambda t, s: upsert_dim(t, s, key, F.col("last_synced_at")), f"dim_{entity}", number)
+        rows = keep(newest_entity_rows(batch, entity, ["seq"]).withColumn("last_synced_at", now))
+        apply_changes(rows, path, number + 1, lambda t, s: upsert_dim(t, s, key, F.col("last_synced_at")), key)
+        forget(rows)
 
     return _start(stream, each, checkpoint, trigger)
 
@@ -120,8 +132,21 @@ def api_metrics(calls: DataFrame, bucket: str = "5 minutes") -> DataFrame:
 def stream_api_metrics(
     calls: DataFrame, path: str, checkpoint: str, bucket: str = "5 minutes", lateness: str = "1 hour", trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append finished time buckets of the call log under `path`; calls later than `lateness` are left out."""
+    """Keep the time buckets of the call log that each micro-batch changes under `path`, open ones too.
+
+    Calls later than `lateness` are left out, and buckets older than that leave the state.
+    """
     metrics = api_metrics(calls.withWatermark("ts", lateness), bucket)
     rows = metrics.select(F.col("window.start").alias("bucket"), "endpoint", "calls", "errors", "total_s")
-    writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = rows.writeStream.outputMode("update").foreachBatch(each)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_api_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The last state of each time bucket and endpoint."""
+    last = F.max_by(F.struct("calls", "errors", "total_s"), "batch").alias("last")
+    return spark.read.parquet(path).groupBy("bucket", "endpoint").agg(last).select("bucket", "endpoint", "last.*")

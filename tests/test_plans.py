@@ -2,10 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from checks.cases_tables import at
-from checks.inputs import load
-from funnelwise.operators import merge, scan
+from checks.cases_fields import MAPPING
+from checks.cases_pipelines import SCHEMA
+from checks.cases_tables import at, dims
+from checks.inputs import load, load_records
+from funnelwise.operators import api_log, lookups, merge, quality, scan
 from funnelwise.operators.history import stage_entries
+from funnelwise.plans import sync, transform
+from funnelwise.sources import pages
 from funnelwise.streaming import streams
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,11 +23,57 @@ def test_incremental_scan_pushes_its_filter(spark):
     assert "GreaterThanOrEqual(ts" in plan(scan.incremental_scan(events, at("2024-01-10 00:00:00")))
 
 
-def test_merge_shuffles_each_side_once_or_not_at_all(spark):
+def test_merge_shuffles_each_side_once(spark):
     target = load(spark, SF_DIR, "deals")
     source = target.withColumn("value", F.lit(1).cast("decimal(18,2)"))
-    assert plan(merge.merge_deals(target, source, strategy="shuffle")).count("Exchange hashpartitioning") == 2
-    assert "SortMergeJoin FullOuter" not in plan(merge.merge_deals(target, source))
+    assert plan(merge.merge_deals(target, source)).count("Exchange hashpartitioning") == 2
+
+
+def test_large_dimensions_cost_one_join_each(spark):
+    large = {n: t.hint("merge") for n, t in dims(spark, SF_DIR).items()}
+    text = plan(lookups.enrich_deals(load(spark, SF_DIR, "deals"), **large))
+    assert text.count("SortMergeJoin") == 6 and text.count("FileScan") <= 7 and text.count("orders.parquet") <= 2
+
+
+def test_transform_reads_records_once_and_shuffles_finished_columns(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(transform.transform_deals(load_records(spark, SF_DIR, "deal_json"), dims(spark, SF_DIR), MAPPING, SCHEMA, seq=["seq"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("orders.parquet") <= 2 and text.count("Generate inline") <= 6
+    ranked = transform.transform_deals(load_records(spark, SF_DIR, "deal_json"), dims(spark, SF_DIR), MAPPING, SCHEMA, seq=["seq"])
+    below = ranked._jdf.queryExecution().optimizedPlan().toString().split("Window [row_number")[1].split("Generate")[0]
+    assert "record#" not in below and "__text#" not in below
+
+
+def test_reports_read_each_side_once(spark):
+    source, target = (load(spark, SF_DIR, "deals") for _ in range(2))
+    quality.data_quality_report(source, target, at("2001-01-01 00:00:00"), fields=["value"])
+    text = plan(api_log.token_cost_by_endpoint(load(spark, SF_DIR, "api_calls")))
+    assert text.count("FileScan") == 1
+
+
+def test_later_fetch_wins_although_its_pages_restart(spark, tmp_path):
+    page = '{"entity": "users", "page_no": %d, "success": true, "data": [{"id": 1, "name": "%s"}]}'
+    times = [("2024-01-01 00:00:00", page % (5, "stale")), ("2024-01-02 00:00:00", page % (1, "fresh"))]
+    lines = spark.createDataFrame(times, "landed_at string, value string")
+    rows = sync.newest_entity_rows(pages.page_records(pages.parse_pages(lines)), "users", ["seq"])
+    assert [r.user_name for r in rows.collect()] == ["fresh"]
+    many = '{"entity": "users", "page_no": 1, "success": true, "data": [%s]}' % ", ".join('{"id": %d, "name": "%s"}' % (i % 3, i) for i in range(30))
+    rows = sync.newest_entity_rows(pages.page_records(pages.parse_pages(spark.createDataFrame([(many,)], "value string"))), "users", ["seq"])
+    assert sorted(r.user_name for r in rows.collect()) == ["27", "28", "29"]
+
+
+def test_watermark_stays_if_nothing_was_loaded(spark, tmp_path):
+    land, out, marks = (str(tmp_path / n) for n in ("land", "out", "marks"))
+    good = '{"id": 1, "update_time": "2024-01-01 00:00:00"}'
+    bad = '{"id": "x", "update_time": "2030-01-01 00:00:00"}'
+    for batch in ([good, bad.replace("2030", "2023")], [bad]):
+        spark.createDataFrame([(b,) for b in batch], "value string").coalesce(1).write.mode("append").text(land)
+        stream = spark.readStream.text(land).select(F.parse_json("value").alias("record"))
+        streams.stream_watermark(stream, out, marks).awaitTermination()
+    assert str(streams.read_watermark(spark, out).first()[0]) == "2024-01-01 00:00:01"
 
 
 def test_stream_restarts_with_late_shuffled_and_repeated_files(spark, tmp_path):

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from funnelwise.operators import catalogs, history, merge, ordered
 from funnelwise.operators.histograms import counter_increase, exact_quantiles
 from funnelwise.operators.quality import reconcile_ids
+from funnelwise.operators.scan import point_lookup
 from funnelwise.operators.sizing import attach
-from funnelwise.sources.store import BucketStore
+from funnelwise.sources import tables
 
 T = lambda day: dt.datetime(2024, 1, day)
 SHAPE = "id string, v string, add_time timestamp, update_time timestamp, moved_to_stage_a_1 timestamp"
@@ -23,13 +24,12 @@ def rows(df):
     return {r[0]: tuple(r)[1:] for r in df.collect()}
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
-def test_merge_rule(spark, strategy):
+def test_merge_rule(spark):
     t, s = spark.createDataFrame(TARGET, SHAPE), spark.createDataFrame(SOURCE, SHAPE)
-    got = rows(merge.merge_deals(t, s, strategy=strategy))
+    got = rows(merge.merge_deals(t, s))
     assert {k: v[0] for k, v in got.items()} == {"eq": "new", "newer": "new", "older": "old", "tnull": "new", "snull": "old", "alone": "old", "insert": "new"}
     assert got["eq"] == ("new", T(1), T(5), None) and got["newer"] == ("new", T(3), T(6), T(3))
-    kept = rows(merge.merge_deals(t, s, history="preserve", strategy=strategy))
+    kept = rows(merge.merge_deals(t, s, history="preserve"))
     assert kept["eq"][3] == T(2) and kept["newer"][3] == T(3)
 
 
@@ -55,40 +55,53 @@ def test_latest_per_id_with_a_third_of_rows_on_one_id(spark):
 
 
 @pytest.mark.parametrize("kind", ["bigint", "string"])
-def test_attach_spreads_hot_and_null_keys(spark, kind):
+def test_attach_with_hot_and_null_keys(spark, kind):
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 1000).cast(kind)
     left = spark.range(6000).select("id", key.alias("k"))
     table = spark.range(0, 1000, 2).select(F.col("id").cast(kind).alias("key"), F.concat(F.lit("n"), "id").alias("name"))
     table = table.unionByName(spark.createDataFrame([(7, "n7")], "key int, name string").select(F.col("key").cast(kind).alias("key"), "name"))
-    plain = attach(left, table, "k", "key", {"name": "name"}, strategy="plain")
-    spread = attach(left, table, "k", "key", {"name": "name"}, spread_by=["id"], strategy="spread")
-    assert sorted(map(repr, spread.collect())) == sorted(map(repr, plain.collect()))
-    assert spread.filter("name = 'n7'").count() == 2002
-
-
-def test_store_rewrites_touched_buckets_only(spark, tmp_path):
-    store = BucketStore(spark, str(tmp_path / "deals"), buckets=16)
-    store.publish(spark.range(1000).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v")))
-    before = {r["bucket"]: r["folder"] for r in store._current()}
-    change = lambda t, s: t.join(s.select("id"), "id", "left_anti").unionByName(s, allowMissingColumns=True)
-    source = spark.createDataFrame([("5", "b", 1), ("new", "b", 2)], "id string, v string, extra int")
-    assert store.apply(source, change, batch=0)
-    after = {r["bucket"]: r["folder"] for r in store._current()}
-    assert 1 <= sum(before[b] != after[b] for b in before) <= 2
-    assert store.read().count() == 1001 and store.read().filter("v = 'b'").count() == 2
-    assert store.lookup("5").first().asDict() == {"id": "5", "v": "b", "extra": 1} and store.lookup("none").count() == 0
-    assert store.lookup("7").first().extra is None
-    assert not store.apply(source.withColumn("v", F.lit("again")), change, batch=0)
-    assert store.read().filter("v = 'again'").count() == 0
-
-
-def test_failed_commit_leaves_the_table_as_it_was(spark, tmp_path):
-    store = BucketStore(spark, str(tmp_path / "deals"), buckets=4)
-    store.publish(spark.range(10).select(F.col("id").cast("string").alias("id")))
+    plain = attach(left, table, "k", "key", {"name": "name"})
+    shuffled = attach(left, table.hint("merge"), "k", "key", {"name": "name"})
+    assert sorted(map(repr, shuffled.collect())) == sorted(map(repr, plain.collect()))
+    assert shuffled.count() == 6000 and shuffled.filter("name = 'n7'").count() == 2002
+
+
+def test_a_change_writes_its_own_keys_only(spark, tmp_path):
+    path = str(tmp_path / "deals")
+    tables.write_snapshot(spark.range(1000).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"), F.lit(0).alias("n")), path)
+    change = lambda t, s: merge_all(t, s)
+    source = spark.createDataFrame([("5", "b", 1), ("new", "b", 2)], "id string, v string, n int")
+    tables.apply_changes(source, path, 1, change)
+    tables.apply_changes(spark.createDataFrame([("5", "c", 10)], "id string, v string, n int"), path, 2, change)
+    written = {r.upto: r["count"] for r in spark.read.parquet(path).groupBy("upto").count().collect()}
+    assert written == {0: 1000, 1: 2, 2: 1}
+    want = {**{str(i): ("a", 0) for i in range(1000)}, "5": ("c", 11), "new": ("b", 2)}
+    assert rows(tables.read_table(spark, path)) == want
+    assert rows(tables.read_table(spark, path, before=2))["5"] == ("b", 1)
+    tables.apply_changes(spark.createDataFrame([("5", "c", 10)], "id string, v string, n int"), path, 2, change)
+    assert rows(tables.read_table(spark, path)) == want, "a replayed write changes nothing"
+    tables.rewrite_table(spark, path, path + "-new")
+    assert rows(tables.read_table(spark, path + "-new")) == want
+
+
+def merge_all(t, s):
+    both = t.alias("t").join(s.alias("s"), "id", "right")
+    return both.select("id", F.col("s.v").alias("v"), (F.coalesce("t.n", F.lit(0)) + F.col("s.n")).alias("n"))
+
+
+def test_a_failed_change_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "deals")
+    tables.write_snapshot(spark.range(10).select(F.col("id").cast("string").alias("id")), path)
     broken = lambda t, s: t.withColumn("id", F.raise_error(F.lit("lost")).cast("string"))
     with pytest.raises(Exception, match="lost"):
-        store.apply(spark.createDataFrame([("1",)], "id string"), broken, batch=1)
-    assert store.read().count() == 10 and store.version() == 1 and store.last_batch("sync") is None
+        tables.apply_changes(spark.createDataFrame([("1",)], "id string"), path, 1, broken)
+    assert tables.read_table(spark, path).count() == 10
+
+
+def test_a_lookup_skips_files_of_a_snapshot(spark, tmp_path):
+    path = str(tmp_path / "deals")
+    tables.write_snapshot(spark.range(10_000).select(F.format_string("%05d", "id").alias("id")), path)
+    assert "EqualTo(id,00042)" in point_lookup(spark.read.parquet(path), "00042")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_changelog_edges(spark):
@@ -136,6 +149,15 @@ def test_exact_quantiles_on_heavy_ties(spark):
     assert [got[q] for q in (0.0, 0.5, 0.95, 1.0)] == pytest.approx(want)
 
 
+def test_exact_quantiles_on_wide_and_narrow_ranges(spark):
+    values = [1e308, -1e308, 0.0, 1e-300, 5.0, 5.0, 5.0, 6.0, None] + [float(i) / 7 for i in range(500)] + [1e12 + i for i in range(50)]
+    df = spark.createDataFrame([(g, v) for g in ("a", "b") for v in values] + [("one", 3.0), ("none", None)], "g string, v double")
+    qs = [0.0, 0.1, 0.5, 0.77, 0.999, 1.0]
+    got = {(r.g, r.q): r.value for r in exact_quantiles(df, "v", qs, ["g"], bins=4).collect()}
+    want = df.filter("v IS NOT NULL").groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, qs))).alias("p")).collect()
+    assert got == pytest.approx({(r.g, q): v for r in want for q, v in zip(qs, r.p)})
+
+
 def test_counter_resets(spark):
     at = lambda m: dt.datetime(2024, 1, 1, 0, m)
     df = spark.createDataFrame([("s", at(0), 10.0), ("s", at(1), 15.0), ("s", at(6), 3.0), ("s", at(20), 4.0)], "series string, ts timestamp, value double")
