@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import keep
+from ..sources.scratch import forget, keep
 from .graph import components
 from .text import Chunk, by_row, chunks, group_by_row, mix
 
@@ -23,6 +23,8 @@ COORDINATES = 128
 BAND = 4
 #: Rows of a group that are compared in one task; larger groups are cut into blocks.
 CELL_ROWS = 512
+#: Blocks of a group of which all pairs are compared.
+GRID_BLOCKS = 16
 #: A sketch must be this many standard deviations below the threshold to exclude a link.
 SLACK = 5
 
@@ -157,37 +159,34 @@ def set_links(payloads: list[bytes], percent: float, n: int) -> list[tuple[int,
 
 
 def links_in_groups(members: DataFrame, spanning: Callable[[list[bytes]], list[tuple[int, int]]]) -> DataFrame:
-    """(a, b): spanning links of each group of `members` (group, id, payload).
+    """(a, b): spanning links of each group of `members` (group, rows, id, payload), `rows` being the group's size.
 
-    A group of at most CELL_ROWS rows is one cell. A larger one is cut into blocks by a hash of the id.
-    First every block is compared within itself and with one small block of pivots, which settles the
-    large group of alike items. Whatever is then not connected with the group's largest part, and
-    only that, is compared with every block, so all pairs that could still connect parts are looked at.
+    A group of at most CELL_ROWS rows is one cell. A larger one is cut into blocks by a hash of the id, and
+    up to GRID_BLOCKS blocks every pair of blocks is a cell. In a group beyond that, every block first meets one
+    small block of pivots, which settles a large group of alike items; whatever is then not connected with the
+    group's largest part, and only that, meets every block. All pairs that could still connect parts are compared.
     """
-    sizes = members.groupBy("group").agg(F.count("*").alias("rows"))
     blocks = F.ceil(F.col("rows") / CELL_ROWS).cast("long")
-    sized = members.join(sizes.withColumn("blocks", blocks), "group")
-    pick = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))
-    sized = sized.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    one = sized.filter("blocks = 1")
-    first = _cell_links(one.withColumn("cell", F.lit(0).cast("long")), spanning)
-    many = keep(sized.filter("blocks > 1").withColumn("pivot", pick < F.lit(1 << 40) * 32 / F.col("rows")))
+    sized = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    zero = F.lit(0).cast("long")
+    every = F.sequence(zero, F.col("blocks") - 1)
+    cell = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
+    pivot = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40)) < F.lit(1 << 40) * 32 / F.col("rows")
+    others = F.when(F.col("blocks") <= GRID_BLOCKS, F.transform(every, lambda k: cell(F.least("block", k), F.greatest("block", k))))
+    others = others.when(pivot, F.transform(every, lambda k: cell(k, k))).otherwise(F.array(cell(F.col("block"), F.col("block"))))
+    first = keep(_cell_links(sized.withColumn("cell", F.explode(others)), spanning))
+    many = sized.filter(F.col("blocks") > GRID_BLOCKS)
     if many.isEmpty():
-        return keep(first)
-    pivots = many.filter("pivot").withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = many.filter("not pivot").withColumn("cell", F.col("block")).unionByName(pivots)
-    first = keep(first.unionByName(_cell_links(cells, spanning)))
-    parts = components(first)
-    labelled = many.join(parts.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left").withColumn("part", F.coalesce("root", "id"))
+        return first
+    parts = components(first).withColumnRenamed("id", "__id")
+    labelled = many.join(parts, F.col("id") == F.col("__id"), "left").withColumn("part", F.coalesce("root", "id"))
     by_part = labelled.groupBy("group", "part").agg(F.count("*").alias("n"))
     largest = by_part.groupBy("group").agg(F.max(F.struct("n", "part")).alias("top")).select("group", F.col("top.part").alias("main"))
     open_ = keep(labelled.join(largest, "group").filter("part != main").select(*many.columns))
-    spread = lambda rows: rows.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     crowd = open_.groupBy("group").agg(F.ceil(F.count("*") / CELL_ROWS).cast("long").alias("slices"))
-    open_ = open_.join(crowd, "group").withColumn("slice", F.pmod(F.xxhash64("id", F.lit(2)), F.col("slices")))
-    alls = many.join(crowd, "group").withColumn("cell", F.col("block"))
-    alls = alls.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-    crossed = [rows.select("group", "id", "payload", F.struct("cell", "slice").alias("cell")) for rows in (spread(open_), alls)]
+    spread = open_.join(crowd, "group").withColumn("high", F.pmod(F.xxhash64("id", F.lit(2)), F.col("slices"))).withColumn("low", F.explode(every))
+    alls = many.join(crowd, "group").withColumn("low", F.col("block")).withColumn("high", F.explode(F.sequence(zero, F.col("slices") - 1)))
+    crossed = [rows.select("group", "id", "payload", cell(F.col("low"), F.col("high")).alias("cell")) for rows in (spread, alls)]
     return keep(first.unionByName(_cell_links(crossed[0].unionByName(crossed[1]), spanning)))
 
 
@@ -226,22 +225,28 @@ def near_duplicates(docs: DataFrame, percent: float = 80, text: str = "text", ke
     """
     sketches = keep(sketch_table(docs, text, key, n, t, band))
     with_words = sketches.filter((F.col("n_shingles") > 0) & F.col(key).isNotNull())
-    classes = keep(with_words.groupBy("set_1", "set_2").agg(F.min(key).alias("id")))
-    single = with_words.join(classes.select(F.col("id").alias(key), "set_1", "set_2"), [key, "set_1", "set_2"], "left_semi").dropDuplicates([key, "set_1", "set_2"])
-    bands = keep(single.select(F.col(key).alias("id"), F.explode("bands").alias("bucket")))
-    signed = bands.groupBy("bucket").agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.pmod(F.xxhash64("id", "id"), F.lit(1 << 31))).alias("s"))
-    buckets = signed.filter("rows > 1").groupBy("rows", "x", "s").agg(F.min("bucket").alias("bucket"))
-    members = bands.join(buckets.select("bucket"), "bucket")
-    rows = members.join(single.select(F.col(key).alias("id"), "sketch"), "id").select(F.col("bucket").alias("group"), "id", F.col("sketch").alias("payload"))
+    # equal sets have equal bands and sketches
+    classes = keep(with_words.groupBy("set_1", "set_2").agg(F.min(key).alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("payload")))
+    bands = classes.select("id", F.explode("bands").alias("group"))
+    signed = bands.groupBy("group").agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.pmod(F.xxhash64("id", "id"), F.lit(1 << 31))).alias("s"))
+    # of buckets with the same members one is enough
+    buckets = signed.filter("rows > 1").groupBy("rows", "x", "s").agg(F.min("group").alias("group")).select("group", "rows")
+    rows = bands.join(buckets, "group").join(classes.select("id", "payload"), "id")
     share = percent / 100
     probable = share - SLACK * (share * (1 - share) / t) ** 0.5
-    likely = links_in_groups(keep(rows), lambda payloads: sketch_links(payloads, probable))
+    rows = keep(rows)
+    likely = links_in_groups(rows, lambda payloads: sketch_links(payloads, probable))
     clusters = components(likely)
-    members = clusters.select("id", F.col("root").alias("group")).union(clusters.select(F.col("root").alias("id"), F.col("root").alias("group")).distinct())
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("payload")).join(members, "id").dropDuplicates(["id", "payload"])
-    confirmed = links_in_groups(keep(texts.select("group", "id", "payload")), lambda payloads: set_links(payloads, percent, n))
+    forget(rows, likely)
+    sizes = clusters.groupBy("root").agg((F.count("*") + 1).alias("rows"))
+    members = clusters.union(sizes.select(F.col("root").alias("id"), "root")).join(sizes, "root").select("id", F.col("root").alias("group"), "rows")
+    # one plan at every size: what the text side costs then follows the input
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("payload")).join(members.hint("merge"), "id").dropDuplicates(["id", "payload"])
+    texts = keep(texts)
+    confirmed = links_in_groups(texts, lambda payloads: set_links(payloads, percent, n))
     roots = components(confirmed)
+    forget(texts, confirmed)
     ids = classes.join(roots, "id", "left").select("set_1", "set_2", F.coalesce("root", "id").alias("component_id"))
-    out = sketches.drop("bands", "sketch").join(ids, ["set_1", "set_2"], "left")
+    out = sketches.select(key, "n_shingles", "set_1", "set_2").join(ids, ["set_1", "set_2"], "left")
     own = F.when((F.col("n_shingles") == 0) | F.col(key).isNull(), F.col(key)).otherwise(F.coalesce("component_id", F.col(key)))
     return out.select(key, "n_shingles", own.alias("component_id")).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
