@@ -171,7 +171,8 @@ def test_token_counts_of_tables(spark, edges, nothing, library):
 
 def test_licences_in_lines_paragraphs_and_texts(spark, edges, nothing):
     texts = [
-        "some words\nReleased under the MIT license\nother words", "This program is free software: you can redistribute it and/or modify it under the\nterms of the GNU General Public License as published\nby the Free Software Foundation, either version 3 of the License,\nor (at your option) any later version.\n\nmore",
+        "some words\nReleased under the MIT license\nother words",
+        "This program is free software: you can redistribute it and/or modify it under the\nterms of the GNU General Public License as published\nby the Free Software Foundation, either version 3 of the License,\nor (at your option) any later version.\n\nmore",
         "released under the", "MIT", None, "",
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
