@@ -45,7 +45,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = near_duplicates(docs, NEAR_PERCENT)
     copies = found.filter(~F.col("kept")).select("doc_id").distinct()
     unnamed = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    left = docs.join(copies, "doc_id", "left_anti").withColumn("__text", unnamed)
+    left = docs.join(copies.hint("merge"), "doc_id", "left_anti").withColumn("__text", unnamed)
     return left.dropDuplicates(["doc_id", "__text"]).select(docs.columns)
 
 
