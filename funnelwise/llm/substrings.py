@@ -26,10 +26,10 @@ from .text import chunks
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 5
 #: Text that a task factors as one block, and that a reference block holds the windows of.
-LOCAL_BYTES = 32 << 20
+LOCAL_BYTES = 12 << 20
 BLOCK_BYTES = 16 << 20
 #: Parts of the hash range for each reference block, which even out the blocks.
-PARTS = 8
+PARTS = 16
 _START_SHIFT = 24
 
 _FRAGMENTS = "part int, docs binary, starts binary, counts binary, hashes binary, ref_docs binary, ref_starts binary"
