@@ -36,12 +36,23 @@ BASE_RULES = [
     SecretRule("access", r"AKIA[A-Z0-9]+", 0, 20),
     SecretRule("hex", r"[0-9a-f]+", 0, 24),
 ]
+_KEY_NAME = r"[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_PLAIN = r"(?:[A-Za-z0-9+/=\\\r\n]*(?:(?m:$)|[\\=]))?"
+_MARKED = rf"[^A-Za-z0-9]{{1,12}}[A-Za-z0-9+/]{{40,}}{_PLAIN}"
+#: From the header to the END line, with no five dashes between; else over header fields and the base64 lines that follow. The bounds
+#: are on groups, which Java matches by recursion: on runs of dashes, fields and marked lines. Plain lines have none.
+_PRIVATE_KEY = (
+    rf"-----BEGIN {_KEY_NAME}(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END {_KEY_NAME}"
+    r"|(?:[^A-Za-z0-9]{0,24}(?:\\[rn]){0,2}[A-Z][A-Za-z0-9-]{1,30}: [^\r\n\\]*){0,8}"
+    rf"(?:[^A-Za-z0-9]{{1,24}}[A-Za-z0-9+/]{{32,}}{_PLAIN}(?:{_MARKED}){{0,25}}(?:{_MARKED}){{0,25}}(?:{_MARKED}){{0,25}}(?:{_MARKED}){{0,25}}"
+    r"(?:[^A-Za-z0-9]{1,5}[A-Za-z0-9+/]{1,39}={1,2})?)?)"
+)
 MORE_RULES = [
-    SecretRule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,250}"),
+    SecretRule("private_key", _PRIVATE_KEY),
+    SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    SecretRule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,250}"),
+    SecretRule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 ]
 RULES = BASE_RULES + MORE_RULES

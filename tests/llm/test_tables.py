@@ -254,6 +254,30 @@ def test_secrets_are_masked(spark):
         assert got[i] == (want + t[at:] if t is not None else None)
 
 
+def test_whole_keys_and_tokens_are_masked(spark):
+    rnd = random.Random(8)
+    line = lambda n=64: "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz+/", k=n))
+    body, ends = [line() for _ in range(50)] + [line(22) + "=="], ("-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----")
+    pgp = ("-----BEGIN PGP PRIVATE KEY BLOCK-----", "-----END PGP PRIVATE KEY BLOCK-----")
+    long = [line() for _ in range(20_000)]
+    texts = {
+        "plain": "\n".join(["a", ends[0], *body, ends[1], "b c"]), "crlf": "\r\n".join(["a", ends[0], *body, ends[1], "b c"]),
+        "fields": "\n".join(["a", ends[0], "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *body, ends[1], "b c"]),
+        "escaped": "a\n" + "\\n".join([ends[0], *body, ends[1]]) + "\nb c", "pgp": "\n".join(["a", pgp[0], "Version: GnuPG v1", "", *body, "=aB3d", pgp[1], "b c"]),
+        "dashes": "\n-- ".join(["a", ends[0], *body, ends[1]]) + "\nb c", "no end": "\n".join(["a", ends[0], *body, "", "b c"]), "long, no end": "\n".join(["a", ends[0], *long, "", "- b c"]),
+        "fields, no end": "\n".join(["a", ends[0], "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *body, "", "- b c"]), "marked, no end": "\n # ".join(["a", ends[0], *body]) + "\n\nb c",
+        "two": "\n".join(["a", ends[0], *body, "", ends[0], *body, ends[1], "b c"]), "header": f"a {ends[0]} is how a key begins, b c",
+        "github": "a ghp_" + "Z9" * 200 + " b c", "slack": "a xoxb-" + "Z9-" * 200 + " b c", "stripe": "a sk_live_" + "Z9" * 200 + " b c",
+    }
+    found = secrets.scan_secrets(spark.createDataFrame(list(texts.items()), "doc_id string, text string"))
+    got = dict(found.select("doc_id", secrets.redact(F.col("text"), F.col("secrets"))).collect())
+    for name, masked in got.items():
+        words = re.sub(r"[^A-Za-z]+", " ", masked.replace("[SECRET]", " ")).split()
+        assert words == ["a", *("is how a key begins".split() if name == "header" else []), "b", "c"], (name, words[:20])
+    spans = {r.doc_id: [(s.start, s.kind_no, s.end, s.kind) for s in r.secrets] for r in found.collect()}
+    assert spans == {name: slow_spans(t, secrets.RULES) for name, t in texts.items()}
+
+
 @pytest.mark.parametrize("pattern, query", [
     ("abcd", [{"abc", "bcd"}]), ("ab(cd|ef)?g", [{"abg"}, {"abc", "bcd", "cdg"}, {"abe", "bef", "efg"}]), ("a[xy]bc", [{"axb", "xbc"}, {"ayb", "ybc"}]),
     ("[0-9a-f]+", None), ("ab.cd", None), ("abc|d+", None), ("(abc)+def", [{"abc", "def"}]), ("(?i)ABC", [{"abc"}]), ("x{2}abc", [{"abc", "xab"}]), ("^abc$", [{"abc"}]), ("abc|abcd", [{"abc"}]),
