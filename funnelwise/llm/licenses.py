@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from .text import Chunk, chunks
 #: Normalised words are runs of ASCII letters, digits and non-ASCII bytes, in lower case.
 _SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
-# Usual statements and notices of common licences.
+# Usual statements and notices of common licences, those that the SQL compares with.
 TEMPLATES = {
     "mit_statement": "Released under the MIT License.",
     "apache_2_statement": "Licensed under the Apache License, Version 2.0.",
@@ -39,6 +40,60 @@ TEMPLATES = {
 }
 
 
+_GNU = {
+    "gpl": ("General", ("1", "2", "3")), "lgpl": ("Lesser General", ("2.1", "3")), "lgpl_library": ("Library General", ("2",)), "agpl": ("Affero General", ("3",)),
+}
+_CC = {"by": "Attribution", "by_sa": "Attribution-ShareAlike", "by_nd": "Attribution-NoDerivatives", "by_nc": "Attribution-NonCommercial", "by_nc_sa": "Attribution-NonCommercial-ShareAlike", "by_nc_nd": "Attribution-NonCommercial-NoDerivatives"}
+_OTHER = {
+    "mit": "MIT License", "isc": "ISC License", "bsd_2": "BSD 2-Clause License", "bsd_3": "BSD 3-Clause License", "apache": "Apache License", "apache_1_0": "Apache License, Version 1.0",
+    "apache_1_1": "Apache License, Version 1.1", "apache_2": "Apache License, Version 2.0", "mpl": "Mozilla Public License", "mpl_1_1": "Mozilla Public License, Version 1.1", "mpl_2": "Mozilla Public License, Version 2.0",
+    "bsl_1": "Boost Software License, Version 1.0", "epl_1": "Eclipse Public License, Version 1.0", "epl_2": "Eclipse Public License, Version 2.0", "ofl_1_1": "SIL Open Font License, Version 1.1", "artistic_2": "Artistic License 2.0",
+}
+_FREE = "{} is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_ONLY = "{} is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public License version {} as published by the Free Software Foundation."
+_NOTICES = {
+    "mpl_2_notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "mpl_1_1_notice": (
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License. "
+        "You may obtain a copy of the License at http://www.mozilla.org/MPL/"
+    ),
+    "bsl_1_notice": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)",
+    "bsd_notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "cc0_1_notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+}
+
+
+def statements() -> dict[str, str]:
+    """Short statements and notices of the common licences, each with those of its other versions and variants."""
+    found = dict(_NOTICES)
+    for name, title in _OTHER.items():
+        found |= {f"{name}_statement_licensed": f"Licensed under the {title}.", f"{name}_statement_released": f"Released under the {title}."}
+    for name, (kind, versions) in _GNU.items():
+        for ways, start in (("licensed", "Licensed"), ("released", "Released"), ("work", "This work is licensed")):
+            found[f"{name}_statement_{ways}"] = f"{start} under the GNU {kind} Public License."
+            found |= {f"{name}_{v.replace('.', '_')}_statement_{ways}": f"{start} under the GNU {kind} Public License, version {v}." for v in versions}
+        for v in versions:
+            for of in ("program", "library"):
+                found[f"{name}_{v.replace('.', '_')}_notice_{of}"] = _FREE.format(f"This {of}", kind, v)
+                found[f"{name}_{v.replace('.', '_')}_only_notice_{of}"] = _ONLY.format(f"This {of}", kind, v)
+    for name, title in _CC.items():
+        for v, port in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+            key = f"cc_{name}_{v.removesuffix('.0').replace('.', '_')}_statement"
+            found[f"{key}_short"] = f"Licensed under CC {name.upper().replace('_', '-')} {v}."
+            found[f"{key}_work"] = f"This work is licensed under a Creative Commons {title} {v} {port} License."
+    return {n: t for n, t in found.items() if t not in TEMPLATES.values()}
+
+
+def whole_texts() -> dict[str, str]:
+    """The licence texts of `license_texts`, which is read with the package."""
+    return {f"{f.name[:-4]}_text": f.read_text("utf-8") for f in resources.files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")}
+
+
+def all_templates() -> dict[str, str]:
+    """TEMPLATES, further statements and notices, and whole licence texts."""
+    return TEMPLATES | statements() | whole_texts()
+
+
 @dataclass
 class TemplateIndex:
     """Distinct bigram hashes of each template, and of all together."""
@@ -85,13 +140,14 @@ def units(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start[long], end[long], chunk.word_row[start[long]]
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.75, text: str = "text", ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.75, text: str = "text", ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`ids`, start, end (words of the normalised text), license, dice: each unit at least `least` similar to a template.
 
     A unit has its best template only. Null and empty texts, and units of fewer than two words, match
     nothing; repeated rows each have their matches; other columns are ignored. One map pass.
+    No `templates`: all of the module.
     """
-    index = TemplateIndex.of(templates, least)
+    index = TemplateIndex.of(all_templates() if templates is None else templates, least)
     known = np.unique(np.concatenate([np.zeros(0, np.uint64), *index.bigrams]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from funnelwise.llm import text
 from funnelwise.llm.language import KeyTable, fit_contexts, identify_language
-from funnelwise.llm.licenses import scan_licenses
+from funnelwise.llm.licenses import TEMPLATES, all_templates, scan_licenses
 from funnelwise.llm.quality import repetition_quality
 from funnelwise.llm.queries import QUERIES
 from funnelwise.llm.token_counts import count_tokens, piece_counter
@@ -183,6 +183,14 @@ def test_licences_in_lines_paragraphs_and_texts(spark, edges, nothing):
     assert scan_licenses(docs, templates={"empty": "", "one": "word"}).count() == 0
 
 
+def test_every_licence_template_wins_over_its_siblings(spark):
+    of = {n: t for n, t in all_templates().items() if n not in TEMPLATES}
+    docs = spark.createDataFrame([(n, " ".join(t.split())) for n, t in of.items()], "doc_id string, text string")
+    got = {(r.doc_id, r.license, r.dice) for r in scan_licenses(docs).collect() if r.start == 0}
+    assert {(n, n, 1.0) for n in of} <= got
+    assert {"bsd_2_text", "bsd_3_text", "isc_text", "mpl_2_text", "lgpl_2_1_text", "gpl_2_text", "agpl_3_notice_program", "cc_by_sa_3_statement_short"} <= set(of)
+
+
 def test_nothing_depends_on_the_seeded_order(spark):
     rows = edge_rows()
     random.Random(5).shuffle(rows)
