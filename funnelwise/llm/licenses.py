@@ -1,9 +1,11 @@
-"""Licence scans: lines, paragraphs and whole texts against templates, by Dice over word bigrams."""
+"""Licence scans: lines, paragraphs, whole texts and parts of template length against templates, by Dice over word bigrams."""
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from importlib import resources
 
 import numpy as np
@@ -11,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Chunk, chunks
+from .text import Chunk, chunks, group_by_row
 
 #: Normalised words are runs of ASCII letters, digits and non-ASCII bytes, in lower case.
 _SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -96,80 +98,200 @@ def all_templates() -> dict[str, str]:
 
 @dataclass
 class TemplateIndex:
-    """Distinct bigram hashes of each template, and of all together."""
+    """Distinct bigram hashes of each template, with its length in bigrams, and of all together with the templates that hold each."""
 
     names: list[str]
     bigrams: list[np.ndarray]
+    lengths: list[int]
     least: float
 
     @classmethod
     def of(cls, templates: dict[str, str], least: float) -> TemplateIndex:
-        found = {}
+        found, lengths = {}, []
         for name, text in sorted(templates.items()):
             (chunk,) = chunks(pa.array([text], pa.large_string()), separators=_SEPARATORS)
-            found[name] = np.unique(chunk.windows(chunk.word_hashes(lower=True), 2)[1])
-        usable = {n: b for n, b in found.items() if len(b)}
-        return cls(list(usable), list(usable.values()), least)
-
-    def best(self, unit: np.ndarray) -> tuple[float, str] | None:
-        """The most similar template to a unit's distinct bigrams, the first by name on ties.
-
-        Dice of sizes a and b is at most 2 min(a, b) / (a + b): templates of other sizes are passed over.
-        """
-        best = None
-        for name, own in zip(self.names, self.bigrams):
-            if 2 * min(len(own), len(unit)) < self.least * (len(own) + len(unit)):
-                continue
-            dice = 2 * len(np.intersect1d(own, unit, assume_unique=True)) / (len(own) + len(unit))
-            if dice >= self.least and (best is None or dice > best[0]):
-                best = dice, name
-        return best
+            grams = chunk.windows(chunk.word_hashes(lower=True), 2)[1]
+            if len(grams):
+                found[name] = np.unique(grams)
+                lengths.append(len(grams))
+        return cls(list(found), list(found.values()), lengths, least)
+
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        return np.array([len(b) for b in self.bigrams], np.int64)
+
+    @cached_property
+    def known(self) -> np.ndarray:
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *self.bigrams]))
+
+    @cached_property
+    def owners(self) -> tuple[np.ndarray, np.ndarray]:
+        """Templates by known bigram: where those of each begin, and the templates."""
+        gram = np.concatenate([np.zeros(0, np.int64), *(np.searchsorted(self.known, b) for b in self.bigrams)])
+        template = np.repeat(np.arange(len(self.names), dtype=np.int16), self.sizes)
+        order = np.argsort(gram, kind="stable")
+        return np.searchsorted(gram[order], np.arange(len(self.known) + 1)), template[order]
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index in `grams`, and in `known`, of those that some template holds."""
+        if not len(self.known):
+            return np.zeros((2, 0), np.int64)
+        place = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+        at = np.flatnonzero(self.known[place] == grams)
+        return at, place[at]
+
+    def held(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index in `place`, and template, of every template that holds one of the known bigrams."""
+        first, templates = self.owners
+        n = first[place + 1] - first[place]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(np.arange(len(place)), n), templates[np.repeat(first[place], n) + within]
+
+    def best(self, unit: np.ndarray) -> tuple[float, str, float] | None:
+        """Dice, name and excess of the most similar template to a unit's distinct bigrams, the first by name on ties."""
+        shared = np.bincount(self.held(self.find(unit)[1])[1], minlength=len(self.names))
+        dice = 2 * shared / (self.sizes + len(unit))
+        k = int(dice.argmax())
+        return (float(dice[k]), self.names[k], float((dice[k] - self.least) * (self.sizes[k] + len(unit)))) if dice[k] >= self.least else None
 
 
 def units(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, end word and row of every line, paragraph (parted by two line breaks) and whole text, each range once."""
-    line = np.flatnonzero(chunk.data == 10)
-    paragraph = line[1:][np.diff(line) == 1]
-    out = []
-    for breaks in (line + 1, paragraph + 1, np.zeros(0, np.int64)):
-        edges = np.union1d(chunk.row_at, breaks)
-        words = np.searchsorted(chunk.spans[0], edges)
-        out.append(np.stack([words[:-1], words[1:]]))
+    """First word, end word and row of every line, paragraph and whole text, each range once.
+
+    Lines end at \\n, \\r\\n or \\r. Paragraphs are parted by two adjacent \\n, and those of another reading by any line without a word.
+    """
+    feed = np.flatnonzero(chunk.data == 10)
+    paragraph = feed[1:][np.diff(feed) == 1]
+    back = np.flatnonzero(chunk.data == 13)
+    alone = back[chunk.data[np.minimum(back + 1, len(chunk.data) - 1)] != 10]
+    line = np.union1d(feed, alone)
+    edges = np.union1d(chunk.row_at, line + 1)
+    words = np.searchsorted(chunk.spans[0], edges)
+    blank = words[:-1][words[:-1] == words[1:]]
+    out = [np.stack([words[:-1], words[1:]])]
+    for borders in (np.searchsorted(chunk.spans[0], paragraph + 1), blank, np.zeros(0, np.int64)):
+        borders = np.union1d(chunk.word_at, borders)
+        out.append(np.stack([borders[:-1], borders[1:]]))
     start, end = np.unique(np.concatenate(out, axis=1), axis=1)
     long = end - start >= 2
     return start[long], end[long], chunk.word_row[start[long]]
 
 
+def _ahead(at: np.ndarray, kind: np.ndarray, width: int) -> np.ndarray:
+    """For each of some ascending positions, how many kinds lie at it or less than `width` after it."""
+    order = np.argsort(kind, kind="stable")
+    same = kind[order][1:] == kind[order][:-1]
+    before = np.full(len(at), -1)
+    before[order[1:][same]] = order[:-1][same]
+    first = np.maximum(before + 1, np.searchsorted(at, at - width, "right"))
+    steps = np.bincount(first, minlength=len(at) + 1)
+    steps[1:] -= 1
+    return np.cumsum(steps)[:-1]
+
+
+def _reach(grams: np.ndarray, own: np.ndarray) -> tuple[int, float]:
+    """The prefix of some bigrams most similar to a template's: its length (the least on ties) and Dice."""
+    new = np.zeros(len(grams), bool)
+    new[np.unique(grams, return_index=True)[1]] = True
+    held = own[np.minimum(np.searchsorted(own, grams), len(own) - 1)] == grams
+    dice = 2 * np.cumsum(new & held) / (len(own) + np.cumsum(new))
+    k = int(dice.argmax())
+    return k + 1, float(dice[k])
+
+
+def parts(index: TemplateIndex, grams: np.ndarray, row: np.ndarray, edge: np.ndarray, at: np.ndarray, place: np.ndarray) -> list[tuple[float, int, int, float, str]]:
+    """(excess, first word, end word, dice, template) of the parts of texts that are at least `least` similar to a template.
+
+    `grams` is the bigram at each word and `edge` the words where rows begin; `at` and `place` are the words at known bigrams and which.
+    A part of Dice t and n distinct bigrams shares t / (2 - t) of either side or more: where fewer of a template's bigrams lie
+    within the longest such part there is none. From each other bigram a part grows forward and from its end
+    back to where it is most similar; parts of one template do not overlap. The excess is that of shared bigrams over the least.
+    """
+    which, template = index.held(place)
+    order = np.argsort(template, kind="stable")
+    cuts = np.searchsorted(template[order], np.arange(len(index.names) + 1))
+    least, out = index.least, []
+    for t, own in enumerate(index.bigrams):
+        fewest = int(np.ceil(least * len(own) / (2 - least) - 1e-9))
+        mine = which[order[cuts[t] : cuts[t + 1]]]
+        if len(mine) < max(fewest, 1):
+            continue
+        width = int(np.ceil((2 / least - 1) * index.lengths[t]))
+        p, of = at[mine], row[at[mine]]
+        n = _ahead(p + of * (width + 1), place[mine], width)  # rows further apart than any part is long
+        starts, ends = [], []
+        start = np.flatnonzero(n >= max(fewest, 1))
+        for k in start[np.argsort(-n[start], kind="stable")]:
+            low, high = edge[of[k]], edge[of[k] + 1] - 1
+            after = bisect_right(starts, p[k])
+            if after and p[k] < ends[after - 1]:
+                continue
+            low = max(low, ends[after - 1] if after else 0)
+            high = min(high, starts[after] if after < len(starts) else high)
+            end = p[k] + _reach(grams[p[k] : min(high, p[k] + width)], own)[0]
+            back, dice = _reach(grams[max(low, end - width) : end][::-1], own)
+            if dice >= least:
+                s = int(end - back)
+                starts.insert(after, s)
+                ends.insert(after, int(end))
+                out.append(((dice - least) * (len(own) + len(np.unique(grams[s:end]))), s, int(end) + 1, dice, index.names[t]))
+    return out
+
+
+def apart(found: list[tuple[float, int, int, float, str]], matched: list[tuple[float, int, int]], words: int) -> Iterator[tuple[int, int, float, str]]:
+    """Parts, but those inside a matched unit (excess, first word, end word) and those whose middle word a unit or part of no less excess holds."""
+    most, until = np.full(words, -1.0), np.zeros(words, np.int64)
+    for excess, s, e in matched:
+        most[s:e] = np.maximum(most[s:e], excess)
+        until[s] = max(until[s], e)
+    until = np.maximum.accumulate(until)
+    for excess, s, e, dice, name in sorted(found, key=lambda f: (-f[0], f[1] - f[2], f[4], f[1])):
+        if until[s] < e and most[(s + e - 1) // 2] < excess:
+            most[s:e] = np.maximum(most[s:e], excess)
+            yield s, e, dice, name
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.75, text: str = "text", ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`ids`, start, end (words of the normalised text), license, dice: each unit at least `least` similar to a template.
+    """`ids`, start, end (words of the normalised text), license, dice: each unit or part at least `least` similar to a template.
 
-    A unit has its best template only. Null and empty texts, and units of fewer than two words, match
-    nothing; repeated rows each have their matches; other columns are ignored. One map pass.
-    No `templates`: all of the module.
+    Units are lines, paragraphs and whole texts; a unit has its best template only. Parts are the runs of words, anywhere in a text, that
+    are most similar to a template; those inside a matched unit, or around whose middle something matches better, are left out. Null and empty texts, and units of fewer than two words, match nothing; repeated rows each
+    have their matches; other columns are ignored. One map pass. No `templates`: all of the module.
     """
     index = TemplateIndex.of(all_templates() if templates is None else templates, least)
-    known = np.unique(np.concatenate([np.zeros(0, np.uint64), *index.bigrams]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for chunk in chunks(batch.column(len(ids)), separators=_SEPARATORS):
                 at, grams = chunk.windows(chunk.word_hashes(lower=True), 2)
-                of_template = np.zeros(len(chunk.spans[0]) + 1, np.int64)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                    of_template[at + 1] = known[place] == grams
-                before = np.cumsum(of_template)
+                if not len(at):
+                    continue
+                hit, place = index.find(grams)
+                of_template, first_in_row = np.zeros((2, len(chunk.spans[0]) + 1), np.int64)
+                of_template[at[hit] + 1] = 1
+                order = group_by_row(grams, chunk.word_row[at])
+                new = np.ones(len(at), bool)
+                new[order[1:]] = (grams[order[1:]] != grams[order[:-1]]) | (chunk.word_row[at[order[1:]]] != chunk.word_row[at[order[:-1]]])
+                first_in_row[at + 1] = new
+                before, distinct = np.cumsum(of_template), np.cumsum(first_in_row)
                 start, end, row = units(chunk)
                 shared = before[end - 1] - before[start]
-                fewest = min((len(b) for b in index.bigrams), default=0) * least / 2
+                share = least / (2 - least)
+                fewest = np.maximum(distinct[end - 1] - distinct[start], min(index.sizes, default=0)) * share - 1e-9
                 by_word = np.zeros(len(chunk.spans[0]), np.uint64)
                 by_word[at] = grams
+                matched, better = [], []
                 for k in np.flatnonzero((shared > 0) & (shared >= fewest)):
                     best = index.best(np.unique(by_word[start[k] : end[k] - 1]))
                     if best:
-                        first = chunk.word_at[row[k]]
-                        found.append((chunk.first_row + row[k], start[k] - first, end[k] - first, best[1], best[0]))
+                        matched.append((start[k], end[k], best[1], best[0]))
+                        better.append((best[2], start[k], end[k]))
+                inner = parts(index, by_word, chunk.word_row, chunk.word_at, at[hit], place)
+                matched += [(s, e, name, dice) for s, e, dice, name in apart(inner, better, len(by_word))]
+                for s, e, name, dice in matched:
+                    own = chunk.word_row[s]
+                    found.append((chunk.first_row + own, s - chunk.word_at[own], e - chunk.word_at[own], name, dice))
             row, start, end, name, dice = zip(*found) if found else ((),) * 5
             picked = [c.take(pa.array(row, pa.int64())) for c in batch.columns[: len(ids)]]
             values = [pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(name, pa.string()), pa.array(dice, pa.float64())]

@@ -191,6 +191,24 @@ def test_every_licence_template_wins_over_its_siblings(spark):
     assert {"bsd_2_text", "bsd_3_text", "isc_text", "mpl_2_text", "lgpl_2_1_text", "gpl_2_text", "agpl_3_notice_program", "cc_by_sa_3_statement_short"} <= set(of)
 
 
+def test_licences_inside_longer_texts(spark):
+    all_of, before, after = all_templates(), prose(1, 400), prose(2, 400)
+    marked = lambda t, mark, end="\n": end.join(mark + l for l in t.split("\n"))
+    texts = {
+        "mit_text": "\n".join([before, marked(all_of["mit_text"], " * "), after]), "bsd_3_text": "\r\n".join([before, marked(all_of["bsd_3_text"], "# ", "\r\n"), after]),
+        "isc_text": " ".join([before, *all_of["isc_text"].split(), after]), "gpl_2_text": before + "\n" + all_of["gpl_2_text"], "lgpl_2_1_text": all_of["lgpl_2_1_text"] + after, "bsd_2_text": all_of["bsd_2_text"],
+        "mit_statement": "Copyright 2020 Foo Inc. Released under the MIT License.", "cc_by_sa_3_statement_short": f"{before} Licensed under CC BY-SA 3.0", "agpl_3_notice_program": f"{before} {all_of['agpl_3_notice_program']} {after}",
+        "gpl_2_notice_program": "\n".join(["int x;", "/* Foo", " *", " * " + all_of["gpl_2_notice_program"], " *", " */", after]), "mpl_2_notice": marked(before + "\n\n" + all_of["mpl_2_notice"] + "\n\n" + after, "# "),
+        "apache_2_notice": "x\r" + all_of["apache_2_notice"] + "\r" + before,
+    }
+    docs = spark.createDataFrame([*texts.items(), ("none", f"{before} licensed under the {after}")], "doc_id string, text string")
+    found = scan_licenses(docs).collect()
+    best = {r.doc_id: r.license for r in sorted(found, key=lambda r: (r.end - r.start) * (r.dice - 0.75))}
+    assert best == {name: name for name in texts}
+    twice = spark.createDataFrame([(1, f"{before} Released under the MIT License. {after} Released under the MIT License. {before}")], "doc_id long, text string")
+    assert [(r.start, r.end, r.license, r.dice) for r in sorted(scan_licenses(twice).collect())] == [(400, 405, "mit_statement", 1.0), (805, 810, "mit_statement", 1.0)]
+
+
 def test_nothing_depends_on_the_seeded_order(spark):
     rows = edge_rows()
     random.Random(5).shuffle(rows)
