@@ -41,12 +41,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate group; of rows that share an id one stays, of null ids one for each text."""
-    found = near_duplicates(docs, NEAR_PERCENT)
-    copies = found.filter(~F.col("kept")).select("doc_id").distinct()
-    unnamed = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    left = docs.join(copies.hint("merge"), "doc_id", "left_anti").withColumn("__text", unnamed)
-    return left.dropDuplicates(["doc_id", "__text"]).select(docs.columns)
+    """One document of each near-duplicate group: the one of smallest id, and of rows without id one besides.
+
+    Each distinct id and text is a document of its own, so rows that share an id only go if their texts are copies.
+    """
+    keyed = docs.withColumns({"__key": F.xxhash64("doc_id", "text"), "__text": F.xxhash64("text", F.lit(1))})
+    found = near_duplicates(keyed, NEAR_PERCENT, key="__key").select("__key", "component_id").distinct()
+    members = keyed.select("__key", "doc_id").distinct().join(found, "__key")
+    first = members.groupBy("component_id", F.col("doc_id").isNull()).agg(F.min(F.struct("doc_id", "__key")).alias("first"))
+    left = keyed.join(first.select("first.__key").hint("merge"), "__key", "left_semi")
+    return left.dropDuplicates(["__key", "doc_id", "__text"]).select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,15 @@ def test_near_duplicate_stage_leaves_one_of_each_group(spark, edges):
     assert sorted(map(repr, (r.text for r in left if r.doc_id is None))) == sorted(map(repr, (r[1] for r in edge_rows() if r[0] is None)))
 
 
+def test_near_duplicate_stage_drops_true_copies_only(spark):
+    texts = [prose(k, 60) for k in range(6)]
+    rows = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (7, texts[2]), (3, texts[2] + " tail"), (None, texts[3]), (None, texts[3] + " tail"), (None, texts[4]), (9, texts[5]), (7, texts[5])]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    left = [(r.doc_id, r.text) for r in stages["minhash_near_dedup"](spark, docs, SF_DIR).collect()]
+    assert sorted(r for r in left if r[0]) == sorted([(7, texts[0]), (7, texts[1]), (3, texts[2] + " tail"), (7, texts[5])])
+    assert sorted(t.removesuffix(" tail") for i, t in left if i is None) == sorted([texts[3], texts[4]])
+
+
 def test_secret_stage_masks_and_keeps_all(spark):
     rows = [(1, "my password = abcdef123 x", "en", "a", 5), (2, None, "en", "a", None), (3, "clean", None, None, 7), (1, "clean too", "en", "a", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
