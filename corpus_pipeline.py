@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwise.llm.language import UNKNOWN, identify_language
+from funnelwise.llm.language import identify_language
 from funnelwise.llm.mixing import PLAN_COLUMNS, mix_sources, with_word_counts
 from funnelwise.llm.neardup import near_duplicates
 from funnelwise.llm.packing import pack_documents
@@ -34,10 +34,10 @@ def back(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text one of the labelled languages explains; null texts and texts without a letter go."""
+    """Documents whose text one of the labelled languages explains, or all if none is labelled; null texts and texts without a letter go."""
     found = identify_language(aside(docs, "lang_pred", "score", "bits_per_byte"))
     excess = (F.col("bits_per_byte") - FOREIGN_BITS) * F.octet_length("text")
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (excess <= FOREIGN_EXCESS)).transform(back, docs)
+    return found.filter(F.col("text").rlike(r"\p{L}") & (F.coalesce(excess, F.lit(0.0)) <= FOREIGN_EXCESS)).transform(back, docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,12 @@ def test_language_stage_drops_texts_of_no_language(spark, edges):
     assert {201, 202} & left == set() and {100 + i for i in range(40)} <= left
 
 
+def test_language_stage_keeps_texts_when_nothing_is_labelled(spark):
+    rows = [(1, prose(1, 40), None, "a", 0), (2, "12 ? 34", None, "a", 0), (3, None, None, "a", 0), (4, "漢字", None, "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in stages["language_id"](spark, docs, SF_DIR).collect()) == [1, 4]
+
+
 def test_near_duplicate_stage_leaves_one_of_each_group(spark, edges):
     left = stages["minhash_near_dedup"](spark, edges, SF_DIR).collect()
     roots = {i: root for i, _, root, _ in slow_near(edge_rows(), 80) if i is not None}
