@@ -140,15 +140,21 @@ def fit_contexts(samples: dict[str, list[str]], order: int = 4) -> ContextModel:
 
 
 def language_samples(docs: DataFrame, text: str, lang: str, key: str, rows: int, size: int) -> dict[str, list[str]]:
-    """At most `rows` whole texts of each language, those of smallest key hash, until they pass `size` bytes."""
-    by_hash = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key)), key)
-    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, lang, F.octet_length(text).alias("__bytes"))
-    first = labelled.withColumn("__rank", F.row_number().over(by_hash)).filter(F.col("__rank") <= rows)
+    """At most `rows` texts of each language, of smallest key hash, until they reach `size` bytes; copies of a key and text are one.
+
+    Texts are whole, but the last is cut to as many characters as bytes are left. Keys may be null or repeated.
+    """
+    content = F.xxhash64(F.col(text))
+    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    one = labelled.select(F.col(key).alias("__key"), F.col(lang).alias("__lang"), content.alias("__content"), F.octet_length(text).alias("__bytes")).distinct()
+    by_hash = Window.partitionBy("__lang").orderBy(F.xxhash64("__key"), "__key", "__content")
+    first = one.withColumn("__rank", F.row_number().over(by_hash)).filter(F.col("__rank") <= rows)
     before = F.sum("__bytes").over(by_hash.rowsBetween(Window.unboundedPreceding, -1))
-    picked = first.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < size).select(F.col(key).alias("__key")).distinct()
-    found = docs.select(lang, text, key).join(F.broadcast(picked), F.col(key) == F.col("__key"), "left_semi").filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    picked = first.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < size).select("__key", "__lang", "__content", (F.lit(size) - F.col("__before")).cast("int").alias("__left"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(lang) == F.col("__lang")) & (content == F.col("__content"))
+    found = labelled.select(lang, text, key).join(F.broadcast(picked), same).select("__key", "__lang", "__content", F.substring(F.col(text), F.lit(1), F.col("__left")).alias("__text"))
     samples: dict[str, list[str]] = {}
-    for l, _, t in sorted((r[0], r[2], r[1]) for r in found.collect()):
+    for l, t in sorted((r["__lang"], r["__text"]) for r in found.dropDuplicates(["__key", "__lang", "__content"]).collect()):
         samples.setdefault(l, []).append(t)
     return samples
 

@@ -144,6 +144,16 @@ def test_language_sample_is_bounded_and_whole(edges, spark):
     assert {l: len(s) for l, s in language_samples(docs, "text", "lang", "doc_id", 5, 1).items()} == {"en": 1, "de": 1}
 
 
+def test_language_sample_of_shared_and_null_ids(spark):
+    from funnelwise.llm.language import language_samples
+
+    rows = [(7, prose(i, 40), "en" if i % 2 else "de") for i in range(60)] + [(None, prose(i, 40), "fr") for i in range(60)] + [(8, "x" * 5000, "xx")] + [(9, "same", "yy")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    samples = language_samples(docs, "text", "lang", "doc_id", 5, 1500)
+    assert {l: len(s) for l, s in samples.items() if l in ("xx", "yy")} == {"xx": 1, "yy": 1} and set(samples) == {"en", "de", "fr", "xx", "yy"}
+    assert all(1 <= len(s) <= 5 and sum(len(t) for t in s) <= 1500 for s in samples.values())
+
+
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
