@@ -6,8 +6,10 @@ tests hold those against brute force, exact round trips and held-out accuracy.
 
 from __future__ import annotations
 
+from .chat import _CODES, _ESCAPE, START, ChatTemplate
 from .licenses import TEMPLATES
 from .quality import RepetitionRules
+from .queries import PROBE
 from .secrets import BASE_RULES, RULES
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -146,6 +148,85 @@ first AS (SELECT *, {number(f"md5('{seed}:first:' || position || ':' || shard)")
 SELECT doc_id, size::BIGINT AS size, source_size, target, ((q // blocks) * size + {inside(f"(f + extra) * {block}")} - {inside(f"f * {block}")} + {inside(f"(f + extra - blocks) * {block}")})::BIGINT AS taken FROM first"""
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    byte = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), lambda a, b: {byte}), 4294967295::BIGINT)"
+
+
+def _chat(template: ChatTemplate = ChatTemplate()) -> str:
+    def escaped(text: str, marks: list[str]) -> str:
+        for mark, code in zip(marks, _CODES):
+            text = f"replace({text}, {quoted(mark)}, {quoted(_ESCAPE + code)})"
+        return text
+
+    marks = [_ESCAPE, template.open, template.close, template.after_role]
+    steps = ", ".join(f"({quoted(state)}, {quoted(role)})" for state, step in template.machine.items() for role in step)
+    written = " || ".join([quoted(template.open), escaped("role", marks), quoted(template.after_role), escaped("text", marks[:3]), quoted(template.close + template.between)])
+    roles = lambda names: ", ".join(map(quoted, names))
+    return f"""WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, role, {quoted(PROBE[1])} FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, role)),
+turns AS (SELECT *, row_number() OVER w AS p, lag(role, 1, '{START}') OVER w AS state FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role IN ({roles(template.loss_roles)})), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (WHERE role IN ({roles(template.loss_roles)})), '')) AS loss_sha256,
+  sum(length({written}))::BIGINT AS formatted_chars,
+  coalesce(min(p) FILTER (WHERE (state, role) NOT IN ({steps})), CASE WHEN max_by(role, p) NOT IN ({roles(template.final)}) THEN count(*) + 1 END)::BIGINT AS fault
+FROM turns GROUP BY conv_id"""
+
+
+_TRIE = f"""WITH said AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(x ORDER BY p) AS l, {_crc32("any_value(c)::VARCHAR")} % 6 AS h FROM said GROUP BY c),
+rebuilt AS (SELECT own.c, CASE WHEN top.c IS NULL THEN own.l[own.h + 1:] ELSE list_concat(top.l[1:own.h], own.l[own.h + 1:]) END AS l FROM own LEFT JOIN own top ON top.c = own.c - own.c % 100),
+member AS (SELECT c, unnest(range(0, len(l) + 1)) AS d, l FROM rebuilt),
+node AS MATERIALIZED (SELECT d, l[1:d] AS path, min(c) AS conv_id, count(*) AS n, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(l) = d), '') AS ends FROM member GROUP BY 1, 2),
+kids AS (SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS k FROM node WHERE d > 0 GROUP BY 1, 2),
+grown AS (SELECT node.*, coalesce(k, 0) AS k FROM node LEFT JOIN kids USING (d, path)),
+above AS (SELECT path, k, CASE WHEN d > 0 THEN (n - 1) * length(path[d].t) ELSE 0 END AS saved, unnest(range(0, d + 1)) AS a FROM grown),
+under AS (SELECT a AS d, path[1:a] AS path, count(*) FILTER (WHERE k = 0) AS n_leaves, sum(saved) AS saved FROM above GROUP BY 1, 2)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n AS n_convs, f.k AS n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM grown f JOIN under USING (d, path) LEFT JOIN node up ON up.d = f.d - 1 AND up.path = f.path[1:f.d - 1]"""
+
+
+def _levels(name: str, rows: str, levels: int) -> str:
+    """Trees of (g, i, d): {name}0 has the leaves, {name}k the nodes after k levels; runs_{name}k their runs of eight."""
+    parts = [f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM ({rows}))"]
+    for k in range(levels):
+        parts.append(f"runs_{name}{k} AS (SELECT g, i // 8 AS i, list(d ORDER BY i) AS run, any_value(n) AS n FROM {name}{k} GROUP BY g, i // 8)")
+        parts.append(f"{name}{k + 1} AS (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM (SELECT g, i, CASE WHEN n > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS d FROM runs_{name}{k}))")
+    return ",\n".join(parts)
+
+
+def _climb(name: str, start: str, levels: int) -> str:
+    """{name}_up: the rows of `start` (g, i, shown, proof and others) with what their siblings give, folded over all levels."""
+    parts, last = [], start
+    for k in range(levels):
+        left, right = "array_to_string(run[1:s.i % 8], '')", "array_to_string(run[s.i % 8 + 2:], '')"
+        parts.append(f"""{name}_up{k} AS (SELECT s.* REPLACE (s.i // 8 AS i, CASE WHEN n > 1 THEN sha256({left} || shown || {right}) ELSE shown END AS shown,
+  CASE WHEN n > 1 THEN proof || {left} || {right} ELSE proof END AS proof) FROM {last} s JOIN runs_{name}{k} r ON r.g IS NOT DISTINCT FROM s.g AND r.i = s.i // 8)""")
+        last = f"{name}_up{k}"
+    return ",\n".join(parts)
+
+
+def _manifest(levels: int = 7, top_levels: int = 3) -> str:
+    framed = lambda v: f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(framed(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    return f"""WITH leaf AS (SELECT doc_id, lang AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf, CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN tampered ELSE leaf END AS shown
+  FROM (SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf(lower)} AS tampered FROM documents)),
+{_levels("a", "SELECT g, i, leaf AS d FROM leaf", levels)},
+subroot AS (SELECT g AS lang, d, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i FROM a{levels}),
+{_levels("b", "SELECT 0 AS g, i, d FROM subroot", top_levels)},
+start AS (SELECT doc_id, g, i, i AS pos, leaf, shown, '' AS proof FROM leaf),
+{_climb("a", "start", levels)},
+middle AS (SELECT u.doc_id, u.pos, u.leaf, u.shown, u.proof, subroot.d AS subroot, 0 AS g, subroot.i FROM a_up{levels - 1} u JOIN subroot ON u.g IS NOT DISTINCT FROM lang),
+{_climb("b", "middle", top_levels)}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, shown AS folded_root, shown = d AS verified,
+  ({" + ".join(f"pos // {8 ** m}" for m in range(levels + 1))})::BIGINT AS log_position
+FROM b_up{top_levels - 1} JOIN (SELECT d FROM b{top_levels}) ON true"""
+
+
 ORACLES: dict[str, str] = {
     "op1_repetition_quality": _quality(),
     "op2_substring_dedup": _SUBSTRINGS,
@@ -154,4 +235,7 @@ ORACLES: dict[str, str] = {
     "op8_secret_scan": _secrets(),
     "op9_license_scan": _licenses(),
     "op10_source_mix": _mix(),
+    "op11_chat_format": _chat(),
+    "op12_prefix_trie": _TRIE,
+    "op13_merkle_manifest": _manifest(),
 }
