@@ -59,7 +59,7 @@ def test_components_of_chains_stars_and_random_links(spark, seed):
 
 
 def slow_removal(rows, n=13):
-    """Rows of equal id are one document; rows of null id are not compared."""
+    """Windows of a row are compared with rows of smaller id; rows of null id are not compared."""
     first = {}
     for i, t, *_ in rows:
         if i is not None:
@@ -79,26 +79,67 @@ def slow_removal(rows, n=13):
     return sorted(out, key=repr)
 
 
+def check_removal(spark, rows, partitions=7):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    assert values(substrings.remove_shared(docs)) == slow_removal(rows)
+    return docs
+
+
 def test_substrings_of_edges(edges, nothing):
     assert values(substrings.remove_shared(edges)) == slow_removal(edge_rows())
     assert substrings.remove_shared(nothing).count() == 0 and substrings.shared_factors(nothing).count() == 0
 
 
-@pytest.mark.parametrize("local", [1, 1 << 30])
-def test_substrings_across_blocks_and_factor_borders(spark, monkeypatch, local):
-    monkeypatch.setattr(substrings, "LOCAL_BYTES", local)
+def passage_rows():
     passages = [prose(i, 20) for i in range(6)]
     rnd = random.Random(3)
     rows = [(1, passages[0] + " " + passages[1]), (2, passages[1] + " " + passages[2]), (3, " ".join(passages[:3]))]
-    rows += [(i, " ".join(rnd.choices(passages + [prose(1000 + i, 15)], k=4))) for i in range(4, 60)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    assert values(substrings.remove_shared(docs)) == slow_removal(rows)
+    return rows + [(i, " ".join(rnd.choices(passages + [prose(1000 + i, 15)], k=4))) for i in range(4, 60)]
+
+
+@pytest.mark.parametrize("local, part", [(1, 1 << 20), (1 << 30, 1 << 20), (1, 20)])
+def test_substrings_across_blocks_and_factor_borders(spark, monkeypatch, local, part):
+    monkeypatch.setattr(substrings, "LOCAL_BYTES", local)
+    monkeypatch.setattr(substrings, "PART_WINDOWS", part)
+    rows = passage_rows()
+    docs = check_removal(spark, rows)
     for f in substrings.shared_factors(docs.filter("doc_id < 20")).collect():
         texts = {i: t.split() for i, t in rows}
         n = f.windows + substrings.WINDOW_WORDS - 1
         assert f.ref_doc < f.doc and texts[f.doc][f.start : f.start + n] == texts[f.ref_doc][f.ref_start : f.ref_start + n]
 
 
+@pytest.mark.parametrize("part", [1 << 20, 50])
+def test_substrings_of_a_phrase_that_every_document_has(spark, monkeypatch, part):
+    """All windows around a phrase can share an anchor; a part with too many is dealt anew by window."""
+    monkeypatch.setattr(substrings, "LOCAL_BYTES", 1)
+    monkeypatch.setattr(substrings, "PART_WINDOWS", part)
+    check_removal(spark, [(i, f"{prose(i, 30)} one phrase that all have {prose(5000 + i % 40, 30)}") for i in range(400)])
+
+
+@pytest.mark.parametrize("local, part", [(1, 20), (1 << 30, 1 << 20)])
+def test_substrings_of_rows_that_share_an_id(spark, monkeypatch, local, part):
+    """An id with several texts, a third of all rows, copies of one row, and a text that only another of the same id holds."""
+    monkeypatch.setattr(substrings, "LOCAL_BYTES", local)
+    monkeypatch.setattr(substrings, "PART_WINDOWS", part)
+    p, own = prose(1, 20), prose(2, 30)
+    rows = [(1, p + " x"), (5, p + " y"), (5, own), (5, own + " z"), (6, own), (5, None), (5, ""), (None, p)]
+    rows += [(7, prose(100 + i % 9, 25) + f" {i % 30}") for i in range(60)] + [(i, prose(100 + i % 20, 25)) for i in range(10, 60)] + [(8, p)] * 20
+    check_removal(spark, rows)
+
+
+def test_greedy_factors_go_on_where_the_first_holder_changes():
+    a, b = np.arange(10, 16, dtype=np.uint64), np.arange(20, 26, dtype=np.uint64)
+    texts = [(1, a[3:]), (2, np.concatenate([a, b])), (3, np.concatenate([b[2:4], a, b]))]
+    doc = np.concatenate([np.full(len(w), i) for i, w in texts])
+    start = np.concatenate([np.arange(len(w)) for _, w in texts])
+    window = np.concatenate([w for _, w in texts])
+    found, (at, n, ref) = substrings.factor(doc, doc, start, window, window * 0)
+    got = [(int(doc[i]), int(start[i]), int(k), int(doc[r]), int(start[r])) for i, k, r in zip(at, n, ref)]
+    assert got == [(2, 3, 3, 1, 0), (3, 0, 2, 2, 8), (3, 2, 12, 2, 0)]
+    assert found.sum() == 3 + 14
+
+
 # Near duplicates
 
 
