@@ -8,8 +8,7 @@ mandatory trigram is run on every text.
 
 from __future__ import annotations
 
-import re._constants as node
-import re._parser as parser
+from re import _constants as node, _parser as parser  # the standard library has no public module that parses regexes
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,17 +17,24 @@ from pyspark.sql import functions as F
 #: Between two fragments of a text that a regex does not fix.
 _GAP = None
 _MOST_PATHS = 64
+#: Text that a task verifies.
+PARTITION_BYTES = 32 << 20
 _NO_SPANS = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
 
 
 @dataclass(frozen=True)
 class SecretRule:
-    """A regex, leftmost and non-overlapping; matches whose `group` is shorter than `at_least` are dropped."""
+    """A regex, leftmost and non-overlapping; matches whose `group` is shorter than `at_least` are dropped.
+
+    With `closes`, a match opens a block that runs to the next match of that regex, with no five dashes and no other opening between;
+    an open one runs over the header fields and base64 words that follow, however many they are (see armor_length).
+    """
 
     kind: str
     pattern: str
     group: int = 0
     at_least: int = 1
+    closes: str | None = None
 
 
 BASE_RULES = [
@@ -37,18 +43,8 @@ BASE_RULES = [
     SecretRule("hex", r"[0-9a-f]+", 0, 24),
 ]
 _KEY_NAME = r"[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
-_PLAIN = r"(?:[A-Za-z0-9+/=\\\r\n]*(?:(?m:$)|[\\=]))?"
-_MARKED = rf"[^A-Za-z0-9]{{1,12}}[A-Za-z0-9+/]{{40,}}{_PLAIN}"
-#: From the header to the END line, with no five dashes between; else over header fields and the base64 lines that follow. The bounds
-#: are on groups, which Java matches by recursion: on runs of dashes, fields and marked lines. Plain lines have none.
-_PRIVATE_KEY = (
-    rf"-----BEGIN {_KEY_NAME}(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END {_KEY_NAME}"
-    r"|(?:[^A-Za-z0-9]{0,24}(?:\\[rn]){0,2}[A-Z][A-Za-z0-9-]{1,30}: [^\r\n\\]*){0,8}"
-    rf"(?:[^A-Za-z0-9]{{1,24}}[A-Za-z0-9+/]{{32,}}{_PLAIN}(?:{_MARKED}){{0,25}}(?:{_MARKED}){{0,25}}(?:{_MARKED}){{0,25}}(?:{_MARKED}){{0,25}}"
-    r"(?:[^A-Za-z0-9]{1,5}[A-Za-z0-9+/]{1,39}={1,2})?)?)"
-)
 MORE_RULES = [
-    SecretRule("private_key", _PRIVATE_KEY),
+    SecretRule("private_key", f"-----BEGIN {_KEY_NAME}", closes=f"-----END {_KEY_NAME}"),
     SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("google", r"AIza[A-Za-z0-9_-]{35}"),
@@ -152,12 +148,87 @@ def _spans(text: Column, rule: SecretRule, kind_no: int) -> Column:
 
         return F.aggregate(F.sequence(F.lit(1), F.size(s["hits"])), start_state, step, lambda state: state["out"])
 
+    if rule.closes:
+        return _block_spans(text, rule, kind_no)
     if not rule.group and re_class_run(rule.pattern):  # shorter runs need no positions
         long_run = SecretRule(rule.kind, rule.pattern[:-1] + f"{{{rule.at_least},}}")
         return F.when(text.rlike(long_run.pattern), _spans(text, SecretRule(rule.kind, f"(?:{long_run.pattern})"), kind_no)).otherwise(F.array().cast(_NO_SPANS))
     return F.when(text.rlike(rule.pattern), F.transform(F.array(found), positions)[0]).otherwise(F.array().cast(_NO_SPANS))
 
 
+_BASE64 = "[A-Za-z0-9+/]"
+_BREAK = r"[ \t\n\x0B\f\r\\]"
+_HEAD, _BODY, _TAIL, _DONE = range(4)
+
+
+def armor_length(text: Column) -> Column:
+    """Characters from the start of `text` to the end of the key that it starts with, 0 if it starts with none.
+
+    Words between blanks, line ends and backslashes are folded one by one. Words without a letter or digit are marks of comments or
+    quotes. At the head, lines `Name: value` may stand; the body is words of 32 or more base64 characters, by marks or not. A shorter word ends
+    it: one alone on its line, or one with padding, after which a checksum or more body can follow.
+    """
+    words = F.regexp_extract_all(text, F.lit(f"[^{_BREAK[1:-1]}]*{_BREAK}?"), F.lit(0))
+    begin = F.struct(
+        F.lit(0).alias("at"), F.lit(0).alias("end"), F.lit(_HEAD).alias("mode"), F.lit(False).alias("field"), F.lit(False).alias("fresh"), F.lit(False).alias("escaped"),
+    )
+
+    def step(now: Column, piece: Column) -> Column:
+        blank_end = piece.rlike(f"{_BREAK}$")
+        last = F.when(blank_end, F.right(piece, F.lit(1))).otherwise("")
+        whole = F.when(blank_end, F.left(piece, F.length(piece) - 1)).otherwise(piece)
+        word = F.when(now["escaped"], F.regexp_replace(whole, "^[rnt]", "")).otherwise(whole)
+        word_at = now["at"] + F.length(whole) - F.length(word)
+        trimmed = F.regexp_replace(word, r"[^A-Za-z0-9+/=]+$", "")
+        core = F.regexp_replace(trimmed, r"^[^A-Za-z0-9+/=]+", "")
+        line_end = ~last.isin(" ", "\t")
+        mark = ~word.rlike("[A-Za-z0-9]")
+        mode, long = now["mode"], core.rlike(f"^{_BASE64}{{32,}}={{0,2}}$")
+        lead = F.length(F.regexp_extract(word, f"^[^A-Za-z0-9+/=]*{_BASE64}{{32,}}={{0,2}}", 0))
+        short = F.when(now["fresh"] & line_end, core.rlike("^[A-Za-z0-9+/=]+$")).otherwise(core.rlike(f"^{_BASE64}+={{1,2}}$"))
+        name = now["fresh"] & word.rlike("^[^A-Za-z0-9]*[A-Z][A-Za-z0-9-]*:$")
+        after = (
+            F.when(mark, mode)
+            .when((mode == _HEAD) & now["field"], mode)
+            .when(long, F.lit(_BODY))
+            .when(lead > 0, F.lit(_DONE))
+            .when((mode == _HEAD) & name, mode)
+            .when((mode == _BODY) & short, F.lit(_TAIL))
+            .otherwise(F.lit(_DONE))
+        )
+        held = ~mark & ~((mode == _HEAD) & now["field"])
+        checksum = (mode == _TAIL) & core.rlike(f"^={_BASE64}{{4}}$")
+        end = F.when(held & (long | ((mode == _BODY) & (lead == 0) & short) | checksum), word_at + F.length(trimmed)).when(held & (lead > 0), word_at + lead).otherwise(now["end"])
+        return F.struct(
+            (now["at"] + F.length(piece)).alias("at"), end.alias("end"), after.alias("mode"), ((now["field"] | (~mark & name)) & ~line_end).alias("field"),
+            (line_end | (now["fresh"] & mark)).alias("fresh"), (last == "\\").alias("escaped"),
+        )
+
+    return F.aggregate(words, begin, lambda now, piece: F.when(now["mode"] == _DONE, now).otherwise(step(now, piece)), lambda now: now["end"])
+
+
+def _block_spans(text: Column, rule: SecretRule, kind_no: int) -> Column:
+    """Spans of a rule with `closes`: opening and closing marks are found together and paired by position."""
+    either = f"(?:{rule.pattern})|(?:{rule.closes})"
+    found = F.struct(F.split(text, either, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(either), F.lit(0)).alias("hits"))
+
+    def positions(s: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            hit, rest = F.element_at(s["hits"], i), F.element_at(s["gaps"], i + 1)
+            start = state["at"] + F.length(F.element_at(s["gaps"], i))
+            after = start + F.length(hit)
+            closing = F.try_element_at(s["hits"], i + 1)
+            closed = closing.isNotNull() & ~closing.rlike(rule.pattern) & ~F.contains(rest, F.lit("-----"))
+            end = after + F.when(closed, F.length(rest) + F.length(closing)).otherwise(armor_length(rest))
+            span = F.struct(start.alias("start"), F.lit(kind_no).alias("kind_no"), F.lit(rule.kind).alias("kind"), end.alias("end"))
+            return F.struct(after.alias("at"), F.when(hit.rlike(rule.pattern), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+
+        start_state = F.struct(F.lit(0).alias("at"), F.array().cast(_NO_SPANS).alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(s["hits"])), start_state, step, lambda state: state["out"])
+
+    return F.when(text.rlike(rule.pattern), F.transform(F.array(found), positions)[0]).otherwise(F.array().cast(_NO_SPANS))
+
+
 def re_class_run(pattern: str) -> bool:
     """Whether a regex is one character class, repeated: its matches are the whole runs of the class."""
     tokens = list(parser.parse(pattern))
@@ -172,9 +243,11 @@ def scan_secrets(docs: DataFrame, rules: list[SecretRule] = RULES, text: str = "
     named secrets is replaced.
     """
     queries = [trigram_query(rule.pattern) for rule in rules]
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
     grams = sorted(set().union(*(g for q in queries for g in q or [])))
     found = candidates(build_postings(docs, grams, text, key), queries, key).select(F.col(key).alias("__key"), F.col("rules").alias("__rules"))
-    rows = docs.drop("secrets").join(found, F.col(key).eqNullSafe(F.col("__key")), "left")
+    rows = docs.drop("secrets").repartition(partitions, F.col(key)).join(found, F.col(key).eqNullSafe(F.col("__key")), "left")
     spans = []
     for kind_no, (rule, query) in enumerate(zip(rules, queries)):
         own = _spans(F.col(text), rule, kind_no)
