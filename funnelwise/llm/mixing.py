@@ -17,6 +17,8 @@ from ..sources.scratch import keep
 from .text import chunks
 
 PLAN_COLUMNS = ["position", "shard", "source_size", "target", "copies", "cut_start", "cut_end", "wrap_end", "taken"]
+#: A column of `with_word_counts` that tells rows of one key apart.
+CONTENT = "content_md5"
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 17
 #: Shards are apportioned in two steps, so that no step has more rows than this in a group of shards.
@@ -24,8 +26,9 @@ SHARDS_TOGETHER = 1024
 
 
 def with_word_counts(docs: DataFrame, text: str = "text", name: str = "size", wanted: list[str] | None = None) -> DataFrame:
-    """The columns `wanted` (all by default) with the number of words of the text; null has none."""
-    names = [c for c in (wanted or docs.columns) if c != name]
+    """The columns `wanted` (all by default) with the number of words of the text, null has none, and the MD5 of the text as CONTENT."""
+    docs = docs.drop(CONTENT).withColumn(CONTENT, F.md5(text))
+    names = [c for c in (wanted or docs.columns) if c not in (name, CONTENT)] + [CONTENT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,6 +106,10 @@ def block_quotas(sized: DataFrame, sources: DataFrame, block: int) -> DataFrame:
     return shards.select("position", "shard", F.col("words").alias("shard_words"), "quota")
 
 
+def shard_of(digest: Column, shard_words: int) -> Column:
+    return number(digest) % F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))
+
+
 def mix_sources(
     sized: DataFrame,
     weights: tuple[float, ...] = (5, 2, 1),
@@ -117,17 +124,17 @@ def mix_sources(
 
     The mix takes `copies` of the whole document, its words [cut_start, cut_end) and its words
     [0, wrap_end); `taken` counts them all. `sized` is read several times: pass a table. Null sources are a source, the last; repeated rows each count; documents
-    without words are taken 0 times; an empty table gives an empty one. Columns of these names are replaced.
+    without words are taken 0 times; an empty table gives an empty one. Columns of these names are replaced. Rows are dealt to
+    shards by key, size and CONTENT, so a key on many rows is spread; only rows equal in all three share a shard.
     """
     sized = sized.drop(*PLAN_COLUMNS)
     sources = keep(source_targets(sized.select("source", "size"), weights, share, most))
     own = sources.withColumnRenamed("source", "__source")
     placed = sized.join(own, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    digest = seeded(seed, F.col(key))
-    shards = F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))
-    placed = placed.withColumn("shard", number(digest) % shards)
+    digest = seeded(seed, F.col(key), F.col("size"), F.col(CONTENT))
+    placed = placed.withColumn("shard", shard_of(digest, shard_words))
     quotas = keep(block_quotas(placed.select("position", "shard", "size"), sources, block))
-    in_order = Window.partitionBy("position", "shard").orderBy(F.substring(digest, 9, 24), key, "size")
+    in_order = Window.partitionBy("position", "shard").orderBy(F.substring(digest, 9, 24), key, "size", CONTENT)
     end = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = placed.withColumn("__end", end).join(quotas, ["position", "shard"])
     blocks = F.ceil(F.col("shard_words") / block)
@@ -142,4 +149,4 @@ def mix_sources(
         "wrap_end": inside((F.col("__first") + F.col("__extra") - F.col("__blocks")) * block),
     })
     taken = F.col("copies") * F.col("size") + F.col("cut_end") - F.col("cut_start") + F.col("wrap_end")
-    return rows.withColumn("taken", taken).select(*sized.columns, *PLAN_COLUMNS[2:])
+    return rows.withColumn("taken", taken).select(*[c for c in sized.columns if c != CONTENT], *PLAN_COLUMNS[2:])

@@ -129,21 +129,21 @@ def _apportioned(name: str, rows: str, group: str, weight: str, order: str, cap:
 def _mix(seed: int = 17, block: int = 16, shard_words: int = 1 << 17, together: int = 1024) -> str:
     number = lambda digest: f"('0x' || substr({digest}, 1, 8))::BIGINT"
     inside = lambda at: f"least(greatest({at} - (e - size), 0), size)"
-    return f"""WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS size FROM documents),
+    return f"""WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS size, md5(text) AS content FROM documents),
 total AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 placed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS position FROM total),
 weighted AS (SELECT *, [5.0, 2.0, 1.0][((position - 1) % 3 + 1)::INT]::DOUBLE AS weight, 2.0 * source_size AS cap FROM placed),
 level AS (SELECT max((1.5 * (SELECT sum(source_size) FROM total) - capped) / ((SELECT sum(weight) FROM weighted) - used)) AS level FROM (
   SELECT coalesce(sum(cap) OVER w, 0)::DOUBLE AS capped, coalesce(sum(weight) OVER w, 0)::DOUBLE AS used FROM weighted WINDOW w AS (ORDER BY cap / weight, position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))),
 target AS (SELECT source, position, source_size, greatest(least(cap::DOUBLE, weight * level), 0) AS target FROM weighted, level),
-dealt AS (SELECT sized.*, position, source_size, target, md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')) AS digest FROM sized JOIN target ON sized.source IS NOT DISTINCT FROM target.source),
+dealt AS (SELECT sized.*, position, source_size, target, md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size || ':' || coalesce(content, 'null')) AS digest FROM sized JOIN target ON sized.source IS NOT DISTINCT FROM target.source),
 sharded AS (SELECT *, {number("digest")} % greatest(ceil(source_size / {shard_words}.0), 1)::BIGINT AS shard FROM dealt),
 shards AS (SELECT position, shard, floor(shard / {together}.0)::BIGINT AS part, sum(size)::BIGINT AS words, 2 * ceil(sum(size) / {block}.0)::BIGINT AS cap FROM sharded GROUP BY ALL),
 parts AS (SELECT position, part, sum(words)::BIGINT AS words, sum(cap)::BIGINT AS cap FROM shards GROUP BY ALL),
 {_apportioned("whole", f"SELECT position, target, sum(cap)::BIGINT AS cap, round(sum(target) OVER () / {block}.0)::BIGINT AS house FROM parts JOIN target USING (position) GROUP BY position, target", "true", "target", "position")},
 {_apportioned("cut", "SELECT parts.*, quota AS house FROM parts JOIN whole USING (position)", "position", "words", "part")},
 {_apportioned("given", "SELECT shards.*, quota AS house FROM shards JOIN cut USING (position, part)", "position, part", "words", "shard")},
-ordered AS (SELECT *, sum(size) OVER (PARTITION BY position, shard ORDER BY substr(digest, 9, 24), doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM sharded),
+ordered AS (SELECT *, sum(size) OVER (PARTITION BY position, shard ORDER BY substr(digest, 9, 24), doc_id, size, content ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM sharded),
 quota AS (SELECT ordered.*, quota::BIGINT AS q, greatest(ceil(words / {block}.0)::BIGINT, 1) AS blocks FROM ordered JOIN given USING (position, shard)),
 first AS (SELECT *, {number(f"md5('{seed}:first:' || position || ':' || shard)")} % blocks AS f, q % blocks AS extra FROM quota)
 SELECT doc_id, size::BIGINT AS size, source_size, target, ((q // blocks) * size + {inside(f"(f + extra) * {block}")} - {inside(f"f * {block}")} + {inside(f"(f + extra - blocks) * {block}")})::BIGINT AS taken FROM first"""

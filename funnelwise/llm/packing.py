@@ -130,13 +130,18 @@ def pack_sequences(pieces: DataFrame, limits: SequenceLimits = SequenceLimits(),
     """All columns of `pieces` with sequence_id and offset.
 
     `loss` names the column of loss-bearing tokens. Pieces are dealt to groups of about `group_pieces`
-    by a hash, and each group is packed alone, so no task grows with the table; sequence ids are unique over
+    by a hash of all their columns and, where rows are equal, of their number among these; each group is packed alone, so no task
+    grows with the table or with the rows of one key. Sequence ids are unique over
     the groups. Offsets of a sequence have no gaps. The same pieces give the same packing; repeated rows each have a
     place; an empty table gives an empty one. `pieces` is read twice: pass a table.
     """
     groups = max(1, -(-pieces.count() // group_pieces))
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    dealt = pieces.select(*names).withColumn("__group", F.pmod(F.xxhash64(F.col(key), "start"), F.lit(groups)))
+    equal = pieces.select(*names).groupBy(*names).agg(F.count("*").alias("__n"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n))
+    split = equal.withColumn("__run", upto(F.floor((F.col("__n") - 1) / group_pieces)))
+    split = split.withColumn("__copy", upto(F.least(F.lit(group_pieces), F.col("__n") - F.col("__run") * group_pieces) - 1))
+    dealt = split.withColumn("__group", F.pmod(F.xxhash64(*names, "__run", "__copy"), F.lit(groups))).select(*names, "__group")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", key, "start", *[c for c in names if c not in ("length", key, "start")]], ascending=False, ignore_index=True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from funnelwise.llm import embeddings, neardup, secrets, substrings
 from funnelwise.llm.graph import components
-from funnelwise.llm.mixing import mix_sources, sainte_lague, with_word_counts
+from funnelwise.llm.mixing import CONTENT, mix_sources, sainte_lague, seeded, shard_of, with_word_counts
 from funnelwise.llm.packing import BytePairIds, SequenceLimits, fill_sequences, pack_documents, pack_sequences
 from funnelwise.llm.queries import QUERIES
 
@@ -477,6 +477,19 @@ def test_mix_over_many_shards(spark):
     assert all(abs(taken[s] - t) <= 0.02 * t + 40 for s, t in target.items())
 
 
+def test_mix_spreads_an_id_that_a_third_of_rows_share(spark):
+    rows = [(7 if k % 3 else k, f"text {k} " + "w " * (k % 90), "s") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = with_word_counts(docs)
+    total = sized.agg(F.sum("size")).first()[0]
+    dealt = sized.withColumn("source_size", F.lit(total)).withColumn("shard", shard_of(seeded(17, F.col("doc_id"), F.col("size"), F.col(CONTENT)), 2000))
+    sizes = [r.n for r in dealt.groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    assert max(sizes) < 4000 and len(sizes) > 100
+    plan = mix_sources(sized, shard_words=2000)
+    again = mix_sources(with_word_counts(docs.repartition(11)), shard_words=2000)
+    assert values(again.select("doc_id", "text", "taken")) == values(plan.select("doc_id", "text", "taken"))
+
+
 # Packing
 
 
@@ -547,3 +560,13 @@ def test_packing_by_loss_bearing_tokens(spark):
         for k, v in enumerate((r.length, 1, r.answer)):
             sums[r.sequence_id][k] += v
     assert len(got) == 400 and all(a <= 256 and b <= 3 and c <= 40 for a, b, c in sums.values())
+
+
+def test_packing_spreads_an_id_and_equal_rows(spark):
+    """An id on a third of the rows with different pieces, and a third of equal rows, in groups of bounded size."""
+    rows = [(7 if k % 3 == 1 else 8 if k % 3 else k, 0, 100 if k % 3 == 2 else 50 + k % 300, 5 if k % 3 == 2 else k) for k in range(30_000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long").repartition(6)
+    got = pack_sequences(pieces, group_pieces=500)
+    sizes = [r.n for r in got.groupBy(F.shiftright("sequence_id", 32)).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 1000 and len(sizes) == 60 and sum(sizes) == 30_000
+    assert values(pack_sequences(pieces.repartition(3), group_pieces=500)) == values(got)
