@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelwise.llm.language import identify_language
-from funnelwise.llm.mixing import PLAN_COLUMNS, mix_sources, with_word_counts
+from funnelwise.llm.mixing import CONTENT, PLAN_COLUMNS, mix_sources, with_word_counts
 from funnelwise.llm.neardup import near_duplicates
 from funnelwise.llm.packing import pack_documents
 from funnelwise.llm.secrets import redact, scan_secrets
@@ -62,7 +62,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix takes a document; where it takes a part, the text is those words joined by spaces."""
-    plan = mix_sources(keep(with_word_counts(aside(docs, "size", *PLAN_COLUMNS))))
+    plan = mix_sources(keep(with_word_counts(aside(docs, "size", CONTENT, *PLAN_COLUMNS))))
     part = lambda start, end: F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"))
     whole = F.array_repeat(part(F.lit(0), F.col("size")), F.col("copies").cast("int"))
     cuts = F.array(part(F.col("cut_start"), F.col("cut_end")), part(F.lit(0), F.col("wrap_end")))
