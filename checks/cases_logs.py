@@ -186,24 +186,48 @@ def quantile_over_time(spark, d):
     return _quantiles(histograms.duration_histogram(calls, "duration_s", API_SECONDS_EDGES, ["series"])).withColumnRenamed("series", "bucket")
 
 
-@check(
-    """SELECT operation, q, CASE q WHEN 0.5 THEN a ELSE b END AS value FROM (SELECT operation, quantile_cont(duration_s, 0.5) AS a, quantile_cont(duration_s, 0.95) AS b
-        FROM db_ops GROUP BY operation) x, (SELECT CAST(0.5 AS DOUBLE) AS q UNION ALL SELECT 0.95) qs""", ("db_ops",),
-)
+_PLACES = """SELECT operation, q, min(v) FILTER (n = floor(place)) AS a, min(v) FILTER (n = ceil(place)) AS b, any_value(place - floor(place)) AS share FROM (
+    SELECT *, q * (total - 1) AS place FROM (SELECT operation, duration_s AS v, row_number() OVER w - 1 AS n, count(*) OVER (PARTITION BY operation) AS total
+        FROM odd_ops WHERE duration_s IS NOT NULL WINDOW w AS (PARTITION BY operation ORDER BY duration_s)) r, (SELECT unnest([0.0, 0.5, 0.95, 1.0])::DOUBLE AS q) qs) p GROUP BY operation, q"""
+
+
+@check("SELECT operation, q, CASE WHEN a = b OR share = 0 THEN a ELSE a + (b - a) * share END AS value FROM places", ("odd_ops",), places=_PLACES)
 def exact_quantiles(spark, d):
-    return histograms.exact_quantiles(load(spark, d, "db_ops"), "duration_s", [0.5, 0.95], ["operation"])
+    return histograms.exact_quantiles(load(spark, d, "odd_ops"), "duration_s", [0.0, 0.5, 0.95, 1.0], ["operation"])
 
 
-@check(
-    """SELECT series, bucket, sum(step) AS increase, sum(step) / 300 AS rate FROM (SELECT series, time_bucket(INTERVAL '5 minutes', ts) AS bucket,
-        CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value ELSE value - before END AS step
-        FROM (SELECT *, lag(value) OVER (PARTITION BY series ORDER BY ts) AS before FROM counter_samples) a) b GROUP BY series, bucket""", ("counter_samples",),
-)
+_STEPS = """SELECT series, ts, value, before_ts, CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value ELSE value - before END AS step
+    FROM (SELECT *, lag(value) OVER w AS before, lag(ts) OVER w AS before_ts FROM odd_samples WINDOW w AS (PARTITION BY series ORDER BY ts, value)) a"""
+_INCREASE = """SELECT series, bucket, sum(step) AS increase, sum(step) / 300 AS rate
+    FROM (SELECT *, time_bucket(INTERVAL '5 minutes', ts) AS bucket FROM steps) s GROUP BY series, bucket"""
+
+
+@check(_INCREASE, ("odd_samples",), steps=_STEPS)
 def counter_increase(spark, d):
-    return histograms.counter_increase(load(spark, d, "counter_samples"))
+    return histograms.counter_increase(load(spark, d, "odd_samples"))
+
+
+_RANGES = """SELECT series, start, count(*) - 1 AS gaps, date_diff('microsecond', start, min(ts)) / 1e6 AS head, date_diff('microsecond', max(ts), start + INTERVAL '15 minutes') / 1e6 AS tail,
+        date_diff('microsecond', min(ts), max(ts)) / 1e6 AS between, arg_min(value, (ts, value)) AS value, sum(CASE WHEN before_ts >= start THEN step ELSE 0 END) AS growth
+    FROM (SELECT *, unnest(generate_series(time_bucket(INTERVAL '5 minutes', ts) - INTERVAL '10 minutes', time_bucket(INTERVAL '5 minutes', ts), INTERVAL '5 minutes')) AS start FROM steps) s
+    GROUP BY series, start HAVING max(ts) > min(ts)"""
+_SLIDING = """SELECT series, start, start + INTERVAL '15 minutes' AS stop, growth * ((between + least(head2, CASE WHEN growth > 0 AND value >= 0 THEN between * (value / growth) END) + tail2) / between) AS increase
+    FROM (SELECT *, CASE WHEN head >= between / gaps * 1.1e0 THEN between / gaps / 2 ELSE head END AS head2,
+        CASE WHEN tail >= between / gaps * 1.1e0 THEN between / gaps / 2 ELSE tail END AS tail2 FROM ranges) r"""
+
 
+@check("SELECT *, increase / 900 AS rate FROM sliding", ("odd_samples",), steps=_STEPS, ranges=_RANGES, sliding=_SLIDING)
+def sliding_increase(spark, d):
+    return histograms.sliding_increase(load(spark, d, "odd_samples"))
 
-# --- Runs
+
+@check(
+    """SELECT deal_id, stage, entered_at, next_stage, left_at, CAST(date_diff('second', entered_at, left_at) AS BIGINT) AS seconds FROM (
+        SELECT *, lead(stage) OVER w AS next_stage, lead(entered_at) OVER w AS left_at FROM (SELECT DISTINCT deal_id, "column" AS stage, ts AS entered_at FROM entries) e
+        WINDOW w AS (PARTITION BY deal_id ORDER BY entered_at, stage)) t""", ("changelog",), entries=ENTRIES,
+)
+def stage_transitions(spark, d):
+    return history.stage_transitions(history.stage_entries(load(spark, d, "changelog"), catalog(spark, d)))
 
 
 @check(
@@ -309,7 +333,7 @@ def experiment_success_rate(spark, d):
 @check(
     """SELECT seq, CAST(CASE WHEN peak_memory_mb > 2400 THEN greatest(100, floor(batch_size * 0.7e0)) WHEN n > 5 AND recent > 5000 THEN greatest(100, floor(batch_size * 0.7e0))
         WHEN n > 5 THEN least(2000, floor(batch_size * 1.2e0)) ELSE batch_size END AS INT) AS advice FROM (SELECT *, row_number() OVER (PARTITION BY flow_type ORDER BY start_ts, seq) AS n,
-        avg(duration_s) OVER (PARTITION BY flow_type ORDER BY start_ts, seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS recent FROM runs) r""", ("runs",),
+        avg(duration_s) OVER (PARTITION BY flow_type ORDER BY start_ts, seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS recent FROM odd_runs) r""", ("odd_runs",),
 )
 def batch_size_advice(spark, d):
-    return run_log.batch_size_advice(load(spark, d, "runs"), max_memory_mb=3000, duration_threshold=5000.0).select("seq", "advice")
+    return run_log.batch_size_advice(load(spark, d, "odd_runs"), max_memory_mb=3000, duration_threshold=5000.0).select("seq", "advice")

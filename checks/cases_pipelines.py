@@ -10,7 +10,7 @@ from funnelwise.sources.scratch import new_folder as scratch_folder
 from funnelwise.streaming import streams
 
 from .cases_fields import CALLS, MAPPING, STATUS_SQL, checked_sql, flat_sql, slug_sql
-from .cases_logs import ENTRIES, FIRST_SQL, HISTORY, WIDE_SQL, ANY_NULL, catalog, filled_sql
+from .cases_logs import _INCREASE, _STEPS, ENTRIES, FIRST_SQL, HISTORY, WIDE_SQL, ANY_NULL, catalog, filled_sql
 from .cases_tables import DIM_SQL, DIMS, ENRICHED_SQL, LATEST_SQL, NOW, OLD_PERSONS_SQL, RAW, TIES, UPSERTED_SQL, at, dims, landed, old_persons
 from .inputs import load, load_records
 from .registry import check
@@ -291,3 +291,13 @@ def stream_api_metrics(spark, d):
     stream = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
     _run(streams.stream_api_metrics(stream, out, scratch_folder(spark)))
     return streams.read_api_metrics(spark, out)
+
+
+@check(_INCREASE, ("odd_samples",), steps=_STEPS)
+def stream_counter_increase(spark, d):
+    """Samples in three files, each of all times: what comes late lies within the lateness."""
+    samples, folder, out = load(spark, d, "odd_samples"), scratch_folder(spark), scratch_folder(spark)
+    samples.withColumn("ts", F.col("ts").cast("timestamp")).repartition(3).write.parquet(folder)
+    stream = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    _run(streams.stream_counter_increase(stream, out, scratch_folder(spark), lateness="10000 days"))
+    return streams.read_counter_increase(spark, out)

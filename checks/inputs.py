@@ -222,6 +222,14 @@ INPUTS: dict[str, str] = {
             CASE WHEN {K} % 17 = 0 THEN 'error' ELSE 'success' END AS status, {K} % 1000 AS records
         FROM {{orders}}""",
     "cache_events": "SELECT ts, event_type AS entity, event_id % 3 <> 0 AS hit FROM {events}",
+    # a NULL group, infinities, not-a-number and an outlier
+    "odd_ops": """
+        SELECT CASE WHEN operation = 'click' AND active < 3 THEN NULL ELSE operation END AS operation,
+            CASE WHEN operation = 'view' AND active = 1 THEN CAST('infinity' AS DOUBLE) WHEN operation = 'purchase' AND active = 2 THEN CAST('-infinity' AS DOUBLE)
+                WHEN operation = 'signup' AND active = 3 THEN CAST('nan' AS DOUBLE) WHEN operation = 'click' AND active = 7 AND idle = 1 THEN 1e9 + duration_s ELSE duration_s END AS duration_s
+        FROM {db_ops}""",
+    "odd_samples": "SELECT ts, CASE WHEN series LIKE '%2' THEN NULL ELSE series END AS series, value FROM {counter_samples}",
+    "odd_runs": "SELECT seq, CASE WHEN seq % 7 < 2 THEN NULL ELSE flow_type END AS flow_type, start_ts, batch_size, duration_s, peak_memory_mb FROM {runs}",
     "counter_samples": "SELECT ts, concat(event_type, CAST(user_id % 3 AS STRING)) AS series, CAST(event_id % 500 AS DOUBLE) AS value FROM {events}",
 }
 

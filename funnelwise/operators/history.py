@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import following
+
 _LOG_TIME = r"^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}$"
 
 
@@ -34,6 +36,19 @@ def first_stage_entry(changelog: DataFrame, catalog: DataFrame) -> DataFrame:
     return stage_entries(changelog, catalog).groupBy("deal_id", "column").agg(F.min("ts").alias("ts"))
 
 
+def stage_transitions(entries: DataFrame) -> DataFrame:
+    """Each stay of a deal in a stage -> (deal_id, stage, entered_at, next_stage, left_at, seconds), the last three NULL for the current one.
+
+    `entries` are all usable changes, see stage_entries; repeated ones count once. Changes of one time go by stage name. Each task
+    orders one day of a deal, so a deal of very many changes is spread.
+    """
+    changes = entries.groupBy("deal_id", F.col("column").alias("stage"), F.col("ts").alias("entered_at")).agg(F.to_date(F.first("ts")).alias("day"))
+    change = F.struct("entered_at", "stage")
+    stays = following(changes, ["deal_id"], change, change, "day", "then")
+    left = F.col("then.entered_at")
+    return stays.select("deal_id", "stage", "entered_at", F.col("then.stage").alias("next_stage"), left.alias("left_at"), F.timestamp_diff("SECOND", F.col("entered_at"), left).alias("seconds"))
+
+
 def stage_history_wide(entries: DataFrame, columns: list[str]) -> DataFrame:
     """One row per deal, one timestamp column per stage.
 

@@ -35,13 +35,34 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def _plain(folder: str) -> str:
+    """A folder's path without scheme and host."""
+    rest = folder.split(":", 1)[-1]
+    return "/" + (rest[2:].partition("/")[2] if rest.startswith("//") else rest.lstrip("/"))
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete the files of tables made by `keep` that no result reads any more."""
     for df in tables:
-        context = df.sparkSession.sparkContext
-        root = shared_folder(df.sparkSession).split(":", 1)[-1].lstrip("/")
+        root = _plain(shared_folder(df.sparkSession)).rstrip("/") + "/"
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if root not in folder:
+            if not _plain(folder).startswith(root):
                 raise ValueError(f"{folder} is not a scratch table")
-            path = context._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+            delete(df.sparkSession, folder)
+
+
+def _path(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it is."""
+    path, store = _path(spark, folder)
+    store.delete(path, True)
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder, none if it does not exist."""
+    path, store = _path(spark, folder)
+    return sorted(f.getPath().getName() for f in store.listStatus(path) if f.isDirectory()) if store.exists(path) else []

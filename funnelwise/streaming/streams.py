@@ -15,12 +15,18 @@ from ..functions.endpoints import normalize_endpoint
 from ..functions.records import text
 from ..functions.values import safe_timestamp
 from ..operators.dimensions import upsert_dim
+from ..operators.histograms import counter_increase
 from ..operators.history import stage_entries
+from ..operators.merge import latest_per_id
+from ..operators.ordered import join_same
 from ..operators.validate import validate_deals
 from ..plans.sync import DIMENSIONS, newest_entity_rows, sync_into_table
 from ..sources.pages import page_records, parse_pages, with_landing_time
-from ..sources.scratch import forget, keep
-from ..sources.tables import apply_changes
+from ..sources.scratch import delete, forget, keep, subfolders
+from ..sources.tables import apply_changes, fold_changes
+
+#: Micro-batches after which the changes of a stored table are gathered in one folder.
+FOLD_EVERY = 64
 
 
 def stream_deals(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
@@ -44,13 +50,16 @@ def stream_sync(
     history: str = "overwrite",
     summaries: str | None = None,
     trigger: dict | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Transform each micro-batch and merge it into the table at `path`; older updates never win.
 
-    Micro-batch k is write k + 1 of the table, so a replay takes its own place. With `summaries`, each batch
+    Micro-batch k is write k + 1 of the table, so a replay takes its own place. A batch reads the partitions of its own ids
+    only, and every `fold_every` batches the changes so far are gathered in one folder. With `summaries`, each batch
     leaves its counts, status and watermark there.
     """
     def each(batch: DataFrame, number: int) -> None:
+        _fold(batch.sparkSession, path, number, fold_every, "id", schema)
         summary = sync_into_table(path, number + 1, batch, dims, mapping, schema, history)
         if summaries is not None:
             summary.write.mode("overwrite").parquet(f"{summaries}/batch={number}")
@@ -58,6 +67,12 @@ def stream_sync(
     return _start(stream, each, checkpoint, trigger)
 
 
+def _fold(spark: SparkSession, path: str, number: int, every: int, key: str, schema: T.StructType | None = None) -> None:
+    """Before a batch that is a multiple of `every`: fold the writes of all batches before it, which are final, and drop those an earlier fold holds."""
+    if number and number % every == 0:
+        fold_changes(spark, path, number, key, schema, drop_below=number - every + 1)
+
+
 def stream_watermark(stream: DataFrame, path: str, checkpoint: str, record: str = "record", trigger: dict | None = None) -> StreamingQuery:
     """Keep the newest update_time and the valid records of each micro-batch under `path`, one folder per batch."""
 
@@ -75,34 +90,50 @@ def read_watermark(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).agg(F.date_trunc("second", newest).alias("watermark"))
 
 
-def stream_first_entry(changelog: DataFrame, catalog: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep the earliest entry per deal and stage of each micro-batch under `path`.
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
-    Minima combine in any order, so batches only append and late entries need no watermark.
-    """
 
-    def each(batch: DataFrame, number: int) -> None:
-        first = stage_entries(batch, catalog).groupBy("deal_id", "column").agg(F.min("ts").alias("ts"))
-        first.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return _start(changelog, each, checkpoint, trigger)
+def stream_first_entry(changelog: DataFrame, catalog: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, parts: int = 64) -> StreamingQuery:
+    """Keep the earliest entry of each deal and stage in the table at `path`, one row for each.
 
+    The minima are streaming state, in RocksDB beside the checkpoint, so they need no watermark and late entries count. In update mode a
+    micro-batch gives only the minima that it lowers; the table's partitions, by a hash of the deal, that hold these are
+    written anew, and a replayed batch writes the same.
+    """
+    spark = changelog.sparkSession
+    before = spark.conf.get(_PROVIDER)
+    first = stage_entries(changelog, catalog).groupBy("deal_id", "column").agg(F.min("ts").alias("ts"))
 
-def fold_first_entries(spark: SparkSession, path: str, to: str) -> None:
-    """Write the minima of all batches so far as one batch at a new path, where the stream's readers then move."""
-    read_first_entry(spark, path).write.parquet(f"{to}/batch=-1")
+    def each(batch: DataFrame, number: int) -> None:
+        lowered = keep(batch.withColumn("part", F.pmod(F.xxhash64("deal_id"), F.lit(parts)).cast("int")))
+        rows = lowered
+        if subfolders(batch.sparkSession, path):
+            touched = lowered.select("part").filter("part >= 0").distinct()  # at most `parts` numbers
+            rows = rows.unionByName(batch.sparkSession.read.schema(lowered.schema).parquet(path).join(F.broadcast(touched), "part", "left_semi"))
+        merged = keep(rows.groupBy("part", "deal_id", "column").agg(F.min("ts").alias("ts")))
+        merged.write.partitionBy("part").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        forget(lowered, merged)
+
+    spark.conf.set(_PROVIDER, _ROCKSDB)  # the query takes the settings of its start
+    try:
+        writer = first.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint)
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        spark.conf.set(_PROVIDER, before)
 
 
 def read_first_entry(spark: SparkSession, path: str) -> DataFrame:
-    """Earliest entry per deal and stage over all batches."""
-    return spark.read.parquet(path).groupBy("deal_id", "column").agg(F.min("ts").alias("ts"))
+    """Earliest entry of each deal and stage so far."""
+    return spark.read.parquet(path).select("deal_id", "column", "ts")
 
 
-def stream_dim_sync(stream: DataFrame, entity: str, path: str, now: Column, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Upsert one entity's raw records into its dimension at `path`; micro-batch k is write k + 1."""
+def stream_dim_sync(stream: DataFrame, entity: str, path: str, now: Column, checkpoint: str, trigger: dict | None = None, fold_every: int = FOLD_EVERY) -> StreamingQuery:
+    """Upsert one entity's raw records into its dimension at `path`; micro-batch k is write k + 1. Changes are folded as in stream_sync."""
     key = DIMENSIONS[entity][0]
 
     def each(batch: DataFrame, number: int) -> None:
+        _fold(batch.sparkSession, path, number, fold_every, key)
         rows = keep(newest_entity_rows(batch, entity, ["seq"]).withColumn("last_synced_at", now))
         apply_changes(rows, path, number + 1, lambda t, s: upsert_dim(t, s, key, F.col("last_synced_at")), key)
         forget(rows)
@@ -150,3 +181,56 @@ def read_api_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The last state of each time bucket and endpoint."""
     last = F.max_by(F.struct("calls", "errors", "total_s"), "batch").alias("last")
     return spark.read.parquet(path).groupBy("bucket", "endpoint").agg(last).select("bucket", "endpoint", "last.*")
+
+
+def stream_counter_increase(
+    samples: DataFrame, path: str, checkpoint: str, bucket: str = "5 minutes", lateness: str = "1 hour", trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the growth of counters per time bucket under `path`, as counter_increase has it over all samples.
+
+    A small table is carried from one micro-batch to the next: of each series the samples of the last `lateness`, from a whole bucket on, and
+    the one before them. A late sample of that time changes the steps around it, so the buckets from there on are given
+    anew; an older one is left out. State and buckets have a folder for each batch, and a replayed batch starts from the state before it.
+    """
+    def each(batch: DataFrame, number: int) -> None:
+        spark, fresh = batch.sparkSession, batch.select("series", "ts", "value")
+        shape = T.StructType([*fresh.schema.fields, T.StructField("horizon", T.TimestampType())])
+        held = spark.createDataFrame([], shape)
+        if number:
+            held = spark.read.schema(shape).parquet(f"{path}/state/batch={number - 1}")
+        horizons = held.groupBy("series").agg(F.max("horizon").alias("horizon"))
+        timely = join_same(fresh, horizons, ["series"], "left").filter(F.col("horizon").isNull() | (F.col("ts") >= F.col("horizon")))
+        known = keep(held.unionByName(timely.filter("ts IS NOT NULL")))
+        grown = join_same(counter_increase(known, bucket), horizons, ["series"], "left").filter(F.col("horizon").isNull() | (F.col("bucket") >= F.col("horizon")))
+        grown.drop("horizon").write.mode("overwrite").parquet(f"{path}/buckets/batch={number}")
+        latest = known.groupBy("series").agg(F.max("horizon").alias("old"), F.max("ts").alias("newest"))
+        start = F.window(F.col("newest") - F.expr(f"INTERVAL {lateness}"), bucket)["start"]
+        moved = latest.withColumn("start", start).select("series", F.greatest("old", "start").alias("horizon"))
+        aged = join_same(known.drop("horizon"), moved, ["series"])
+        before = latest_per_id(aged.filter("ts < horizon"), "series", "ts", ["value"])
+        aged.filter("ts >= horizon").unionByName(before).write.mode("overwrite").parquet(f"{path}/state/batch={number}")
+        forget(known)
+        delete(spark, f"{path}/state/batch={number - 2}")
+        if number and number % FOLD_EVERY == 0:
+            _fold_buckets(spark, f"{path}/buckets", number)
+
+    return _start(samples, each, checkpoint, trigger)
+
+
+def _newest_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    return latest_per_id(spark.read.parquet(folder).withColumn("key", F.struct("series", "bucket")), "key", "batch", ["bucket"]).drop("key")
+
+
+def _fold_buckets(spark: SparkSession, folder: str, number: int) -> None:
+    """Gather the buckets of all batches before the last one, which is final, there, and delete the folders an earlier fold has gathered."""
+    last, shape = f"{folder}/batch={number - 1}", ["series", "bucket", "increase", "rate"]
+    old = _newest_buckets(spark, folder).filter(F.col("batch") < number - 1).select(shape)
+    old.write.mode("append").parquet(last)
+    for name in subfolders(spark, folder):
+        if int(name.partition("=")[2]) < number - FOLD_EVERY:
+            delete(spark, f"{folder}/{name}")
+
+
+def read_counter_increase(spark: SparkSession, path: str) -> DataFrame:
+    """(series, bucket, increase, rate): the last state of each bucket."""
+    return _newest_buckets(spark, f"{path}/buckets").drop("batch")

@@ -7,6 +7,7 @@ from checks.cases_pipelines import SCHEMA
 from checks.cases_tables import at, dims
 from checks.inputs import load, load_records
 from funnelwise.operators import api_log, lookups, merge, quality, scan
+from funnelwise.operators.histograms import counter_increase
 from funnelwise.operators.history import stage_entries
 from funnelwise.plans import sync, transform
 from funnelwise.sources import pages
@@ -91,4 +92,49 @@ def test_stream_restarts_with_late_shuffled_and_repeated_files(spark, tmp_path):
         streams.stream_first_entry(stream, catalog, out, marks).awaitTermination()
     log = spark.read.parquet(land)
     want = stage_entries(log, catalog).groupBy("deal_id", "column").agg(F.min("ts").alias("ts"))
-    assert sorted(map(tuple, streams.read_first_entry(spark, out).collect())) == sorted(map(tuple, want.collect()))
+    got = streams.read_first_entry(spark, out)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    stored = spark.read.parquet(out)
+    assert stored.count() == stored.select("deal_id", "column").distinct().count(), "a read touches one row for each deal and stage"
+
+
+def test_first_entries_are_kept_in_a_state_store(spark, tmp_path):
+    shape = "deal_id long, field_key string, new_value string, time string"
+    catalog = spark.createDataFrame([(1, "moved_to_stage_a_1")], "stage_id long, column string")
+    land, out, marks = (str(tmp_path / n) for n in ("land", "out", "marks"))
+    spark.createDataFrame([(i, "stage_id", "1", "2024-01-05 00:00:00") for i in range(1, 50)], shape).coalesce(1).write.mode("append").parquet(land)
+    query = streams.stream_first_entry(spark.readStream.schema(shape).parquet(land), catalog, out, marks)
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 49
+    assert any("rocksdb" in k.lower() for k in query.lastProgress["stateOperators"][0]["customMetrics"])
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.createDataFrame([(1, "stage_id", "1", "2024-01-01 00:00:00"), (2, "stage_id", "1", "2024-01-09 00:00:00")], shape).coalesce(1).write.mode("append").parquet(land)
+    query = streams.stream_first_entry(spark.readStream.schema(shape).parquet(land), catalog, out, marks)
+    query.awaitTermination()
+    got = {r.deal_id: r.ts.day for r in streams.read_first_entry(spark, out).collect()}
+    assert got == {1: 1, **{i: 5 for i in range(2, 50)}}
+
+
+def test_streamed_increase_equals_batch_across_restarts_resets_and_late_samples(spark, tmp_path):
+    land, out, marks = (str(tmp_path / n) for n in ("land", "out", "marks"))
+    shape = "series string, ts timestamp, value double"
+    at = lambda m: f"2024-01-01 {10 + m // 60}:{m % 60:02d}:00"
+    batches = [
+        [("a", at(0), 10.0), ("a", at(7), 15.0), (None, at(1), 1.0)],
+        [("a", at(20), 3.0), ("a", at(3), 12.0), (None, at(30), 5.0), ("b", at(2), 7.0)],
+        [("a", at(12), 18.0), ("a", at(12), 18.0), ("a", at(90), 30.0), (None, at(29), 9.0)],
+        [("a", at(60), 2.0), ("b", at(200), 9.0), ("c", at(5), 1.0)],
+        [("a", at(1), 99.0), ("a", at(91), 31.0), ("b", at(1), 99.0)],
+    ]
+    for batch in batches:
+        rows = spark.createDataFrame([(s, t, v) for s, t, v in batch], "series string, t string, value double")
+        rows.select("series", F.col("t").cast("timestamp").alias("ts"), "value").coalesce(1).write.mode("append").parquet(land)
+        stream = spark.readStream.schema(shape).parquet(land)
+        streams.stream_counter_increase(stream, out, marks, lateness="1 hour").awaitTermination()
+    late = [("a", at(1)), ("b", at(1))]  # more than an hour before the newest sample of their series
+    kept = [r for batch in batches for r in batch if r[:2] not in late]
+    samples = spark.createDataFrame(kept, "series string, t string, value double").select("series", F.col("t").cast("timestamp").alias("ts"), "value")
+    want = {(r.series, r.bucket): r.increase for r in counter_increase(samples).collect()}
+    assert {(r.series, r.bucket): r.increase for r in streams.read_counter_increase(spark, out).collect()} == want
+    state = spark.read.parquet(f"{out}/state")
+    assert state.filter("batch = 4 AND series = 'a'").count() == 4, "the last hour from a whole bucket on, and the sample before"

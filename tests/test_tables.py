@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelwise.operators import catalogs, history, merge, ordered
-from funnelwise.operators.histograms import counter_increase, exact_quantiles
+from funnelwise.operators.histograms import counter_increase, exact_quantiles, sliding_increase
 from funnelwise.operators.quality import reconcile_ids
 from funnelwise.operators.scan import point_lookup
 from funnelwise.operators.sizing import attach
@@ -84,6 +84,59 @@ def test_a_change_writes_its_own_keys_only(spark, tmp_path):
     assert rows(tables.read_table(spark, path + "-new")) == want
 
 
+def test_a_batch_reads_the_partitions_of_its_own_keys(spark, tmp_path):
+    path = str(tmp_path / "deals")
+    tables.write_snapshot(spark.range(5000).select("id", F.lit("a").alias("v"), F.lit(0).alias("n")), path, parts=64)
+    assert tables.parts_of(spark, path) == 64
+    source = spark.createDataFrame([(i * 100, "b", 1) for i in range(10)] + [(9999, "new", 1)], "id long, v string, n int")
+    for number in (1, 2):
+        tables.apply_changes(source, path, number, merge_all)
+    held = tables.held_rows(source, path)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert held.count() == 11 and {tuple(r) for r in held.collect()} == {(i * 100, "b", 2) for i in range(10)} | {(9999, "new", 2)}
+    read = [leaf for leaf in leaves(held) if leaf.nodeName().startswith("Scan parquet")]
+    assert read and all(partitions_read(leaf) <= 2 * 11 for leaf in read)
+    assert max(partitions_read(leaf) for leaf in read) < 64
+
+
+def leaves(df):
+    """Leaves of the plan that ran."""
+    df.collect()
+    stack, out = [df._jdf.queryExecution().executedPlan()], []
+    while stack:
+        node = stack.pop()
+        inner = {"AdaptiveSparkPlanExec": "executedPlan", "ShuffleQueryStageExec": "plan", "BroadcastQueryStageExec": "plan", "ResultQueryStageExec": "plan"}
+        if node.getClass().getSimpleName() in inner:
+            stack.append(getattr(node, inner[node.getClass().getSimpleName()])())
+            continue
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        out += [node] * (children.size() == 0)
+    return out
+
+
+def partitions_read(scan):
+    return scan.metrics().apply("numPartitions").value()
+
+
+def test_folding_changes_reads_the_same_at_every_step(spark, tmp_path):
+    path = str(tmp_path / "deals")
+    tables.write_snapshot(spark.range(100).select("id", F.lit("a").alias("v"), F.lit(0).alias("n")), path, parts=4)
+    batch = lambda k: spark.createDataFrame([(k, "b", k), (7, "c", k), (1000 + k, "d", k)], "id long, v string, n int")
+    for k in range(1, 6):
+        tables.apply_changes(batch(k), path, k, merge_all)
+    want = rows(tables.read_table(spark, path))
+    tables.fold_changes(spark, path, 5, drop_below=3)
+    assert rows(tables.read_table(spark, path)) == want and tables.subfolders(spark, path) == ["upto=0", "upto=3", "upto=4", "upto=5"]
+    tables.fold_changes(spark, path, 5)
+    assert rows(tables.read_table(spark, path)) == want and tables.subfolders(spark, path) == ["upto=0", "upto=5"]
+    assert spark.read.parquet(f"{path}/upto=5").count() == 11
+    tables.apply_changes(batch(6), path, 6, merge_all)
+    tables.apply_changes(batch(6), path, 6, merge_all)
+    assert rows(tables.read_table(spark, path)) == want | {6: ("b", 6), 7: ("c", 21), 1006: ("d", 6)}
+
+
 def merge_all(t, s):
     both = t.alias("t").join(s.alias("s"), "id", "right")
     return both.select("id", F.col("s.v").alias("v"), (F.coalesce("t.n", F.lit(0)) + F.col("s.n")).alias("n"))
@@ -149,13 +202,60 @@ def test_exact_quantiles_on_heavy_ties(spark):
     assert [got[q] for q in (0.0, 0.5, 0.95, 1.0)] == pytest.approx(want)
 
 
-def test_exact_quantiles_on_wide_and_narrow_ranges(spark):
-    values = [1e308, -1e308, 0.0, 1e-300, 5.0, 5.0, 5.0, 6.0, None] + [float(i) / 7 for i in range(500)] + [1e12 + i for i in range(50)]
-    df = spark.createDataFrame([(g, v) for g in ("a", "b") for v in values] + [("one", 3.0), ("none", None)], "g string, v double")
+def slow_quantile(values, q):
+    nan = lambda v: v != v
+    values = sorted((v for v in values if v is not None and not nan(v))) + [v for v in values if v is not None and nan(v)]
+    place = q * (len(values) - 1)
+    a, b, share = values[int(place)], values[-int(-place // 1)], place % 1
+    return a if a == b or not share else a + (b - a) * share
+
+
+@pytest.mark.parametrize("cell_rows", [10, 1_000_000])
+def test_exact_quantiles_of_odd_groups(spark, cell_rows):
+    """Wide and narrow ranges, infinities, not-a-number, an outlier, a NULL group and ties, cut into small cells or not at all."""
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "wide": [1e308, -1e308, 0.0, 1e-300, 5.0, 5.0, 5.0, 6.0, None] + [float(i) / 7 for i in range(300)] + [1e12 + i for i in range(50)],
+        "inf": [float(i) for i in range(10)] + [inf], "both": [-inf, inf] * 3 + [1.0], "nan": [nan, nan, 1.0, 2.0], "outlier": [float(i) / 3 for i in range(400)] + [1e9],
+        None: [float(i % 150) for i in range(500)], "one": [3.0], "none": [None], "tied": [5.0] * 400 + [float(i) for i in range(60)],
+    }
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g string, v double").repartition(5)
     qs = [0.0, 0.1, 0.5, 0.77, 0.999, 1.0]
-    got = {(r.g, r.q): r.value for r in exact_quantiles(df, "v", qs, ["g"], bins=4).collect()}
-    want = df.filter("v IS NOT NULL").groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, qs))).alias("p")).collect()
-    assert got == pytest.approx({(r.g, q): v for r in want for q, v in zip(qs, r.p)})
+    got = {(r.g, r.q): r.value for r in exact_quantiles(df, "v", qs, ["g"], cell_rows, cuts=8).collect()}
+    want = {(g, q): slow_quantile(values, q) for g, values in groups.items() for q in qs if any(v is not None for v in values)}
+    assert got == pytest.approx(want, nan_ok=True)
+
+
+def test_neighbours_keep_null_groups_and_cross_chunks(spark):
+    rows = [(g, i, i * 10) for g in ("a", None) for i in range(20)]
+    df = spark.createDataFrame(rows, "g string, ts long, v long").withColumn("chunk", F.floor(F.col("ts") / 3))
+    got = ordered.following(ordered.previous(df, ["g"], F.col("ts"), "v", "chunk", "before"), ["g"], F.col("ts"), "v", "chunk", "after").collect()
+    assert sorted(((r.g or "", r.ts, r.before, r.after) for r in got)) == sorted((g or "", i, v - 10 if i else None, v + 10 if i < 19 else None) for g, i, v in rows)
+    assert ordered.numbered(df, ["g"], [F.col("ts")], F.col("chunk")).filter("position = ts + 1").count() == 40
+
+
+def test_sliding_increase_extrapolates_and_never_starts_below_zero(spark):
+    at = lambda m, s=0: dt.datetime(2024, 1, 1, 0, m, s)
+    even = [("even", at(m), 100.0 + 10 * m) for m in range(30)]
+    rows = even + [("young", at(10), 1.0), ("young", at(12), 21.0), ("single", at(10), 5.0), ("reset", at(15), 50.0), ("reset", at(18), 60.0), ("reset", at(21), 6.0), (None, at(15), 0.0), (None, at(20), 8.0)]
+    df = spark.createDataFrame(rows, "series string, ts timestamp, value double")
+    got = {(r.series, r.start.hour * 60 + r.start.minute): r.increase for r in sliding_increase(df).filter("start >= '2024-01-01'").collect()}
+    assert got["even", 5] == pytest.approx(150) and got["even", 0] == pytest.approx(150), "whole range, samples a minute apart"
+    assert got["young", 0] == pytest.approx(20 * (120 + 6 + 60) / 120), "no growth from below zero before the first sample"
+    assert got["reset", 15] == pytest.approx(16 * (360 + 0 + 90) / 360) and got[None, 10] == pytest.approx(8 * (300 + 0 + 300) / 300)
+    assert not any(series == "single" for series, _ in got)
+
+
+def test_stage_transitions_of_a_busy_deal(spark):
+    days = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i)
+    entries = [(1, "ab"[i % 2], days(i)) for i in range(500)] + [(1, "a", days(0))] * 3 + [(2, "a", days(3)), (3, "a", days(1)), (3, "b", days(1)), (3, "c", days(9))]
+    got = [tuple(r) for r in history.stage_transitions(spark.createDataFrame(entries, "deal_id long, column string, ts timestamp")).collect()]
+    want = []
+    for deal in (1, 2, 3):
+        own = sorted({(ts, stage) for d, stage, ts in entries if d == deal})
+        for (ts, stage), then in zip(own, [*own[1:], None]):
+            want.append((deal, stage, ts, then and then[1], then and then[0], then and int((then[0] - ts).total_seconds())))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 def test_counter_resets(spark):
