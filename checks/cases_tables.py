@@ -41,20 +41,23 @@ def read_pages(spark, d):
     return records.select("entity", "page_no", "cursor", F.try_variant_get("record", "$.title", "string").alias("title"))
 
 
+_HEADS = """SELECT value->>'$.entity' AS entity, value->>'$.run_id' AS run_id, CAST(value->>'$.page_no' AS BIGINT) AS page_no, (value->>'$.success') = 'true' AS ok,
+        CAST(json_array_length(value, '$.data') AS BIGINT) AS size, value->>'$.cursor' AS cursor, CAST(value->>'$.additional_data.pagination.start' AS BIGINT) AS start,
+        coalesce((value->>'$.additional_data.pagination.more_items_in_collection') = 'true', false) AS more,
+        CAST(value->>'$.additional_data.pagination.next_start' AS BIGINT) AS next_start, value->>'$.additional_data.next_cursor' AS next_cursor
+    FROM chain_json"""
+_LINKED = """SELECT *, CASE WHEN ok THEN size ELSE 0 END AS items, CASE WHEN NOT ok THEN 'unsuccessful' WHEN size = 0 THEN 'no_data'
+        WHEN (more AND next_start IS NOT NULL) OR next_cursor IS NOT NULL THEN CASE WHEN lead(page_no) OVER w > page_no + 1 OR lead(start) OVER w <> next_start OR lead(cursor) OVER w <> next_cursor THEN 'gap' END
+        WHEN more THEN 'missing_next_start' ELSE 'complete' END AS reason FROM heads WINDOW w AS (PARTITION BY entity, run_id ORDER BY page_no)"""
+
+
 @check(
-    """SELECT entity, count(*) AS pages, CAST(sum(items) AS BIGINT) AS items, coalesce(min(page_no) FILTER (reason IS NOT NULL), max(page_no)) AS last_page,
-        coalesce(arg_min(reason, page_no) FILTER (reason IS NOT NULL), 'missing_page') AS end_reason
-        FROM (SELECT *, CASE WHEN NOT ok THEN 'unsuccessful' WHEN size = 0 THEN 'no_data' WHEN (more AND next_start IS NOT NULL) OR next_cursor IS NOT NULL THEN NULL
-            WHEN more THEN 'missing_next_start' ELSE 'complete' END AS reason, CASE WHEN ok THEN size ELSE 0 END AS items
-        FROM (SELECT value->>'$.entity' AS entity, CAST(value->>'$.page_no' AS BIGINT) AS page_no, (value->>'$.success') = 'true' AS ok,
-            CAST(json_array_length(value, '$.data') AS BIGINT) AS size,
-            coalesce((value->>'$.additional_data.pagination.more_items_in_collection') = 'true', false) AS more,
-            value->>'$.additional_data.pagination.next_start' AS next_start, value->>'$.additional_data.next_cursor' AS next_cursor
-        FROM page_json) a) b GROUP BY entity""",
-    ("page_json",),
+    """SELECT entity, run_id, count(*) AS pages, CAST(sum(items) AS BIGINT) AS items, coalesce(min(page_no) FILTER (reason IS NOT NULL), max(page_no)) AS last_page,
+        coalesce(arg_min(reason, page_no) FILTER (reason IS NOT NULL), 'missing_page') AS end_reason FROM linked GROUP BY entity, run_id""",
+    ("chain_json",), heads=_HEADS, linked=_LINKED,
 )
 def page_chain_audit(spark, d):
-    return pages.page_chain_audit(pages.parse_page_heads(load(spark, d, "page_json")))
+    return pages.page_chain_audit(pages.parse_page_heads(load(spark, d, "chain_json")))
 
 
 @check(f"SELECT id, update_time, status FROM deals WHERE update_time >= TIMESTAMP '{SINCE}'", ("deals",))
@@ -197,12 +200,13 @@ def merge_deals(spark, d):
     return _merge(spark, d)
 
 
-@check(merged_sql(), ("deals", "changes"), latest=LATEST_SQL)
+@check(merged_sql(), ("deals", "changes"), latest=LATEST_SQL + " AND TRY_CAST(id AS BIGINT) % 100 = 0")
 def merge_deals_small_source(spark, d):
-    """The source as a small stored change: written once, then appended to the stored table."""
+    """A small batch, the changes of ids divisible by 100, against all rows of a stored table in 64 partitions."""
     folder = scratch_folder(spark)
-    tables.write_snapshot(load(spark, d, "deals").select(*_MERGED), folder)
-    source = keep(merge.latest_per_id(load(spark, d, "changes"), seq=TIES).drop(*TIES[:3]))
+    tables.write_snapshot(load(spark, d, "deals").select(*_MERGED), folder, parts=64)
+    changes = load(spark, d, "changes").filter(F.col("id").try_cast("bigint") % 100 == 0)
+    source = keep(merge.latest_per_id(changes, seq=TIES).drop(*TIES[:3]))
     tables.apply_changes(source, folder, 1, merge.merge_deals)
     return tables.read_table(spark, folder)
 
@@ -306,6 +310,23 @@ def field_mismatches(spark, d):
     return quality.field_mismatches(source, load(spark, d, "deals"), FIELDS)
 
 
+@check("SELECT * FROM mismatches", ("deals", "changes"), latest=LATEST_SQL, mismatches=mismatch_sql())
+def field_mismatches_by_range(spark, d):
+    source = merge.latest_per_id(load(spark, d, "changes"), seq=TIES)
+    return quality.field_mismatches(source, load(spark, d, "deals"), FIELDS, ranges=quality.RANGES)
+
+
+@check(
+    """SELECT (SELECT count(*) FROM latest) AS source_ids, (SELECT count(*) FROM deals) AS target_ids,
+        (SELECT count(*) FROM latest WHERE id NOT IN (SELECT id FROM deals)) AS missing_ids,
+        (SELECT count(*) FROM deals WHERE id NOT IN (SELECT id FROM latest)) AS extra_ids,
+        (SELECT count(*) FROM latest) = (SELECT count(*) FROM deals) AS count_match""", ("deals", "changes"), latest=LATEST_SQL,
+)
+def reconcile_unique_ids(spark, d):
+    source = keep(merge.latest_per_id(load(spark, d, "changes"), seq=TIES).select("id"))
+    return quality.reconcile_unique_ids(source, load(spark, d, "deals").select("id"))
+
+
 _DATES = f"SELECT count(*) AS issues FROM deals WHERE add_time > TIMESTAMP '{TODAY}' OR update_time < add_time OR close_time < add_time"
 
 

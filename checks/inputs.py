@@ -135,6 +135,23 @@ INPUTS: dict[str, str] = {
                 ELSE {_obj(next_cursor=f"CASE WHEN {K} % 5 = 0 THEN 'null' ELSE {_str(f"concat('c', {_text(K)})")} END")} END''',
         )} AS value
         FROM (SELECT k AS {K}, record, o_custkey FROM {{deal_json}} JOIN {{orders}} ON k = o_orderkey) p""",
+    # two fetch runs for each entity; pages left out, starts and cursors that do not follow, failed, empty and final pages
+    "chain_json": f"""
+        SELECT {_obj(
+            entity=_str(f"concat('e', {_text('c')})"),
+            run_id=f"CASE WHEN r = 2 THEN 'null' ELSE {_str(f"concat('run', {_text('r')})")} END",
+            page_no=_text("n"),
+            success=f"CASE WHEN {K} % 53 = 0 THEN 'false' ELSE 'true' END",
+            cursor=f"CASE WHEN r = 1 THEN 'null' ELSE {_str(f"concat('c', {_text(f'n + CASE WHEN {K} % 41 = 0 THEN 7 ELSE 0 END')})")} END",
+            data=f"CASE WHEN {K} % 47 = 0 THEN '[]' WHEN {K} % 2 = 0 THEN '[{{{{}}}},{{{{}}}}]' ELSE '[1]' END",
+            additional_data=f"CASE WHEN r = 1 THEN {_obj(pagination=_obj(
+                start=_text(f"100 * n + CASE WHEN {K} % 43 = 0 THEN 1 ELSE 0 END"),
+                more_items_in_collection=f"CASE WHEN {K} % 11 = 0 THEN 'false' ELSE 'true' END",
+                next_start=f"CASE WHEN {K} % 37 = 0 THEN 'null' ELSE {_text('100 * n + 100')} END"))} ELSE {_obj(
+                next_cursor=f"CASE WHEN {K} % 13 = 0 THEN 'null' ELSE {_str(f"concat('c', {_text('n + 1')})")} END")} END",
+        )} AS value
+        FROM (SELECT o_orderkey, c, r, row_number() OVER (PARTITION BY c, r ORDER BY o_orderkey) AS n
+            FROM (SELECT o_orderkey, o_custkey % 97 AS c, 1 + o_orderkey % 2 AS r FROM {{orders}}) o) p WHERE {K} % 29 <> 0""",
     "users": "SELECT s_suppkey AS user_id, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_name END AS user_name, s_acctbal >= 0 AS is_active FROM {supplier}",
     "persons": "SELECT c_custkey AS person_id, c_name AS person_name, CAST(c_nationkey AS BIGINT) AS org_id FROM {customer}",
     "stages": f"""SELECT CAST(n_nationkey AS BIGINT) AS stage_id, {_STAGE_NAME} AS stage_name,

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import following
+
 _HEAD = """
-    entity STRING, page_no BIGINT, success BOOLEAN,
+    entity STRING, run_id STRING, page_no BIGINT, success BOOLEAN, cursor STRING,
     additional_data STRUCT<
         next_cursor: STRING,
-        pagination: STRUCT<more_items_in_collection: BOOLEAN, next_start: BIGINT>
+        pagination: STRUCT<start: BIGINT, more_items_in_collection: BOOLEAN, next_start: BIGINT>
     >
 """
 ENVELOPE = _HEAD + ", data ARRAY<VARIANT>"
+#: Pages of a chain whose neighbours one task looks up.
+CHUNK_PAGES = 4096
 
 
 def _landed_at(lines: DataFrame) -> Column:
@@ -33,9 +37,9 @@ def parse_pages(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def parse_page_heads(lines: DataFrame, column: str = "value") -> DataFrame:
-    """What `page_chain_audit` needs: envelopes without their records, and the number of records `size`."""
-    page, data = F.from_json(F.col(column), _HEAD), F.get_json_object(F.col(column), "$.data")
-    return lines.select(page.alias("page"), F.json_array_length(data).alias("size")).select("page.*", "size")
+    """What `page_chain_audit` needs: envelopes with the number of records `size` in place of the records."""
+    pages = lines.select(F.from_json(F.col(column), _HEAD + ", data ARRAY<STRING>").alias("page")).select("page.*")
+    return pages.withColumn("size", F.when(F.col("data").isNotNull(), F.size("data"))).drop("data")
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -55,10 +59,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_chain_audit(pages: DataFrame) -> DataFrame:
-    """Where each entity's page chain ended, and why, from page heads.
+    """Where each page chain, of an entity in one fetch run, ended, and why, from page heads.
 
     A chain stops at its first unsuccessful, empty or final page. `missing_next_start` is a page
-    that promises more without saying where; `missing_page` a chain whose last page promises more.
+    that promises more without saying where; `missing_page` a chain whose last page promises more; `gap` a page whose
+    follower is not the one it points to: a page number is left out, or the follower says that it starts elsewhere or
+    was asked for by another cursor. Pages landed twice count as one link. Each task looks at one stretch of a chain.
     """
     pagination = F.col("additional_data.pagination")
     more = F.coalesce(pagination["more_items_in_collection"], F.lit(False))
@@ -72,9 +78,18 @@ def page_chain_audit(pages: DataFrame) -> DataFrame:
         .otherwise("complete")
     )
     kept = F.when(F.coalesce("success", F.lit(False)), size).otherwise(0)
-    marked = pages.select("entity", "page_no", kept.alias("items"), reason.alias("reason"))
+    place = F.struct("page_no", pagination["start"].alias("start"), "cursor")
+    marked = pages.select(
+        "entity", "run_id", "page_no", kept.alias("items"), reason.alias("reason"), place.alias("place"), F.floor(F.col("page_no") / CHUNK_PAGES).alias("chunk"),
+        pagination["next_start"].alias("next_start"), F.nullif("additional_data.next_cursor", F.lit("")).alias("next_cursor"),
+    )
+    linked = following(marked, ["entity", "run_id"], F.col("place"), F.col("place"), "chunk", "then")
+    then = F.col("then")
+    elsewhere = (then["start"] != F.col("next_start")) | (then["cursor"] != F.col("next_cursor"))
+    gap = (then["page_no"] > F.col("page_no") + 1) | ((then["page_no"] == F.col("page_no") + 1) & F.coalesce(elsewhere, F.lit(False)))
+    linked = linked.withColumn("reason", F.coalesce("reason", F.when(gap, "gap")))
     ended = F.when(F.col("reason").isNotNull(), F.col("page_no"))
-    chains = marked.groupBy("entity").agg(
+    chains = linked.groupBy("entity", "run_id").agg(
         F.count("*").alias("pages"),
         F.sum("items").cast("bigint").alias("items"),
         F.max("page_no").alias("newest"),
@@ -82,6 +97,6 @@ def page_chain_audit(pages: DataFrame) -> DataFrame:
         F.min_by("reason", ended).alias("reason"),
     )
     return chains.select(
-        "entity", "pages", "items", F.coalesce("stop", "newest").alias("last_page"),
+        "entity", "run_id", "pages", "items", F.coalesce("stop", "newest").alias("last_page"),
         F.coalesce("reason", F.lit("missing_page")).alias("end_reason"),
     )

@@ -10,7 +10,7 @@ from funnelwise.operators.histograms import counter_increase, exact_quantiles, s
 from funnelwise.operators.quality import reconcile_ids
 from funnelwise.operators.scan import point_lookup
 from funnelwise.operators.sizing import attach
-from funnelwise.sources import tables
+from funnelwise.sources import pages, tables
 
 T = lambda day: dt.datetime(2024, 1, day)
 SHAPE = "id string, v string, add_time timestamp, update_time timestamp, moved_to_stage_a_1 timestamp"
@@ -263,3 +263,47 @@ def test_counter_resets(spark):
     df = spark.createDataFrame([("s", at(0), 10.0), ("s", at(1), 15.0), ("s", at(6), 3.0), ("s", at(20), 4.0)], "series string, ts timestamp, value double")
     got = {r.bucket.minute: r.increase for r in counter_increase(df).collect()}
     assert got == {0: 5.0, 5: 3.0, 20: 1.0}
+
+
+def test_tables_that_agree_shuffle_a_row_for_each_range(spark):
+    from funnelwise.operators.quality import differing_ranges, field_mismatches, reconcile_unique_ids
+
+    table = spark.range(20_000).select("id", F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 5).alias("v"), F.lit("x").alias("w")).repartition(5)
+    other = table.repartition(3)
+    assert differing_ranges(table, other, ["id", "v", "w"], 64).count() == 0
+    assert field_mismatches(table, other, ["v", "w"], ranges=64).count() == 0
+    assert tuple(reconcile_unique_ids(table, other, 64).first()) == (20_000, 20_000, 0, 0, True)
+    # NULL against a value, values swapped between columns, a missing and an extra row
+    changed = other.withColumns({"v": F.when(F.col("id") == 7, 3).when(F.col("id") == 8, None).otherwise(F.col("v"))}).filter("id <> 9").unionByName(spark.createDataFrame([(99_999, 1, "x")], "id long, v long, w string"))
+    assert 2 <= differing_ranges(table, changed, ["id", "v", "w"], 64).count() <= 4
+    got = sorted(map(tuple, field_mismatches(table, changed, ["v", "w"], ranges=64).collect()))
+    assert got == sorted(map(tuple, field_mismatches(table, changed, ["v", "w"]).collect())) and len(got) == 3
+    assert tuple(reconcile_unique_ids(table, changed, 64).first()) == (20_000, 20_000, 1, 1, True)
+    shape = range_plan(table, changed)
+    assert shape.count("Exchange hashpartitioning") == 2 and shape.count("partial_bit_xor") == 2
+
+
+def range_plan(a, b):
+    from funnelwise.operators.quality import range_digests
+
+    return range_digests(a, ["id", "v"], 64).join(range_digests(b, ["id", "v"], 64), "range", "full_outer")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_page_chains_of_two_runs_with_holes(spark):
+    import json
+
+    def page(n, run="r", **more):
+        body = {"entity": "e", "run_id": run, "page_no": n, "success": True, "data": [{}], "additional_data": {"pagination": {"start": 100 * n, "more_items_in_collection": True, "next_start": 100 * n + 100}}}
+        return json.dumps(body | more)
+
+    final = lambda n, run: page(n, run, additional_data={"pagination": {"start": 100 * n, "more_items_in_collection": False}})
+    cursor = lambda n, run, own, then: page(n, run, cursor=own, additional_data={"next_cursor": then})
+    lines = [page(1, "hole"), page(2, "hole"), final(4, "hole"), page(1, "whole"), page(2, "whole"), page(2, "whole"), final(3, "whole"), page(1, None), page(2, None)]
+    lines += [page(1, "moved"), page(2, "moved", additional_data={"pagination": {"start": 150, "more_items_in_collection": False}})]
+    lines += [cursor(1, "cursor", None, "a"), cursor(2, "cursor", "b", "c"), cursor(1, "good", None, "a"), cursor(2, "good", "a", None)] + ["{broken"]
+    lines += [page(n, "long") for n in range(1, 10_000)] + [final(10_000, "long")]
+    heads = pages.parse_page_heads(spark.createDataFrame([(line,) for line in lines], "value string"))
+    got = {r.run_id: (r.last_page, r.end_reason, r.pages) for r in pages.page_chain_audit(heads).filter("entity = 'e'").collect()}
+    assert got == {
+        "hole": (2, "gap", 3), "whole": (3, "complete", 4), None: (2, "missing_page", 2), "moved": (1, "gap", 2), "cursor": (1, "gap", 2), "good": (2, "complete", 2), "long": (10_000, "complete", 10_000),
+    }
