@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +13,10 @@ from ..functions.values import safe_timestamp
 from ..operators import dimensions as D
 from ..operators.merge import latest_per_id, merge_deals
 from ..operators.run_log import next_watermark, summary_row
-from ..operators.validate import validate_deals
+from ..operators.validate import rejected, validate_deals
 from ..sources.scratch import forget, keep
-from ..sources.tables import apply_changes
-from .transform import transform_deals
+from ..sources.tables import add_columns, apply_changes, table_schema
+from .transform import judge_records, transform_deals, transform_judged
 
 
 def records_since(raw: DataFrame, since: Column | None, record: str = "record") -> DataFrame:
@@ -72,12 +74,48 @@ def sync_into_table(
     schema: T.StructType,
     history: str = "overwrite",
     seq: list[str] | None = None,
+    evolve: bool = False,
+    rejects: str | None = None,
+    failed: Callable[[DataFrame], None] | None = None,
+    record: str = "record",
 ) -> DataFrame:
-    """Transform raw records once and append the merged rows of their ids as write `number` of a stored table -> run summary."""
-    prepared = keep(transform_deals(raw, dims, mapping, schema, seq=seq or ["seq"]))
-    apply_changes(prepared, path, number, lambda t, s: merge_deals(t, s, history), schema=schema)
+    """Transform raw records and append the merged rows of their ids as write `number` of a stored table -> run summary.
+
+    The raw records are read and judged once, and written with the verdict; rows to load, rejected ones and counts all come from
+    there. (Counts of observed metrics would do without, but count a task twice that runs again after its executor is lost.) With
+    `evolve`, custom columns that hold a value in this batch and are not in the table are added to it. `rejects` is where rejected
+    records go, with their reasons. A run that breaks off gives `failed` its summary, in which nothing is loaded, and raises.
+    """
+    spark = raw.sparkSession
+    judged = keep(judge_records(raw, record))
+    time = F.max(safe_timestamp(F.col("__text.update_time"))).alias("newest")
+    counts = judged.agg(F.count("*").alias("fetched"), F.count_if(F.size("reasons") > 0).alias("failed"), time).withColumn("loaded", F.lit(0).cast("long"))
+    counts = spark.createDataFrame(counts.collect(), counts.schema)
+    try:
+        if rejects is not None:
+            bad = rejected(judged).select(F.to_json(F.col(record)).alias("record"), "reasons")
+            bad.write.mode("overwrite").parquet(f"{rejects}/write={number}")
+        known = table_schema(spark, path, schema, before=number)
+        prepared = keep(transform_judged(judged, dims, mapping, known, record, seq or ["seq"], evolve))
+        declared = {f.name for f in known.fields}
+        more = [f for f in prepared.schema.fields if f.name not in declared]
+        if more:
+            held = prepared.agg(*[F.count(f.name).alias(f.name) for f in more]).first()
+            more = [f for f in more if held[f.name]]
+            add_columns(spark, path, number, more)
+        wide = T.StructType([*known.fields, *more])
+        source = prepared.select([f.name for f in wide.fields])
+        apply_changes(source, path, number, lambda t, s: merge_deals(t, s, history), schema=wide)
+        loaded = prepared.count()
+    except Exception as error:
+        if failed is not None:
+            failed(summary_row(counts, str(error)).drop("newest"))
+        raise
+    finally:
+        forget(judged)
     forget(prepared)
-    return sync_summary(raw)
+    row = summary_row(counts.withColumn("loaded", F.lit(loaded).cast("long")))
+    return row.withColumn("watermark", F.when(F.col("loaded") > 0, next_watermark("newest"))).drop("newest")
 
 
 # Entity -> (key, mapper).

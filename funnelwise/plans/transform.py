@@ -56,7 +56,25 @@ def transform_deals(
     seq: list[str] | None = None,
     evolve: bool = False,
 ) -> DataFrame:
-    """Validate, type, flatten and enrich raw records, then conform them to `schema`.
+    """Validate, type, flatten and enrich raw records, then conform them to `schema`; see transform_judged."""
+    return transform_judged(judge_records(raw, record), dims, mapping, schema, record, seq, evolve)
+
+
+def judge_records(raw: DataFrame, record: str = "record") -> DataFrame:
+    """Raw records with the texts that typing needs and the reasons to reject them."""
+    return judge_deals(raw, _READ, record)
+
+
+def transform_judged(
+    judged: DataFrame,
+    dims: dict[str, DataFrame],
+    mapping: dict[str, str],
+    schema: T.StructType,
+    record: str = "record",
+    seq: list[str] | None = None,
+    evolve: bool = False,
+) -> DataFrame:
+    """Type, flatten and enrich the valid ones of judged records, then conform them to `schema`.
 
     `dims` holds users, persons, stages, pipelines and orgs; `mapping` custom field keys to
     columns. With `seq`, only the newest record of each id is kept, before any name is looked up;
@@ -64,11 +82,12 @@ def transform_deals(
     the schema does not declare, behind the declared ones.
     """
     declared = {f.name for f in schema.fields}
-    typed = _typed(valid(judge_deals(raw, _READ, record)), record)
+    given = [c for c in judged.columns if c not in (record, "__text", "reasons")]
+    typed = _typed(valid(judged), record)
     flat = flatten_custom_fields(typed, mapping, record, address_columns=declared).drop(record)
     if seq:
         flat = latest_per_id(flat, seq=seq)
-    enriched = enrich_deals(flat.drop(*[c for c in raw.columns if c != record]), **dims)
+    enriched = enrich_deals(flat.drop(*given), **dims)
     conformed, extra = conform_columns(enriched, schema)
     if not evolve:
         return conformed

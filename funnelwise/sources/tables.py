@@ -17,6 +17,8 @@ from ..operators.merge import latest_per_id
 from .scratch import delete, subfolders
 
 _NUMBER, _PARTS, _PART = "upto", "key_parts", "key_part"
+#: Folder of a table's added columns; readers of the table skip names that start so.
+_COLUMNS = "_columns"
 #: Rows of a snapshot that a partition holds, where the number of partitions is not given.
 PART_ROWS = 1_000_000
 
@@ -95,6 +97,26 @@ def apply_changes(
     _write(changed, f"{path}/{_NUMBER}={number}", key, parts_of(source.sparkSession, path), "overwrite")
 
 
+def table_schema(spark: SparkSession, path: str, declared: T.StructType, before: int | None = None) -> T.StructType:
+    """The declared columns and those that writes (before number `before`) have added, in the order of their coming."""
+    if not subfolders(spark, f"{path}/{_COLUMNS}"):
+        return declared
+    added = spark.read.parquet(f"{path}/{_COLUMNS}").orderBy("write", "place").collect()  # one row for each added column
+    known, fields = {f.name for f in declared.fields}, list(declared.fields)
+    for row in added:
+        if row["name"] not in known and (before is None or row["write"] < before):
+            known.add(row["name"])
+            fields.append(T.StructField(row["name"], T.StructType.fromDDL(f"x {row['type']}")[0].dataType))
+    return T.StructType(fields)
+
+
+def add_columns(spark: SparkSession, path: str, number: int, fields: list[T.StructField]) -> None:
+    """Record columns that write `number` adds to a table; rows of older files have NULL there. A replay records them again."""
+    rows = [(place, f.name, f.dataType.simpleString()) for place, f in enumerate(fields)]
+    table = spark.createDataFrame(rows, "place int, name string, type string")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_COLUMNS}/write={number}")
+
+
 def fold_changes(spark: SparkSession, path: str, upto: int, key: str = "id", schema: T.StructType | None = None, drop_below: int | None = None) -> None:
     """Gather the changes of all writes before `upto` in the folder of that write, and delete those of writes before `drop_below`.
 

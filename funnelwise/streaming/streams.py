@@ -23,7 +23,7 @@ from ..operators.validate import validate_deals
 from ..plans.sync import DIMENSIONS, newest_entity_rows, sync_into_table
 from ..sources.pages import page_records, parse_pages, with_landing_time
 from ..sources.scratch import delete, forget, keep, subfolders
-from ..sources.tables import apply_changes, fold_changes
+from ..sources.tables import apply_changes, fold_changes, table_schema
 
 #: Micro-batches after which the changes of a stored table are gathered in one folder.
 FOLD_EVERY = 64
@@ -51,18 +51,26 @@ def stream_sync(
     summaries: str | None = None,
     trigger: dict | None = None,
     fold_every: int = FOLD_EVERY,
+    evolve: bool = False,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Transform each micro-batch and merge it into the table at `path`; older updates never win.
 
     Micro-batch k is write k + 1 of the table, so a replay takes its own place. A batch reads the partitions of its own ids
     only, and every `fold_every` batches the changes so far are gathered in one folder. With `summaries`, each batch
-    leaves its counts, status and watermark there.
+    leaves its counts, status and watermark there, one that breaks off the error, until it succeeds. `evolve` and `rejects` are those of
+    sync_into_table.
     """
     def each(batch: DataFrame, number: int) -> None:
-        _fold(batch.sparkSession, path, number, fold_every, "id", schema)
-        summary = sync_into_table(path, number + 1, batch, dims, mapping, schema, history)
-        if summaries is not None:
-            summary.write.mode("overwrite").parquet(f"{summaries}/batch={number}")
+        spark = batch.sparkSession
+        _fold(spark, path, number, fold_every, "id", table_schema(spark, path, schema))
+
+        def report(summary: DataFrame) -> None:
+            if summaries is not None:
+                shaped = summary if "watermark" in summary.columns else summary.withColumn("watermark", F.lit(None).cast("timestamp"))
+                shaped.write.mode("overwrite").parquet(f"{summaries}/batch={number}")
+
+        report(sync_into_table(path, number + 1, batch, dims, mapping, schema, history, evolve=evolve, rejects=rejects, failed=report))
 
     return _start(stream, each, checkpoint, trigger)
 

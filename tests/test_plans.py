@@ -138,3 +138,43 @@ def test_streamed_increase_equals_batch_across_restarts_resets_and_late_samples(
     assert {(r.series, r.bucket): r.increase for r in streams.read_counter_increase(spark, out).collect()} == want
     state = spark.read.parquet(f"{out}/state")
     assert state.filter("batch = 4 AND series = 'a'").count() == 4, "the last hour from a whole bucket on, and the sample before"
+
+
+def test_a_sync_reads_raw_once_keeps_rejects_and_adds_columns(spark, tmp_path):
+    from checks.cases_pipelines import NARROW, held_deals
+    from funnelwise.sources import tables
+
+    path, bad, land = (str(tmp_path / n) for n in ("deals", "rejects", "land"))
+    tables.write_snapshot(held_deals(spark, SF_DIR).select([f.name for f in NARROW.fields]), path)
+    plain = '{"id": %d, "title": "t", "update_time": "2030-01-01 00:00:00"}'
+    custom = '{"id": %d, "title": "t", "update_time": "2030-01-02 00:00:00", "custom_fields": {"f2": {"value": 7}}}'
+    read = spark.sparkContext.accumulator(0)
+
+    def raw(*lines):
+        counted = spark.createDataFrame([(line,) for line in lines], "value string").rdd.map(lambda r: (read.add(1), r[0])[1])
+        return spark.createDataFrame(counted, "string").select(F.parse_json("value").alias("record"), F.lit(1).alias("seq"))
+
+    summary = sync.sync_into_table(path, 1, raw(plain % 900001, plain % 900002, '{"id": "x"}'), dims(spark, SF_DIR), MAPPING, NARROW, evolve=True, rejects=bad)
+    row = summary.first()
+    assert (row.fetched, row.validated, row.loaded, row.failed, row.status, str(row.watermark)) == (3, 2, 2, 1, "success", "2030-01-01 00:00:01")
+    assert read.value == 3, "each raw record was read once"
+    assert [(r.record, r.reasons) for r in spark.read.parquet(bad).collect()] == [('{"id":"x"}', ["id: not an integer"])]
+    assert tables.table_schema(spark, path, NARROW) == NARROW, "no value of a new column yet"
+    sync.sync_into_table(path, 2, raw(custom % 900002), dims(spark, SF_DIR), MAPPING, NARROW, evolve=True)
+    wide = tables.table_schema(spark, path, NARROW)
+    assert [f.name for f in wide.fields[len(NARROW.fields):]] == ["pontos"]
+    assert tables.table_schema(spark, path, NARROW, before=2) == NARROW
+    got = {r.id: r.pontos for r in tables.read_table(spark, path, schema=wide).filter("id like '90000_' or pontos is not null").collect()}
+    assert got == {"900001": None, "900002": "7"}
+    tables.fold_changes(spark, path, 2, schema=wide)
+    assert {r.id: r.pontos for r in tables.read_table(spark, path, schema=wide).filter("id like '90000_'").collect()} == got
+
+
+def test_a_broken_run_leaves_its_summary(spark, tmp_path):
+    reports = []
+    raw = spark.createDataFrame([('{"id": 1}',)], "value string").select(F.parse_json("value").alias("record"), F.lit(1).alias("seq"))
+    try:
+        sync.sync_into_table(str(tmp_path / "nowhere"), 1, raw, dims(spark, SF_DIR), MAPPING, SCHEMA, failed=lambda s: reports.append(s.first()))
+    except Exception:  # noqa: BLE001 - any error of the run
+        pass
+    assert [(r.fetched, r.loaded, r.failed, r.status) for r in reports] == [(1, 0, 1, "error")] and "Critical ETL failure" in reports[0].message
