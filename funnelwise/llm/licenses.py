@@ -189,28 +189,42 @@ def _ahead(at: np.ndarray, kind: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(steps)[:-1]
 
 
-def _reach(grams: np.ndarray, own: np.ndarray) -> tuple[int, float]:
-    """The prefix of some bigrams most similar to a template's: its length (the least on ties) and Dice."""
-    new = np.zeros(len(grams), bool)
-    new[np.unique(grams, return_index=True)[1]] = True
-    held = own[np.minimum(np.searchsorted(own, grams), len(own) - 1)] == grams
-    dice = 2 * np.cumsum(new & held) / (len(own) + np.cumsum(new))
+def _reach(new: np.ndarray, held: np.ndarray, size: int) -> tuple[int, float]:
+    """The prefix of some bigrams most similar to a template of `size` distinct ones: its length (the least on ties) and Dice.
+
+    `new` marks the first of equal bigrams, `held` those of the template.
+    """
+    dice = 2 * np.cumsum(new & held) / (size + np.cumsum(new))
     k = int(dice.argmax())
     return k + 1, float(dice[k])
 
 
+def _hopeless(dice: float, least: float, size: int) -> float:
+    """How far from a start, whose best part has a Dice below the least, no other start has a better part of the least.
+
+    `size` is the least sum of distinct bigrams of both sides. A part that starts d words away has at most d more shared bigrams and d
+    fewer of its own: 2 (shared + d) / (size - d) stays below the least up to here.
+    """
+    return (least - dice) * size / (2 + least) - 1e-9
+
+
 def parts(index: TemplateIndex, grams: np.ndarray, row: np.ndarray, edge: np.ndarray, at: np.ndarray, place: np.ndarray) -> list[tuple[float, int, int, float, str]]:
     """(excess, first word, end word, dice, template) of the parts of texts that are at least `least` similar to a template.
 
     `grams` is the bigram at each word and `edge` the words where rows begin; `at` and `place` are the words at known bigrams and which.
     A part of Dice t and n distinct bigrams shares t / (2 - t) of either side or more: where fewer of a template's bigrams lie
     within the longest such part there is none. From each other bigram a part grows forward and from its end
-    back to where it is most similar; parts of one template do not overlap. The excess is that of shared bigrams over the least.
+    back to where it is most similar; a start that fails rules out those near it. Parts of one template do not overlap. The excess is that of shared bigrams over the least.
     """
     which, template = index.held(place)
     order = np.argsort(template, kind="stable")
     cuts = np.searchsorted(template[order], np.arange(len(index.names) + 1))
     least, out = index.least, []
+    equal = np.argsort(grams, kind="stable")
+    same = grams[equal][1:] == grams[equal][:-1]
+    before, following = np.full(len(grams), -1), np.full(len(grams), len(grams))
+    before[equal[1:][same]], following[equal[:-1][same]] = equal[:-1][same], equal[1:][same]
+    held = np.zeros(len(grams), bool)
     for t, own in enumerate(index.bigrams):
         fewest = int(np.ceil(least * len(own) / (2 - least) - 1e-9))
         mine = which[order[cuts[t] : cuts[t + 1]]]
@@ -221,20 +235,34 @@ def parts(index: TemplateIndex, grams: np.ndarray, row: np.ndarray, edge: np.nda
         n = _ahead(p + of * (width + 1), place[mine], width)  # rows further apart than any part is long
         starts, ends = [], []
         start = np.flatnonzero(n >= max(fewest, 1))
-        for k in start[np.argsort(-n[start], kind="stable")]:
+        place_of, open_ = p[start], np.ones(len(start), bool)
+        held[p] = True
+        for j in np.argsort(-n[start], kind="stable"):
+            if not open_[j]:
+                continue
+            k = start[j]
             low, high = edge[of[k]], edge[of[k] + 1] - 1
             after = bisect_right(starts, p[k])
             if after and p[k] < ends[after - 1]:
                 continue
             low = max(low, ends[after - 1] if after else 0)
             high = min(high, starts[after] if after < len(starts) else high)
-            end = p[k] + _reach(grams[p[k] : min(high, p[k] + width)], own)[0]
-            back, dice = _reach(grams[max(low, end - width) : end][::-1], own)
+            first, last = p[k], min(high, p[k] + width)
+            ahead, dice = _reach(before[first:last] < first, held[first:last], len(own))
+            if dice < least:
+                far = int(_hopeless(dice, least, len(own) + max(fewest, 1)))
+                a, b = np.searchsorted(place_of, np.array([max(edge[of[k]], p[k] - far), min(edge[of[k] + 1], p[k] + far + 1)], place_of.dtype))
+                open_[a:b] = False
+                continue
+            end = p[k] + ahead
+            first = max(low, end - width)
+            back, dice = _reach((following[first:end] >= end)[::-1], held[first:end][::-1], len(own))
             if dice >= least:
                 s = int(end - back)
                 starts.insert(after, s)
                 ends.insert(after, int(end))
                 out.append(((dice - least) * (len(own) + len(np.unique(grams[s:end]))), s, int(end) + 1, dice, index.names[t]))
+        held[p] = False
     return out
 
 

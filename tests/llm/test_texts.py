@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from funnelwise.llm import text
+from funnelwise.llm import licenses, text
 from funnelwise.llm.language import KeyTable, fit_contexts, identify_language
 from funnelwise.llm.licenses import TEMPLATES, all_templates, scan_licenses
 from funnelwise.llm.quality import repetition_quality
@@ -224,3 +224,25 @@ def test_nothing_depends_on_the_seeded_order(spark):
     random.Random(5).shuffle(rows)
     a, b = (spark.createDataFrame(r, "doc_id long, text string, lang string, source string, n_chars long") for r in (edge_rows(), rows))
     assert values(repetition_quality(a)) == values(repetition_quality(b.repartition(5)))
+
+
+def test_parts_are_those_that_every_start_finds(monkeypatch):
+    """All templates; a failed start that rules out its neighbours leaves the parts that trying each of them finds."""
+    index = licenses.TemplateIndex.of(licenses.all_templates(), 0.75)
+    rnd, texts = random.Random(4), list(licenses.all_templates().values())
+    words = max(texts, key=len).split()
+    shreds = lambda n, k: " ".join(" ".join(words[i : i + k]) for i in rnd.choices(range(len(words) - k), k=n))
+    samples = [shreds(300, 8), shreds(40, 60), " filler words ".join(rnd.sample(texts, 12)), shreds(100, 8) + " " + rnd.choice(texts) + " " + shreds(100, 20)]
+    samples += [" ".join(w if rnd.random() < 0.93 else "other" for w in t.split()) for t in rnd.sample(texts, 12)]
+
+    def found(t):
+        (chunk,) = text.chunks(pa.array([t], pa.large_string()), 1 << 30, licenses._SEPARATORS)
+        at, grams = chunk.windows(chunk.word_hashes(lower=True), 2)
+        hit, place = index.find(grams)
+        by_word = np.zeros(len(chunk.spans[0]), np.uint64)
+        by_word[at] = grams
+        return licenses.parts(index, by_word, chunk.word_row, chunk.word_at, at[hit], place)
+
+    fast = [found(t) for t in samples]
+    monkeypatch.setattr(licenses, "_hopeless", lambda dice, least, size: 0.5)  # the start alone
+    assert fast == [found(t) for t in samples] and sum(map(len, fast)) > 12
