@@ -169,17 +169,19 @@ def api_metrics(calls: DataFrame, bucket: str = "5 minutes") -> DataFrame:
 
 
 def stream_api_metrics(
-    calls: DataFrame, path: str, checkpoint: str, bucket: str = "5 minutes", lateness: str = "1 hour", trigger: dict | None = None
+    calls: DataFrame, path: str, checkpoint: str, bucket: str = "5 minutes", lateness: str = "1 hour", trigger: dict | None = None, fold_every: int = FOLD_EVERY
 ) -> StreamingQuery:
     """Keep the time buckets of the call log that each micro-batch changes under `path`, open ones too.
 
-    Calls later than `lateness` are left out, and buckets older than that leave the state.
+    Every `fold_every` batches the last states of all buckets are gathered in one folder. Calls later than `lateness` are left out, and buckets older than that leave the state.
     """
     metrics = api_metrics(calls.withWatermark("ts", lateness), bucket)
     rows = metrics.select(F.col("window.start").alias("bucket"), "endpoint", "calls", "errors", "total_s")
 
     def each(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if number and number % fold_every == 0:
+            _fold_newest(batch.sparkSession, path, number, fold_every, ["bucket", "endpoint"])
 
     writer = rows.writeStream.outputMode("update").foreachBatch(each)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
@@ -192,7 +194,7 @@ def read_api_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_counter_increase(
-    samples: DataFrame, path: str, checkpoint: str, bucket: str = "5 minutes", lateness: str = "1 hour", trigger: dict | None = None
+    samples: DataFrame, path: str, checkpoint: str, bucket: str = "5 minutes", lateness: str = "1 hour", trigger: dict | None = None, fold_every: int = FOLD_EVERY
 ) -> StreamingQuery:
     """Keep the growth of counters per time bucket under `path`, as counter_increase has it over all samples.
 
@@ -219,26 +221,29 @@ def stream_counter_increase(
         aged.filter("ts >= horizon").unionByName(before).write.mode("overwrite").parquet(f"{path}/state/batch={number}")
         forget(known)
         delete(spark, f"{path}/state/batch={number - 2}")
-        if number and number % FOLD_EVERY == 0:
-            _fold_buckets(spark, f"{path}/buckets", number)
+        if number and number % fold_every == 0:
+            _fold_newest(spark, f"{path}/buckets", number, fold_every, ["series", "bucket"])
 
     return _start(samples, each, checkpoint, trigger)
 
 
-def _newest_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_per_id(spark.read.parquet(folder).withColumn("key", F.struct("series", "bucket")), "key", "batch", ["bucket"]).drop("key")
+def _newest(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    """The row of the last batch for each key, with `batch`."""
+    return latest_per_id(spark.read.parquet(folder).withColumn("key", F.struct(*keys)), "key", "batch", keys[:1]).drop("key")
 
 
-def _fold_buckets(spark: SparkSession, folder: str, number: int) -> None:
-    """Gather the buckets of all batches before the last one, which is final, there, and delete the folders an earlier fold has gathered."""
-    last, shape = f"{folder}/batch={number - 1}", ["series", "bucket", "increase", "rate"]
-    old = _newest_buckets(spark, folder).filter(F.col("batch") < number - 1).select(shape)
-    old.write.mode("append").parquet(last)
+def _fold_newest(spark: SparkSession, folder: str, number: int, every: int, keys: list[str]) -> None:
+    """Gather the newest rows of all batches before the last one, which is final, there, and delete the folders that an earlier fold has gathered.
+
+    What the last batch has itself stays; a repeated fold appends rows that are equal to those there.
+    """
+    old = _newest(spark, folder, keys).filter(F.col("batch") < number - 1).drop("batch")
+    old.write.mode("append").parquet(f"{folder}/batch={number - 1}")
     for name in subfolders(spark, folder):
-        if int(name.partition("=")[2]) < number - FOLD_EVERY:
+        if int(name.partition("=")[2]) < number - every:
             delete(spark, f"{folder}/{name}")
 
 
 def read_counter_increase(spark: SparkSession, path: str) -> DataFrame:
     """(series, bucket, increase, rate): the last state of each bucket."""
-    return _newest_buckets(spark, f"{path}/buckets").drop("batch")
+    return _newest(spark, f"{path}/buckets", ["series", "bucket"]).drop("batch")

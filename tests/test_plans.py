@@ -10,7 +10,7 @@ from funnelwise.operators import api_log, lookups, merge, quality, scan
 from funnelwise.operators.histograms import counter_increase
 from funnelwise.operators.history import stage_entries
 from funnelwise.plans import sync, transform
-from funnelwise.sources import pages
+from funnelwise.sources import pages, tables
 from funnelwise.streaming import streams
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -130,19 +130,19 @@ def test_streamed_increase_equals_batch_across_restarts_resets_and_late_samples(
         rows = spark.createDataFrame([(s, t, v) for s, t, v in batch], "series string, t string, value double")
         rows.select("series", F.col("t").cast("timestamp").alias("ts"), "value").coalesce(1).write.mode("append").parquet(land)
         stream = spark.readStream.schema(shape).parquet(land)
-        streams.stream_counter_increase(stream, out, marks, lateness="1 hour").awaitTermination()
+        streams.stream_counter_increase(stream, out, marks, lateness="1 hour", fold_every=2).awaitTermination()
     late = [("a", at(1)), ("b", at(1))]  # more than an hour before the newest sample of their series
     kept = [r for batch in batches for r in batch if r[:2] not in late]
     samples = spark.createDataFrame(kept, "series string, t string, value double").select("series", F.col("t").cast("timestamp").alias("ts"), "value")
     want = {(r.series, r.bucket): r.increase for r in counter_increase(samples).collect()}
     assert {(r.series, r.bucket): r.increase for r in streams.read_counter_increase(spark, out).collect()} == want
+    assert len(tables.subfolders(spark, f"{out}/buckets")) == 3, "folded batches are gone"
     state = spark.read.parquet(f"{out}/state")
     assert state.filter("batch = 4 AND series = 'a'").count() == 4, "the last hour from a whole bucket on, and the sample before"
 
 
 def test_a_sync_reads_raw_once_keeps_rejects_and_adds_columns(spark, tmp_path):
     from checks.cases_pipelines import NARROW, held_deals
-    from funnelwise.sources import tables
 
     path, bad, land = (str(tmp_path / n) for n in ("deals", "rejects", "land"))
     tables.write_snapshot(held_deals(spark, SF_DIR).select([f.name for f in NARROW.fields]), path)
