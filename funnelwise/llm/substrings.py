@@ -8,7 +8,7 @@ as both documents do. At its border the next window is looked up anew, so a wind
 
 Before the shuffle each task parses its own documents against each other and sends on only the
 windows that are not found there, so a passage held by many documents travels once from each block of a task.
-Windows are equal if their hash and their anchor's hash are, 128 bits in all. A part of the hash range that holds too many windows, those around
+Windows are equal if their hash and (half of) their anchor's hash are, 96 bits in all. A part of the hash range that holds too many windows, those around
 a phrase that very many documents have, is dealt anew by window and looked up in sorted order, which holds one window at a time.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import keep
-from .text import chunks
+from .text import chunks, mix
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 5
@@ -147,7 +147,8 @@ def _fragments(row, start, window, anchor, doc, tag, parts: int) -> Iterator[tup
     cut = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1) | (anchor[1:] != anchor[:-1])
     first = np.flatnonzero(np.concatenate([[True], cut]))
     count = np.diff(np.append(first, len(row)))
-    part = ((anchor[first] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    # least hashes are small ones, so they are mixed again before the range is cut
+    part = ((mix(anchor[first], 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     first, count, part = first[order], count[order], part[order]
     begin = np.concatenate([[0], np.cumsum(count)])
@@ -157,7 +158,7 @@ def _fragments(row, start, window, anchor, doc, tag, parts: int) -> Iterator[tup
         at = first[a:b]
         of = row[at]
         tags = _planes(tag[of]) if tag[of].any() else b""
-        yield (int(part[a]), _planes(doc[of]), tags, _planes(start[at].astype(np.uint32)), _planes(count[a:b].astype(np.uint32)), _planes(anchor[at]), window[begin[a] : begin[b]].tobytes(), None, None)
+        yield (int(part[a]), _planes(doc[of]), tags, _planes(start[at].astype(np.uint32)), _planes(count[a:b].astype(np.uint32)), _planes(anchor[at].astype(np.uint32)), window[begin[a] : begin[b]].tobytes(), None, None)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -233,7 +234,7 @@ def _factors_of(tagged: DataFrame, text: str, key: str, n: int, anchor: int) ->
     def windows(fragments: list[dict]) -> tuple[np.ndarray, ...]:
         """Document, tag, position, hash and anchor of the windows of fragments, in the order of document, tag and position."""
         read = lambda name, kind: np.concatenate([_values(f[name], kind) for f in fragments])
-        doc, count, anchors = read("docs", np.int64), read("counts", np.uint32).astype(np.int64), read("anchors", np.uint64)
+        doc, count, anchors = read("docs", np.int64), read("counts", np.uint32).astype(np.int64), read("anchors", np.uint32).astype(np.uint64)
         tag = np.concatenate([_values(f["tags"], np.int64) if f["tags"] else np.zeros(len(f["docs"]) // 8, np.int64) for f in fragments])
         start = read("starts", np.uint32).astype(np.int64)
         hashes = np.concatenate([np.frombuffer(f["hashes"], np.uint64) for f in fragments])
