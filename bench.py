@@ -21,6 +21,7 @@ HEADLINE = [
     "normalize_name", "normalize_endpoint", "flatten_custom_fields", "reconcile_ids", "field_mismatches", "data_quality_report",
     "token_cost_by_endpoint", "duration_histogram", "histogram_quantile", "exact_quantiles", "counter_increase",
     "batch_quality", "score_runs_balanced", "batch_size_advice", "page_chain_audit",
+    "sliding_increase", "stage_transitions", "reconcile_unique_ids", "field_mismatches_by_range",
 ]
 
 

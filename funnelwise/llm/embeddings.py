@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import keep
+from ..sources.scratch import forget, keep
 from .graph import components
 
 SEED = 20240611
@@ -55,6 +55,11 @@ def list_decode(units: np.ndarray, size: int, slack: float) -> list[np.ndarray]:
     return out
 
 
+def direction_kind(size: int) -> type:
+    """Type of the numbers of the size * size directions in lists."""
+    return np.int32 if size < 1 << 15 else np.int64
+
+
 def with_directions(classes: DataFrame, least: float, size: int) -> DataFrame:
     """(label, dim, direction, id, copies, vector, directions): a row for each direction of each vector."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,11 +75,12 @@ def with_directions(classes: DataFrame, least: float, size: int) -> DataFrame:
                 for i, found in zip(at, list_decode(own, size, slack_for(least, dim))):
                     rows.append(np.full(len(found), i))
                     directions.append(found)
-                    lists += [found.tobytes()] * len(found)
+                    lists += [found.astype(direction_kind(size)).tobytes()] * len(found)
             if not rows:
                 continue
             row = pa.array(np.concatenate(rows))
-            raw = pa.array([v.astype(np.float64).tobytes() for v in vectors], pa.binary())
+            # components that are single precision, as those of a float table are, travel as such
+            raw = pa.array([(short if ((short := v.astype(np.float32)) == v).all() else v).tobytes() for v in vectors], pa.binary())
             label, ids, copies = (batch.column(k).take(row) for k in range(3))
             columns = [label, pa.array(dims, pa.int32()).take(row), pa.array(np.concatenate(directions)), ids, copies, raw.take(row), pa.array(lists, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["label", "dim", "direction", "id", "copies", "vector", "directions"])
@@ -121,9 +127,9 @@ def cell_links(vectors: np.ndarray, sides: np.ndarray, lists: list[np.ndarray],
             return links, root
 
 
-def links_by_cell(members: DataFrame, least: float) -> DataFrame:
+def links_by_cell(members: DataFrame, least: float, size: int) -> DataFrame:
     """(id, links, other): what each cell found for its vectors; `other` is one that links reach, or the own id."""
-    bucket = ["label", "dim", "direction"]
+    bucket, kind = ["label", "dim", "direction"], direction_kind(size)
     sizes = members.groupBy(*bucket).agg(F.ceil(F.count("*") / CELL_ROWS).cast("long").alias("blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     rows = members.join(sizes, bucket).withColumn("block", block)
@@ -135,8 +141,8 @@ def links_by_cell(members: DataFrame, least: float) -> DataFrame:
         def solved(place: dict, rows: list[tuple]) -> pa.RecordBatch:
             ids, copies, vectors, lists, blocks = zip(*rows)
             ids, copies = np.array(ids), np.array(copies)
-            table = np.stack([np.frombuffer(v, np.float64) for v in vectors])
-            own = [np.frombuffer(x, np.int64) for x in lists]
+            table = np.stack([np.frombuffer(v, np.float32 if len(v) == 4 * place["dim"] else np.float64).astype(np.float64) for v in vectors])
+            own = [np.frombuffer(x, kind) for x in lists]
             links, root = cell_links(table, np.array(blocks), own, place["direction"], copies, least, place["low"] != place["high"])
             linked = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
             return pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(links[linked]), pa.array(ids[root[linked]])], names=["id", "links", "other"])
@@ -175,7 +181,9 @@ def near_embeddings(table: DataFrame, least: float = 0.98, key: str = "vec_id",
     valid = rows.filter(F.col("vector").isNotNull())
     classes = keep(valid.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
     size = int(max(16, (classes.count() / directions_each) ** 0.5))
-    found = keep(links_by_cell(keep(with_directions(classes, least, size)), least))
+    members = keep(with_directions(classes, least, size))
+    found = keep(links_by_cell(members, least, size))
+    forget(members)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
     reached = classes.join(links, "id", "left").join(roots, "id", "left")

@@ -66,8 +66,9 @@ def reconcile_unique_ids(source: DataFrame, target: DataFrame, ranges: int = RAN
     s, t = (side.select(F.col("id").cast("string").alias("id")) for side in (source, target))
     apart = differing_ranges(s, t, ["id"], ranges)
     found = reconcile_ids(_within(s, apart, ranges), _within(t, apart, ranges)).select("missing_ids", "extra_ids")
-    counts = s.agg(F.count("*").alias("source_ids")).join(t.agg(F.count("*").alias("target_ids"))).join(found)
-    return counts.select("source_ids", "target_ids", "missing_ids", "extra_ids", (F.col("source_ids") == F.col("target_ids")).alias("count_match"))
+    parts = s.agg(F.count("*").alias("source_ids")).unionByName(t.agg(F.count("*").alias("target_ids")), True).unionByName(found, True)
+    counts = parts.agg(*[F.max(c).alias(c) for c in ("source_ids", "target_ids", "missing_ids", "extra_ids")])
+    return counts.withColumn("count_match", F.col("source_ids") == F.col("target_ids"))
 
 
 def field_mismatches(source: DataFrame, target: DataFrame, fields=CRITICAL_FIELDS, n: int | None = None, ranges: int | None = None) -> DataFrame:
