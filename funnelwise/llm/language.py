@@ -23,6 +23,8 @@ from .text import _LOWER, Chunk, chunks
 SCALE = 1 << 12
 UNKNOWN = "und"
 _EMPTY = np.uint64(0xFFFF_FFFF_FFFF_FFFF)
+#: Slices of a language whose rows are ranked together, step by step; each number divides the one before.
+SLICES = (4096, 64, 8, 1)
 
 
 class KeyTable:
@@ -147,8 +149,13 @@ def language_samples(docs: DataFrame, text: str, lang: str, key: str, rows: int,
     content = F.xxhash64(F.col(text))
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     one = labelled.select(F.col(key).alias("__key"), F.col(lang).alias("__lang"), content.alias("__content"), F.octet_length(text).alias("__bytes")).distinct()
-    by_hash = Window.partitionBy("__lang").orderBy(F.xxhash64("__key"), "__key", "__content")
-    first = one.withColumn("__rank", F.row_number().over(by_hash)).filter(F.col("__rank") <= rows)
+    order = [F.xxhash64("__key"), "__key", "__content"]
+    # the first of fewer and fewer slices, so that no task ranks what all tasks send for a language
+    first, mixed = one, F.xxhash64("__content", "__key")
+    for slices in SLICES:
+        in_slice = Window.partitionBy("__lang", F.pmod(mixed, F.lit(slices))).orderBy(*order)
+        first = first.withColumn("__rank", F.row_number().over(in_slice)).filter(F.col("__rank") <= rows)
+    by_hash = Window.partitionBy("__lang").orderBy(*order)
     before = F.sum("__bytes").over(by_hash.rowsBetween(Window.unboundedPreceding, -1))
     picked = first.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < size).select("__key", "__lang", "__content", (F.lit(size) - F.col("__before")).cast("int").alias("__left"))
     same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(lang) == F.col("__lang")) & (content == F.col("__content"))

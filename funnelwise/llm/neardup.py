@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import forget, keep
 from .graph import components
+from .keysets import split_by_keys
 from .text import Chunk, by_row, chunks, group_by_row, mix
 
 COORDINATES = 128
 BAND = 4
 #: Rows of a group that are compared in one task; larger groups are cut into blocks.
 CELL_ROWS = 512
+#: Shingles of a group's texts that count as a row, so that a cell of long texts holds fewer of them.
+ROW_SHINGLES = 4096
 #: Blocks of a group of which all pairs are compared.
 GRID_BLOCKS = 16
 #: A sketch must be this many standard deviations below the threshold to exclude a link.
@@ -159,7 +162,7 @@ def set_links(payloads: list[bytes], percent: float, n: int) -> list[tuple[int,
 
 
 def links_in_groups(members: DataFrame, spanning: Callable[[list[bytes]], list[tuple[int, int]]]) -> DataFrame:
-    """(a, b): spanning links of each group of `members` (group, rows, id, payload), `rows` being the group's size.
+    """(a, b): spanning links of each group of `members` (group, rows, id, payload), `rows` being the group's size, or more where payloads are long.
 
     A group of at most CELL_ROWS rows is one cell. A larger one is cut into blocks by a hash of the id, and
     up to GRID_BLOCKS blocks every pair of blocks is a cell. In a group beyond that, every block first meets one
@@ -226,7 +229,7 @@ def near_duplicates(docs: DataFrame, percent: float = 80, text: str = "text", ke
     sketches = keep(sketch_table(docs, text, key, n, t, band))
     with_words = sketches.filter((F.col("n_shingles") > 0) & F.col(key).isNotNull())
     # equal sets have equal bands and sketches
-    classes = keep(with_words.groupBy("set_1", "set_2").agg(F.min(key).alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("payload")))
+    classes = keep(with_words.groupBy("set_1", "set_2").agg(F.min(key).alias("id"), F.max("n_shingles").alias("shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("payload")))
     bands = classes.select("id", F.explode("bands").alias("group"))
     signed = bands.groupBy("group").agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.pmod(F.xxhash64("id", "id"), F.lit(1 << 31))).alias("s"))
     # of buckets with the same members one is enough
@@ -238,14 +241,17 @@ def near_duplicates(docs: DataFrame, percent: float = 80, text: str = "text", ke
     likely = links_in_groups(rows, lambda payloads: sketch_links(payloads, probable))
     clusters = components(likely)
     forget(rows, likely)
-    sizes = clusters.groupBy("root").agg((F.count("*") + 1).alias("rows"))
-    members = clusters.union(sizes.select(F.col("root").alias("id"), "root")).join(sizes, "root").select("id", F.col("root").alias("group"), "rows")
-    # one plan at every size: what the text side costs then follows the input
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("payload")).join(members.hint("merge"), "id").dropDuplicates(["id", "payload"])
+    roots_too = clusters.union(clusters.select(F.col("root").alias("id"), "root").distinct())
+    of_cluster = roots_too.join(classes.select("id", "shingles"), "id")
+    sizes = of_cluster.groupBy("root").agg(F.greatest(F.count("*"), F.ceil(F.sum("shingles") / ROW_SHINGLES)).alias("rows"))
+    members = keep(roots_too.join(sizes, "root").select("id", F.col("root").alias("group"), "rows"))
+    # one plan at every size: what the text side costs then follows the members
+    probable, _ = split_by_keys(docs.select(F.col(key).alias("id"), F.col(text).alias("payload")), members, "id")
+    texts = probable.join(members.hint("merge"), "id").dropDuplicates(["id", "payload"])
     texts = keep(texts)
     confirmed = links_in_groups(texts, lambda payloads: set_links(payloads, percent, n))
     roots = components(confirmed)
-    forget(texts, confirmed)
+    forget(texts, confirmed, members)
     ids = classes.join(roots, "id", "left").select("set_1", "set_2", F.coalesce("root", "id").alias("component_id"))
     out = sketches.select(key, "n_shingles", "set_1", "set_2").join(ids, ["set_1", "set_2"], "left")
     own = F.when((F.col("n_shingles") == 0) | F.col(key).isNull(), F.col(key)).otherwise(F.coalesce("component_id", F.col(key)))

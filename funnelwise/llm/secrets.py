@@ -2,8 +2,8 @@
 
 Only DataFrame functions run on the executors. A posting says that a document's text, in lower case,
 holds a trigram; postings are made for the trigrams that the rules' queries name. Each rule's postings are
-intersected, the candidates joined to their texts, and the regexes run there. A rule without a
-mandatory trigram is run on every text.
+intersected, the candidates joined to their texts, and the regexes run there; a bitmap of the candidates' keys picks
+the texts to shuffle for that. A rule without a mandatory trigram is run on every text, where it lies.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import keep
+from .keysets import split_by_keys
+
 #: Between two fragments of a text that a regex does not fix.
 _GAP = None
 _MOST_PATHS = 64
@@ -242,15 +245,18 @@ def scan_secrets(docs: DataFrame, rules: list[SecretRule] = RULES, text: str = "
     """
     queries = [trigram_query(rule.pattern) for rule in rules]
     grams = sorted(set().union(*(g for q in queries for g in q or [])))
-    found = candidates(build_postings(docs, grams, text, key), queries, key).select(F.col(key).alias("__key"), F.col("rules").alias("__rules"))
-    rows = docs.drop("secrets").join(found, F.col(key).eqNullSafe(F.col("__key")), "left")
-    spans = []
-    for kind_no, (rule, query) in enumerate(zip(rules, queries)):
-        own = _spans(F.col(text), rule, kind_no)
-        if query is not None:
-            own = F.when(F.coalesce(F.col("__rules"), F.lit(0)).bitwiseAND(F.lit(1 << kind_no)) != 0, own).otherwise(F.array().cast(_NO_SPANS))
-        spans.append(own)
-    return rows.withColumn("secrets", F.array_sort(F.concat(*spans))).drop("__key", "__rules")
+    found = keep(candidates(build_postings(docs, grams, text, key), queries, key))
+    probable, rest = split_by_keys(docs.drop("secrets"), found, key)
+    own = found.select(F.col(key).alias("__key"), F.col("rules").alias("__rules"))
+    probable = probable.join(own, F.col(key).eqNullSafe(F.col("__key")), "left")
+    none = F.array().cast(_NO_SPANS)
+    by_rule = {kind_no: _spans(F.col(text), rule, kind_no) for kind_no, rule in enumerate(rules)}
+    on_all = [spans for kind_no, spans in by_rule.items() if queries[kind_no] is None]
+    is_candidate = lambda kind_no: F.coalesce("__rules", F.lit(0)).bitwiseAND(F.lit(1 << kind_no)) != 0
+    verified = [F.when(is_candidate(kind_no), spans).otherwise(none) for kind_no, spans in by_rule.items() if queries[kind_no] is not None]
+    in_order = lambda parts: F.array_sort(F.concat(*parts)) if parts else none
+    probable = probable.withColumn("secrets", in_order(on_all + verified)).drop("__key", "__rules")
+    return probable.unionByName(rest.withColumn("secrets", in_order(on_all)))
 
 
 def spans_text(spans: Column) -> Column:
