@@ -166,27 +166,17 @@ def language_samples(docs: DataFrame, text: str, lang: str, key: str, rows: int,
     return samples
 
 
-def identify_language(
-    docs: DataFrame,
-    learn_from: Column | None = None,
-    text: str = "text",
-    lang: str = "lang",
-    key: str = "doc_id",
-    order: int = 4,
-    sample_rows: int = 400,
-    sample_bytes: int = 2_000_000,
-) -> DataFrame:
-    """All columns of `docs` with lang_pred, score and bits_per_byte.
+def learn_languages(
+    docs: DataFrame, learn_from: Column | None = None, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = 4, sample_rows: int = 400, sample_bytes: int = 2_000_000
+) -> ContextModel:
+    """The model of a bounded sample of the rows with text and language for which `learn_from` holds, see language_samples."""
+    train = docs if learn_from is None else docs.filter(learn_from)
+    return fit_contexts(language_samples(train, text, lang, key, sample_rows, sample_bytes), order)
 
-    Learns from a bounded sample of the rows with text and language for which `learn_from` holds:
-    `sample_rows` texts of each language, fewer once they pass `sample_bytes`. lang_pred is the language of least code length (the first by
-    name on ties); score its probability against the others if all are as likely before; bits_per_byte
-    its code length. A null text, a text without a letter, and any text when nothing could be learned
-    give `und`, score 0 and null bits_per_byte. Each row is judged for itself, so repeated rows agree.
-    """
+
+def score_languages(docs: DataFrame, model: ContextModel, text: str = "text") -> DataFrame:
+    """All columns of `docs` with lang_pred, score and bits_per_byte under a model, see identify_language. One map pass."""
     ours = docs.drop("lang_pred", "score", "bits_per_byte")
-    train = ours if learn_from is None else ours.filter(learn_from)
-    model = fit_contexts(language_samples(train, text, lang, key, sample_rows, sample_bytes), order)
     if not model.languages:
         return ours.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "bits_per_byte": F.lit(None).cast("double")})
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -210,3 +200,39 @@ def identify_language(
     scored = F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).alias("__scored")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ours.schema.fields)
     return ours.select("*", scored).mapInArrow(run, f"{kinds}, lang_pred string, score double, bits_per_byte double")
+
+
+def language_limits(scored: DataFrame, text: str = "text", usual: float = 0.99, times: float = 1.5, high: float = 0.999) -> DataFrame:
+    """(lang_pred, limit_rate, limit_bits), one row for each language: how far code lengths of its texts go.
+
+    `scored` has texts that the model has not learned from, with lang_pred and bits_per_byte. limit_rate is `times` the quantile `usual` of
+    bits a byte; limit_bits is the quantile `high` of the bits in all above that rate, 0 at least: short texts with a long
+    name or number in them exceed it. Quantiles are approximate, from mergeable summaries.
+    """
+    quantile = lambda c, q: F.percentile_approx(c, F.lit(q), F.lit(10_000))
+    sized = scored.filter("bits_per_byte IS NOT NULL").select("lang_pred", "bits_per_byte", F.octet_length(text).alias("n"))
+    rates = sized.groupBy("lang_pred").agg((times * quantile("bits_per_byte", usual)).alias("limit_rate"))
+    above = (F.col("bits_per_byte") - F.col("limit_rate")) * F.col("n")
+    return sized.join(F.broadcast(rates), "lang_pred").groupBy("lang_pred").agg(F.first("limit_rate").alias("limit_rate"), F.greatest(quantile(above, high), F.lit(0.0)).alias("limit_bits"))
+
+
+def identify_language(
+    docs: DataFrame,
+    learn_from: Column | None = None,
+    text: str = "text",
+    lang: str = "lang",
+    key: str = "doc_id",
+    order: int = 4,
+    sample_rows: int = 400,
+    sample_bytes: int = 2_000_000,
+) -> DataFrame:
+    """All columns of `docs` with lang_pred, score and bits_per_byte.
+
+    Learns from a bounded sample of the rows with text and language for which `learn_from` holds:
+    `sample_rows` texts of each language, fewer once they pass `sample_bytes`. lang_pred is the language of least code length (the first by
+    name on ties); score its probability against the others if all are as likely before; bits_per_byte
+    its code length. A null text, a text without a letter, and any text when nothing could be learned
+    give `und`, score 0 and null bits_per_byte. Each row is judged for itself, so repeated rows agree.
+    """
+    ours = docs.drop("lang_pred", "score", "bits_per_byte")
+    return score_languages(ours, learn_languages(ours, learn_from, text, lang, key, order, sample_rows, sample_bytes), text)

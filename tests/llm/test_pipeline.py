@@ -1,5 +1,6 @@
 """The pipeline's stages: what they drop, change and return, on edges and on whole tables."""
 
+import random
 import re
 
 import pytest
@@ -121,3 +122,15 @@ def test_language_model_drops_foreign_text(spark):
     foreign = docs.limit(5).withColumns({"doc_id": F.col("doc_id") + 10**6, "text": F.lit("這是一段完全不同的文字，沒有任何一種已知的語言。" * 5), "lang": F.lit(None).cast("string")})
     left = stages["language_id"](spark, docs.union(foreign), SF_DIR)
     assert left.count() == 150 and left.filter("doc_id >= 1000000").count() == 0
+
+
+def test_language_model_drops_junk_and_keeps_short_texts_with_keys(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rnd = random.Random(4)
+    junk = ["".join(rnd.choices("qxzjkvwyp   ", k=900)) for _ in range(5)]
+    held = docs.filter("lang = 'en' AND length(text) > 300").select(F.substring("text", 1, 60).alias("text")).limit(5)
+    key = 'token = "9004e046e75240f42eecdbd3dffbc7f3d75db0ff" '
+    more = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(junk + [key + r.text for r in held.collect()])], "doc_id long, text string")
+    whole = docs.unionByName(more.withColumns({"lang": F.lit(None).cast("string"), "source": F.lit("new"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}))
+    left = {r.doc_id for r in stages["language_id"](spark, whole, SF_DIR).select("doc_id").collect()}
+    assert left == {r.doc_id for r in docs.filter(r"text RLIKE '\\p{L}'").select("doc_id").collect()} | {10**6 + i for i in range(5, 10)}

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from funnelwise.llm import licenses, text
+from funnelwise.llm import language, licenses, text
 from funnelwise.llm.language import KeyTable, fit_contexts, identify_language
 from funnelwise.llm.licenses import TEMPLATES, all_templates, scan_licenses
 from funnelwise.llm.quality import repetition_quality
@@ -246,3 +246,21 @@ def test_parts_are_those_that_every_start_finds(monkeypatch):
     fast = [found(t) for t in samples]
     monkeypatch.setattr(licenses, "_hopeless", lambda dice, least, size: 0.5)  # the start alone
     assert fast == [found(t) for t in samples] and sum(map(len, fast)) > 12
+
+
+def test_language_limits_are_quantiles_of_the_rates_and_of_what_is_above(spark):
+    rows = [("en", 2.0 + i / 1000, "x" * 100) for i in range(1000)] + [("en", 9.0, "x" * 50), ("fr", 3.0, "y"), ("und", None, "z")]
+    got = {r.lang_pred: r for r in language.language_limits(spark.createDataFrame(rows, "lang_pred string, bits_per_byte double, text string"), high=1.0).collect()}
+    assert got.keys() == {"en", "fr"} and got["fr"].limit_rate == 4.5 and got["fr"].limit_bits == 0
+    assert abs(got["en"].limit_rate - 1.5 * 2.99) < 0.01 and abs(got["en"].limit_bits - (9 - got["en"].limit_rate) * 50) < 1e-6
+    assert language.language_limits(spark.createDataFrame([], "lang_pred string, bits_per_byte double, text string")).count() == 0
+
+
+@pytest.mark.parametrize("slices", [(1,), (4, 2, 1), (4096, 64, 8, 1)])
+def test_language_samples_are_the_same_however_they_are_sliced(spark, monkeypatch, slices):
+    rows = [(i % 50 if i % 3 else None, f"{'abc'[i % 3]} text {i // 2}", "ef"[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    want = language.language_samples(docs, "text", "lang", "doc_id", 40, 10_000)
+    monkeypatch.setattr(language, "SLICES", slices)
+    assert language.language_samples(docs, "text", "lang", "doc_id", 40, 10_000) == want
+    assert all(len(texts) == 40 for texts in want.values())
