@@ -11,15 +11,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelwise.llm.language import identify_language
+from funnelwise.llm.language import language_limits, learn_languages, score_languages
 from funnelwise.llm.mixing import CONTENT, PLAN_COLUMNS, mix_sources, with_word_counts
 from funnelwise.llm.neardup import near_duplicates
 from funnelwise.llm.packing import pack_documents
 from funnelwise.llm.secrets import redact, scan_secrets
 from funnelwise.sources.scratch import forget, keep
 
-#: A text is of no known language if its code length is this much above FOREIGN_BITS a byte.
-FOREIGN_BITS, FOREIGN_EXCESS = 7.0, 64.0
+#: Of labelled texts one in HELD_OUT, by content, is not learned from but shows how far code lengths of a language go.
+HELD_OUT = 5
+#: A text is of no known language if its bits above the language's limit rate exceed this many times those of such texts, and those of a
+#: key or address of 64 bytes, which a short clean text may hold.
+EXCESS_TIMES, EXCESS_BITS = 2.0, 1024.0
+#: The limit rate, in bits a byte, of a language of which no text was held out.
+FOREIGN_BITS = 7.0
 NEAR_PERCENT = 80
 
 
@@ -34,10 +39,18 @@ def back(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text one of the labelled languages explains, or all if none is labelled; null texts and texts without a letter go."""
-    found = identify_language(aside(docs, "lang_pred", "score", "bits_per_byte"))
-    excess = (F.col("bits_per_byte") - FOREIGN_BITS) * F.octet_length("text")
-    return found.filter(F.col("text").rlike(r"\p{L}") & (F.coalesce(excess, F.lit(0.0)) <= FOREIGN_EXCESS)).transform(back, docs)
+    """Documents whose text one of the labelled languages explains, or all if none is labelled; null texts and texts without a letter go.
+
+    The limit comes from all labelled texts that were held out, for each language, with a margin that weighs less the longer a text is.
+    """
+    rows = aside(docs, "lang_pred", "score", "bits_per_byte", "limit_rate", "limit_bits")
+    held_out = F.coalesce(F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0, F.lit(False))
+    model = learn_languages(rows, ~held_out)
+    limits = keep(language_limits(score_languages(rows.filter(held_out & F.col("lang").isNotNull()).select("text"), model)))
+    found = score_languages(rows, model).join(F.broadcast(limits), "lang_pred", "left")  # one row for each language
+    excess = (F.col("bits_per_byte") - F.coalesce("limit_rate", F.lit(FOREIGN_BITS))) * F.octet_length("text")
+    most = EXCESS_TIMES * F.coalesce("limit_bits", F.lit(0.0)) + EXCESS_BITS
+    return found.filter(F.col("text").rlike(r"\p{L}") & F.coalesce(excess <= most, F.lit(True))).transform(back, docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
