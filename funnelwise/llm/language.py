@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,18 +169,17 @@ def language_samples(docs: DataFrame, text: str, lang: str, key: str, rows: int,
 
 def learn_languages(
     docs: DataFrame, learn_from: Column | None = None, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = 4, sample_rows: int = 400, sample_bytes: int = 2_000_000
-) -> ContextModel:
-    """The model of a bounded sample of the rows with text and language for which `learn_from` holds, see language_samples."""
+) -> Broadcast[ContextModel]:
+    """The model of a bounded sample of the rows with text and language for which `learn_from` holds, see language_samples. It is sent once for all uses."""
     train = docs if learn_from is None else docs.filter(learn_from)
-    return fit_contexts(language_samples(train, text, lang, key, sample_rows, sample_bytes), order)
+    return docs.sparkSession.sparkContext.broadcast(fit_contexts(language_samples(train, text, lang, key, sample_rows, sample_bytes), order))
 
 
-def score_languages(docs: DataFrame, model: ContextModel, text: str = "text") -> DataFrame:
-    """All columns of `docs` with lang_pred, score and bits_per_byte under a model, see identify_language. One map pass."""
+def score_languages(docs: DataFrame, shared: Broadcast[ContextModel], text: str = "text") -> DataFrame:
+    """All columns of `docs` with lang_pred, score and bits_per_byte under a learned model, see identify_language. One map pass."""
     ours = docs.drop("lang_pred", "score", "bits_per_byte")
-    if not model.languages:
+    if not shared.value.languages:
         return ours.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "bits_per_byte": F.lit(None).cast("double")})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ours.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
