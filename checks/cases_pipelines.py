@@ -217,7 +217,9 @@ _STREAMED = {**STEPS, "typed": f"{_TYPED} AND {_KEPT}"}
 
 
 def page_stream(spark, d):
-    return streams.stream_deals(spark, landed(spark, d, files=3), max_files=1)
+    """Three micro-batches, whatever the number of files."""
+    folder, files = landed(spark, d, files=3)
+    return streams.stream_deals(spark, folder, max_files=-(-files // 3))
 
 
 def _run(query):

@@ -10,7 +10,7 @@ from funnelwise.sources.scratch import keep
 from funnelwise.sources.scratch import new_folder as scratch_folder
 
 from .cases_fields import slug_sql
-from .inputs import load, load_records
+from .inputs import load, load_records, parts_for
 from .registry import check
 
 SINCE = "1999-06-01 00:00:00"
@@ -21,11 +21,15 @@ def at(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def landed(spark, d, files: int = 4) -> str:
-    """The page lines written out as landed files; returns their folder."""
-    folder = scratch_folder(spark)
-    load(spark, d, "page_json").select("value").repartition(files).write.text(folder)
-    return folder
+#: Page lines of a landed file.
+FILE_LINES = 50_000
+
+
+def landed(spark, d, files: int = 4) -> tuple[str, int]:
+    """The page lines written out as landed files, `files` of them or as many as the orders need; returns their folder and number."""
+    folder, number = scratch_folder(spark), parts_for(load(spark, d, "orders").count(), FILE_LINES, files)
+    load(spark, d, "page_json").select("value").repartition(number).write.text(folder)
+    return folder, number
 
 
 _DATA = "(value->>'$.success') = 'true' AND json_array_length(value, '$.data') > 0"
@@ -37,7 +41,7 @@ _DATA = "(value->>'$.success') = 'true' AND json_array_length(value, '$.data') >
     ("page_json",),
 )
 def read_pages(spark, d):
-    records = pages.read_pages(spark, landed(spark, d))
+    records = pages.read_pages(spark, landed(spark, d)[0])
     return records.select("entity", "page_no", "cursor", F.try_variant_get("record", "$.title", "string").alias("title"))
 
 

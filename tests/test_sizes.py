@@ -2,7 +2,9 @@
 
 import datetime as dt
 
-from checks import QUERIES
+from pyspark.sql import functions as F
+
+from checks import QUERIES, cases_tables, inputs
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 LINES = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
@@ -19,3 +21,25 @@ def test_every_change_is_merged(spark, tmp_path):
     spark.createDataFrame(lines, LINES).write.parquet(f"{tmp_path}/lineitem.parquet")
     merged = {r["id"]: r["titulo"] for r in QUERIES["merge_deals_small_source"](spark, str(tmp_path)).collect()}
     assert merged == {"1": "Order 1", "2": "Line 1", "3": "Line 1", "4": "Order 4", "9": "Line 1", "100": "Line 1"}
+
+
+def test_landed_files_and_their_shares_follow_the_orders(spark, tmp_path, monkeypatch):
+    write_orders(spark, tmp_path, range(1, 101))
+    spark.createDataFrame([(k, f"c{k}") for k in range(7)], "c_custkey bigint, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(cases_tables, "FILE_LINES", 10)
+    folder, files = cases_tables.landed(spark, str(tmp_path), files=3)
+    lines = spark.read.text(folder).groupBy(F.input_file_name()).count().collect()
+    assert files == 10 == len(lines) and max(r["count"] for r in lines) <= 20 and sum(r["count"] for r in lines) == 100
+    stats = QUERIES["stream_batch_stats"](spark, str(tmp_path)).first()
+    assert stats.fetched == sum(1 + (k % 2 == 0) for k in range(1, 101) if k % 23 and k % 19)
+
+
+def test_records_and_batches_are_dealt_out_by_the_size_of_the_table(spark, tmp_path, monkeypatch):
+    write_orders(spark, tmp_path, range(1, 201))
+    spark.createDataFrame([(k, f"c{k}") for k in range(7)], "c_custkey bigint, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    lines = [(k, 5, 1, n, 1.0, 10.0, 0.0, 0.0, "R", "O", dt.datetime(2005, 1, 1)) for k in range(100) for n in (1, 2)]
+    spark.createDataFrame(lines, LINES).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(inputs, "TASK_ROWS", 10)
+    assert inputs.load_records(spark, str(tmp_path), "deal_json").rdd.getNumPartitions() == 20
+    found = QUERIES["batch_quality"](spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 20 and found.count() == 200
