@@ -134,10 +134,7 @@ _FIELD_SQL = f"""SELECT key AS api_key, {slug_sql('name')} AS slug FROM field_me
 )
 def deal_plan(spark, d):
     """The declarations made from metadata, as rows."""
-    plan = metadata.deal_plan(load(spark, d, "field_meta"), load(spark, d, "stage_meta"))
-    rows = [("mapping", k, c) for k, c in plan.mapping.items()]
-    rows += [("column", f.name, "time" if f.name in plan.history else "text") for f in plan.schema.fields if f.name not in BASE_NAMES]
-    return spark.createDataFrame(rows, "part string, name string, kind string")
+    return metadata.deal_plan(load(spark, d, "field_meta"), load(spark, d, "stage_meta")).rows()
 
 
 @check(

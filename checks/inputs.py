@@ -256,7 +256,7 @@ TASK_ROWS = 250_000
 #: Input -> the table whose rows are dealt out before the input is built from them, and the keys by which (none: evenly).
 _DEALT = {
     "batches": ("lineitem", ["l_orderkey", "l_linenumber"]), "deal_json": ("orders", []), "user_json": ("supplier", []), "person_json": ("customer", []),
-    "org_json": ("part", []),
+    "org_json": ("part", []), "field_meta": ("part", []),
 }
 
 

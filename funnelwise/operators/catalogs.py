@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,14 +12,14 @@ from ..schema import BASE_NAMES, HISTORY_PREFIX, INVALID_SLUG, SYSTEM_FIELD_KEYS
 from .sizing import attach
 
 
-def custom_field_catalog(fields: DataFrame, base_columns=BASE_NAMES, keep_reserved: bool = False) -> DataFrame:
+def custom_field_catalog(fields: DataFrame, base_columns=BASE_NAMES, keep_reserved: bool = False, slug: Column | None = None) -> DataFrame:
     """Field metadata (key, name) -> (api_key, column, collides).
 
     `collides` marks columns claimed by more than one key. Names of base columns and of history
-    columns are dropped; `keep_reserved` keeps them, as flattening feeds base address columns.
+    columns are dropped; `keep_reserved` keeps them, as flattening feeds base address columns. `slug` is the name's where the metadata has it.
     """
     named = fields.filter((F.length("key") > 0) & (F.length("name") > 0) & ~F.col("key").isin(SYSTEM_FIELD_KEYS))
-    catalog = named.select(F.col("key").alias("api_key"), normalize_name(F.col("name")).alias("column"))
+    catalog = named.select(F.col("key").alias("api_key"), (normalize_name(F.col("name")) if slug is None else slug).alias("column"))
     catalog = catalog.filter(F.col("column") != INVALID_SLUG)
     if not keep_reserved:
         reserved = F.col("column").isin(list(base_columns)) | F.col("column").startswith(HISTORY_PREFIX)

@@ -5,6 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks import QUERIES, cases_tables, inputs
+from funnelwise.plans import metadata
+from funnelwise.schema import BASE_NAMES
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 LINES = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
@@ -43,3 +45,14 @@ def test_records_and_batches_are_dealt_out_by_the_size_of_the_table(spark, tmp_p
     assert inputs.load_records(spark, str(tmp_path), "deal_json").rdd.getNumPartitions() == 20
     found = QUERIES["batch_quality"](spark, str(tmp_path))
     assert found.rdd.getNumPartitions() == 20 and found.count() == 200
+
+
+def test_plan_rows_never_pass_through_the_driver(spark):
+    fields = spark.createDataFrame([("a", "Área"), ("b", "area"), ("b", "Zona"), ("c", "Título"), ("d", "***"), ("e", ""), ("value", "x"), (None, "n")], "key string, name string")
+    plan = metadata.deal_plan(fields, spark.createDataFrame([(1, "Novo"), (0, "x")], "id bigint, name string"))
+    rows = plan.rows()
+    assert not {"mapping", "schema", "history"} & set(vars(plan)) and "LocalTableScan" not in rows.filter("part = 'mapping'")._jdf.queryExecution().executedPlan().toString()
+    found = {tuple(r) for r in rows.collect()}
+    shown = {("mapping", k, c) for k, c in plan.mapping.items()}
+    shown |= {("column", f.name, "time" if f.name in plan.history else "text") for f in plan.schema.fields if f.name not in BASE_NAMES}
+    assert found == shown and plan.mapping == {"a": "area", "b": "zona", "c": "titulo"} and rows.count() == len(found)
