@@ -254,10 +254,7 @@ INPUTS: dict[str, str] = {
 #: Rows of a table that one task takes where an input deals them out.
 TASK_ROWS = 250_000
 #: Input -> the table whose rows are dealt out before the input is built from them, and the keys by which (none: evenly).
-_DEALT = {
-    "batches": ("lineitem", ["l_orderkey", "l_linenumber"]), "deal_json": ("orders", []), "user_json": ("supplier", []), "person_json": ("customer", []),
-    "org_json": ("part", []), "field_meta": ("part", []),
-}
+_DEALT = {"batches": ("lineitem", ["l_orderkey", "l_linenumber"]), "field_meta": ("part", [])}
 
 
 def parts_for(rows: int, each: int, least: int = 1) -> int:
@@ -273,18 +270,24 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     used = {n: load(spark, sf_dir, n) for n in [*TABLES, *INPUTS] if "{" + n + "}" in sql}
     if name in _DEALT:
         table, keys = _DEALT[name]
-        used[table] = _dealt(used[table], *keys)
+        used[table] = used[table].repartition(_parts(used[table]), *keys)
     return spark.sql(sql, **used)
 
 
-def _dealt(table: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share and no task more than TASK_ROWS, as a test table comes as few files or row groups."""
-    return table.repartition(parts_for(table.count(), TASK_ROWS, table.sparkSession.sparkContext.defaultParallelism), *keys)
+def _parts(table: DataFrame) -> int:
+    """Every core has a share and no task more than TASK_ROWS, as a test table comes as few files or row groups."""
+    return parts_for(table.count(), TASK_ROWS, table.sparkSession.sparkContext.defaultParallelism)
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a share, as a test table comes as fewer files than there are cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def load_records(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A JSON input with its `record` as VARIANT and its key as arrival order `seq`."""
-    return load(spark, sf_dir, name).select(F.parse_json("record").alias("record"), F.col("k").cast("bigint").alias("seq"))
+    lines = _spread(load(spark, sf_dir, name))
+    return lines.select(F.parse_json("record").alias("record"), F.col("k").cast("bigint").alias("seq"))
 
 
 def with_inputs(names: list[str], query: str, **more: str) -> str:
