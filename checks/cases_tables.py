@@ -10,7 +10,7 @@ from funnelwise.sources.scratch import keep
 from funnelwise.sources.scratch import new_folder as scratch_folder
 
 from .cases_fields import slug_sql
-from .inputs import load, load_records, parts_for
+from .inputs import compiled, load, load_records, parts_for
 from .registry import check
 
 SINCE = "1999-06-01 00:00:00"
@@ -28,7 +28,7 @@ FILE_LINES = 50_000
 def landed(spark, d, files: int = 4) -> tuple[str, int]:
     """The page lines written out as landed files, `files` of them or as many as the orders need; returns their folder and number."""
     folder, number = scratch_folder(spark), parts_for(load(spark, d, "orders").count(), FILE_LINES, files)
-    load(spark, d, "page_json").select("value").repartition(number).write.text(folder)
+    load(compiled(spark), d, "page_json").select("value").repartition(number).write.text(folder)
     return folder, number
 
 

@@ -254,7 +254,7 @@ INPUTS: dict[str, str] = {
 #: Rows of a table that one task takes where an input deals them out.
 TASK_ROWS = 250_000
 #: Input -> the table whose rows are dealt out before the input is built from them, and the keys by which (none: evenly).
-_DEALT = {"batches": ("lineitem", ["l_orderkey", "l_linenumber"]), "field_meta": ("part", [])}
+_DEALT = {"batches": ("lineitem", ["l_orderkey", "l_linenumber"]), "field_meta": ("part", []), "deal_json": ("orders", [K])}
 
 
 def parts_for(rows: int, each: int, least: int = 1) -> int:
@@ -284,9 +284,21 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+#: Bytes of a method that the JVM still compiles.
+_METHOD_BYTES = 8000
+
+
+def compiled(spark: SparkSession) -> SparkSession:
+    """The session, set to generate methods that the JVM compiles: the code that reads records is large, and one method runs many times slower."""
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > _METHOD_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", _METHOD_BYTES)
+    return spark
+
+
 def load_records(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A JSON input with its `record` as VARIANT and its key as arrival order `seq`."""
-    lines = _spread(load(spark, sf_dir, name))
+    lines = load(compiled(spark), sf_dir, name)
+    lines = lines if name in _DEALT else _spread(lines)
     return lines.select(F.parse_json("record").alias("record"), F.col("k").cast("bigint").alias("seq"))
 
 

@@ -80,3 +80,12 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     for record fields means navigating the record once more per use. A generator stops that.
     """
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def pin(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """compute_once for many columns: a projection makes them, so that they are compiled and share what they have in common.
+
+    What a generator itself makes is evaluated anew for each use, and not compiled once the code of its stage grows large.
+    """
+    made = df.withColumn("__made", F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return made.select(*[F.col(f"`{n}`") for n in df.columns], F.inline(F.array("__made")))

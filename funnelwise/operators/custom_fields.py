@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import compute_once, fields, text
+from ..functions.records import compute_once, fields, pin, text
 from ..schema import ADDRESS_KEYS, ADDRESS_SUFFIXES
 
 
@@ -52,9 +52,9 @@ def flatten_custom_fields(
     """
     if not mapping:
         return df
-    df = compute_once(df, {"__cf": fields(record, list(mapping), "variant", "custom_fields")})
+    rows = df.withColumn("__cf", fields(record, list(mapping), "variant", "custom_fields"))
     value = {key: F.col("__cf").getField(key) for key in mapping}
-    df = compute_once(df, {f"__cf_{i}": F.try_variant_get(value[key], "$", _OBJECT) for i, key in enumerate(mapping)})
+    rows = rows.withColumns({f"__cf_{i}": F.try_variant_get(value[key], "$", _OBJECT) for i, key in enumerate(mapping)})
     held = {key: F.col(f"__cf_{i}") for i, key in enumerate(mapping)}
     by_slug: dict[str, list[str]] = {}
     for key, slug in mapping.items():
@@ -66,7 +66,8 @@ def flatten_custom_fields(
             name = f"{slug}_{suffix}"
             if (address_columns is None or name in address_columns) and name not in by_slug:
                 flat[name] = _last([(_is_address(held[k]), _part(held[k], part)) for k in keys])
-    return df.withColumns({n: c for n, c in flat.items() if n not in df.columns}).drop("__cf", *[f"__cf_{i}" for i in range(len(mapping))])
+    added = {n: c for n, c in flat.items() if n not in df.columns}
+    return pin(rows, added).drop("__cf", *[f"__cf_{i}" for i in range(len(mapping))]) if added else df
 
 
 def flatten_address(df: DataFrame, value: str, name: str) -> DataFrame:

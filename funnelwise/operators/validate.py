@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import compute_once, fields, get, is_object, kind, text, whole_double, whole_text
+from ..functions.records import fields, get, is_object, kind, pin, text, whole_double, whole_text
 from ..functions.values import safe_timestamp
 
 WRAPPED_IDS = ["creator_user_id", "person_id"]
@@ -81,15 +81,15 @@ def _broken_values() -> Column:
 def judge_deals(raw: DataFrame, texts: list[str], record: str = "record") -> DataFrame:
     """Add `reasons`, and `__text` with the text of the fields judged and of `texts`: the record is read once."""
     found = {"__text": fields(record, list(dict.fromkeys([*_FIELDS, *texts])), "string"), "__value": fields(record, [*_FIELDS, "custom_fields"], "variant")}
-    seen = compute_once(raw, found)
+    seen = raw.withColumns(found)
     kinds = {f"__{n}_kind": F.coalesce(kind(F.col(f"__value.{n}")), F.lit("VOID")) for n in _FIELDS}
     inner = {f"__{n}_id": F.when(_text(n).startswith("{"), get(F.col(f"__value.{n}"), "id")) for n in WRAPPED_IDS}
-    seen = compute_once(seen, kinds | inner)
-    seen = compute_once(seen, {"__ids": _broken_ids(), "__values": _broken_values()})
+    seen = seen.withColumns(kinds | inner).withColumns({"__ids": _broken_ids(), "__values": _broken_values()})
     broken = F.concat_ws(_SEPARATOR, F.nullif("__ids", F.lit("")), F.nullif("__values", F.lit("")))
     none = F.array().cast("array<string>")
     reasons = F.when((F.col("__ids") == "") & (F.col("__values") == ""), none).otherwise(F.split(broken, _SEPARATOR))
-    return seen.withColumn("reasons", reasons).select(*raw.columns, "__text", "reasons")
+    judged = pin(seen.select(*raw.columns, "__text", reasons.alias("__reasons")), {"reasons": F.col("__reasons")})
+    return judged.drop("__reasons")
 
 
 def validate_deals(raw: DataFrame, record: str = "record") -> DataFrame:

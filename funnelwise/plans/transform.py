@@ -81,10 +81,25 @@ def transform_judged(
     the raw record is gone by then, so only finished columns are shuffled. `evolve` keeps flattened columns that
     the schema does not declare, behind the declared ones.
     """
-    declared = {f.name for f in schema.fields}
-    given = [c for c in judged.columns if c not in (record, "__text", "reasons")]
-    typed = _typed(valid(judged), record)
-    flat = flatten_custom_fields(typed, mapping, record, address_columns=declared).drop(record)
+    given = given_columns(judged, record)
+    flat = flatten_judged(valid(judged), mapping, schema, record).drop(record)
+    return transform_flat(flat, given, dims, schema, seq, evolve)
+
+
+def given_columns(judged: DataFrame, record: str = "record") -> list[str]:
+    """Columns of judged records that came with them, beside the record."""
+    return [c for c in judged.columns if c not in (record, "__text", "reasons")]
+
+
+def flatten_judged(judged: DataFrame, mapping: dict[str, str], schema: T.StructType, record: str = "record") -> DataFrame:
+    """Typed base columns and flattened custom fields of judged records, beside the columns given and the record."""
+    return flatten_custom_fields(_typed(judged, record), mapping, record, address_columns={f.name for f in schema.fields})
+
+
+def transform_flat(
+    flat: DataFrame, given: list[str], dims: dict[str, DataFrame], schema: T.StructType, seq: list[str] | None = None, evolve: bool = False
+) -> DataFrame:
+    """The newest of flattened records, enriched and conformed to `schema`; `given` columns go. See transform_judged."""
     if seq:
         flat = latest_per_id(flat, seq=seq)
     enriched = enrich_deals(flat.drop(*given), **dims)

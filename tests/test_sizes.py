@@ -5,8 +5,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks import QUERIES, cases_tables, inputs
-from funnelwise.plans import metadata
-from funnelwise.schema import BASE_NAMES
+from funnelwise.operators import validate
+from funnelwise.plans import metadata, transform
+from funnelwise.schema import BASE_NAMES, deal_schema
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 LINES = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
@@ -53,3 +54,31 @@ def test_plan_rows_never_pass_through_the_driver(spark):
     shown = {("mapping", k, c) for k, c in plan.mapping.items()}
     shown |= {("column", f.name, "time" if f.name in plan.history else "text") for f in plan.schema.fields if f.name not in BASE_NAMES}
     assert found == shown and plan.mapping == {"a": "area", "b": "zona", "c": "titulo"} and rows.count() == len(found)
+
+
+def write_deals(spark, folder, orders):
+    write_orders(spark, folder, range(1, orders + 1))
+    spark.createDataFrame([(k, f"c{k}") for k in range(7)], "c_custkey bigint, c_name string").write.parquet(f"{folder}/customer.parquet")
+
+
+def test_orders_are_dealt_out_before_their_records_are_built(spark, tmp_path, monkeypatch):
+    write_deals(spark, tmp_path, 100)
+    monkeypatch.setattr(inputs, "TASK_ROWS", 10)
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", 65535)
+    try:
+        records = inputs.load_records(spark, str(tmp_path), "deal_json")
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", 8000)
+    assert records.rdd.getNumPartitions() == 10 and records.count() == 100 == records.select("seq").distinct().count()
+    shuffled = records._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1:]
+    assert len(shuffled) == 1 and "parse_json" not in shuffled[0] and "concat" not in shuffled[0]
+
+
+def test_records_are_judged_and_flattened_in_projections(spark):
+    raw = spark.createDataFrame([('{"id": 1, "custom_fields": {"a": {"value": 2}}}',)], "value string").select(F.parse_json("value").alias("record"), F.lit(1).alias("seq"))
+    flat = transform.flatten_judged(validate.valid(transform.judge_records(raw)), {"a": "one"}, deal_schema(["one"]))
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    made = [line.split("Generate ")[1] for line in plan.splitlines() if "Generate " in line]
+    assert len(made) == 2 and all(m.startswith("inline(array(__made#") for m in made)
+    assert [(r.id, r.one) for r in flat.collect()] == [("1", "2")]
