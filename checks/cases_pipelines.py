@@ -6,6 +6,7 @@ from funnelwise.operators import catalogs, merge
 from funnelwise.plans import backfill, metadata, sync, transform
 from funnelwise.schema import BASE_COLUMNS, BASE_NAMES, SYSTEM_FIELD_KEYS, deal_schema
 from funnelwise.sources import tables
+from funnelwise.sources.scratch import forget, keep
 from funnelwise.sources.scratch import new_folder as scratch_folder
 from funnelwise.streaming import streams
 
@@ -51,6 +52,14 @@ def held_deals(spark, d):
     return catalogs.conform_columns(newest, SCHEMA)[0]
 
 
+def stored_deals(spark, d, schema=SCHEMA) -> str:
+    """Folder of the held deals as a stored table; they are made once, although a snapshot counts its rows first."""
+    folder, held = scratch_folder(spark), keep(held_deals(spark, d).select([f.name for f in schema.fields]))
+    tables.write_snapshot(held, folder)
+    forget(held)
+    return folder
+
+
 HELD_SQL = "SELECT " + ", ".join(
     ("CAST(value AS DOUBLE) AS value" if c == "value" else c) if c in _HELD else f"CAST(NULL AS {SQL_TYPES.get(c, 'VARCHAR')}) AS {c}" for c in COLUMNS
 ) + " FROM latest"
@@ -150,8 +159,7 @@ def sync_deals_summary(spark, d):
 @check("SELECT * FROM synced", (*INPUTS, "changes"), **SYNC, synced=synced_sql())
 def sync_deals_stored(spark, d):
     """The same sync into a stored table, appending the merged rows of the batch's ids only."""
-    folder = scratch_folder(spark)
-    tables.write_snapshot(held_deals(spark, d), folder)
+    folder = stored_deals(spark, d)
     sync.sync_into_table(folder, 1, load_records(spark, d, "deal_json"), dims(spark, d), MAPPING, SCHEMA)
     return tables.read_table(spark, folder, schema=SCHEMA)
 
@@ -235,8 +243,7 @@ def stream_deals(spark, d):
 
 @check("SELECT * FROM synced", (*INPUTS, "changes"), **{**_STREAMED, "latest": LATEST_SQL, "held": HELD_SQL}, synced=synced_sql())
 def stream_sync(spark, d):
-    folder = scratch_folder(spark)
-    tables.write_snapshot(held_deals(spark, d), folder)
+    folder = stored_deals(spark, d)
     _run(streams.stream_sync(page_stream(spark, d), folder, dims(spark, d), MAPPING, SCHEMA, scratch_folder(spark)))
     return tables.read_table(spark, folder, schema=SCHEMA)
 
@@ -247,8 +254,7 @@ NARROW = deal_schema(["origem"])
 @check("SELECT * FROM synced", (*INPUTS, "changes"), **{**_STREAMED, "latest": LATEST_SQL, "held": HELD_SQL}, synced=synced_sql())
 def stream_sync_evolving(spark, d):
     """The same into a table that lacks two custom columns, which the batches add."""
-    folder = scratch_folder(spark)
-    tables.write_snapshot(held_deals(spark, d).select([f.name for f in NARROW.fields]), folder)
+    folder = stored_deals(spark, d, NARROW)
     _run(streams.stream_sync(page_stream(spark, d), folder, dims(spark, d), MAPPING, NARROW, scratch_folder(spark), fold_every=2, evolve=True))
     return tables.read_table(spark, folder, schema=tables.table_schema(spark, folder, NARROW))
 

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from checks import QUERIES, cases_tables, inputs
 from funnelwise.operators import validate
-from funnelwise.plans import metadata, transform
+from funnelwise.plans import metadata, sync, transform
 from funnelwise.schema import BASE_NAMES, deal_schema
+from funnelwise.sources import tables
+from funnelwise.sources.scratch import keep
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 LINES = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
@@ -82,3 +84,24 @@ def test_records_are_judged_and_flattened_in_projections(spark):
     made = [line.split("Generate ")[1] for line in plan.splitlines() if "Generate " in line]
     assert len(made) == 2 and all(m.startswith("inline(array(__made#") for m in made)
     assert [(r.id, r.one) for r in flat.collect()] == [("1", "2")]
+
+
+def test_a_sync_writes_no_record_that_it_loads(spark, tmp_path, monkeypatch):
+    kept, path, bad = [], str(tmp_path / "deals"), str(tmp_path / "rejects")
+    schema = deal_schema(["one"])
+    tables.write_snapshot(spark.createDataFrame([("7", *[None] * (len(schema) - 1))], schema), path, parts=1)
+    monkeypatch.setattr(sync, "keep", lambda df: kept.append(keep(df)) or kept[-1])
+    monkeypatch.setattr(sync, "forget", lambda *_: None)
+    lines = ['{"id": 1, "update_time": "2024-01-01 00:00:00", "custom_fields": {"a": {"value": 2}}}', '{"id": "x", "update_time": "2025-01-01 00:00:00"}']
+    raw = spark.createDataFrame([(x,) for x in lines], "value string").select(F.parse_json("value").alias("record"), F.lit(1).alias("seq"))
+    empty = {
+        "users": "user_id bigint, user_name string", "persons": "person_id bigint, person_name string", "orgs": "org_id bigint, org_name string",
+        "stages": "stage_id bigint, stage_name string, normalized_name string", "pipelines": "pipeline_id bigint, pipeline_name string",
+    }
+    none = {n: spark.createDataFrame([], s) for n, s in empty.items()}
+    row = sync.sync_into_table(path, 1, raw, none, {"a": "one"}, schema, rejects=bad).first()
+    assert (row.fetched, row.loaded, row.failed, str(row.watermark)) == (2, 1, 1, "2025-01-01 00:00:01")
+    assert not any("variant" in f.dataType.simpleString() for df in kept for f in df.schema.fields)
+    assert [r["__rejected"] for r in kept[0].orderBy("id").collect()].count(None) == 1
+    assert [(r.record, r.reasons) for r in spark.read.parquet(bad).collect()] == [('{"id":"x","update_time":"2025-01-01 00:00:00"}', ["id: not an integer"])]
+    assert [(r.id, r.one) for r in tables.read_table(spark, path, schema=schema).orderBy("id").collect()] == [("1", "2"), ("7", None)]
