@@ -105,3 +105,26 @@ def test_a_sync_writes_no_record_that_it_loads(spark, tmp_path, monkeypatch):
     assert [r["__rejected"] for r in kept[0].orderBy("id").collect()].count(None) == 1
     assert [(r.record, r.reasons) for r in spark.read.parquet(bad).collect()] == [('{"id":"x","update_time":"2025-01-01 00:00:00"}', ["id: not an integer"])]
     assert [(r.id, r.one) for r in tables.read_table(spark, path, schema=schema).orderBy("id").collect()] == [("1", "2"), ("7", None)]
+
+
+def test_records_are_read_as_texts(spark):
+    lines = [
+        '{"id": 1, "title": "a", "owner_id": {"id": 4}, "creator_user_id": {"id": "x"}, "custom_fields": {"a": {"value": 2}, "b": {"value": "v", "country": null, "route": "r"}, "c": [1, 2]}}',
+        '{"id": "2.0", "title": 7, "value": true, "stage_id": "true", "pipeline_id": true, "custom_fields": {"a": "s", "b": {"value": null}, "c": null}}',
+        '{"id": 1E3, "person_id": {"id": "true"}, "value": "1e999", "add_time": false, "update_time": 10, "custom_fields": [1]}',
+        '{"id": "1E3", "currency": "12345678901", "value": {"id": 1}, "person_id": "{", "creator_user_id": {"id": null}, "custom_fields": null}',
+        '{"custom_fields": {"a": {}, "b": 5, "c": {"value": {"x": 1}}}}', '[1]', 'null',
+    ]
+    raw = spark.createDataFrame(list(enumerate(lines)), "k int, value string").select("k", F.parse_json("value").alias("record"))
+    judged = transform.judge_records(raw)
+    flat = transform.flatten_judged(judged, {"a": "one", "b": "local_do_acidente", "c": "one"}, deal_schema(["one"]))
+    read = flat._jdf.queryExecution().optimizedPlan().toString().split("StructField(")
+    assert not any("VariantType" in f.split(")")[0] for f in read if not f.startswith("_,"))
+    assert [r.reasons for r in judged.orderBy("k").collect()] == [
+        ["creator_user_id: not an integer"], ["stage_id: not an integer", "title: not a text"],
+        ["person_id: not an integer", "value: not a number", "add_time: not a time", "custom_fields: not an object"],
+        ["id: not an integer", "person_id: not an integer", "currency: too long", "value: not a number", "custom_fields: not an object"],
+        ["id: missing"], ["id: missing"], ["id: missing"],
+    ]
+    found = [(r.one, r.local_do_acidente, r.local_do_acidente_nome_da_rua, r.owner_id) for r in flat.orderBy("k").collect()]
+    assert found == [("[1,2]", "v", "r", 4), ("s", None, None, None), *[(None,) * 4] * 2, ('{"x":1}', "5", None, None), *[(None,) * 4] * 2]
