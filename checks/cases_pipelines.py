@@ -6,7 +6,7 @@ from funnelwise.operators import catalogs, merge
 from funnelwise.plans import backfill, metadata, sync, transform
 from funnelwise.schema import BASE_COLUMNS, BASE_NAMES, SYSTEM_FIELD_KEYS, deal_schema
 from funnelwise.sources import tables
-from funnelwise.sources.scratch import forget, keep
+from funnelwise.sources.scratch import delete, forget, keep
 from funnelwise.sources.scratch import new_folder as scratch_folder
 from funnelwise.streaming import streams
 
@@ -221,30 +221,36 @@ _KEPT = "k % 23 <> 0 AND k % 19 <> 0"
 _STREAMED = {**STEPS, "typed": f"{_TYPED} AND {_KEPT}"}
 
 
-def page_stream(spark, d):
-    """Three micro-batches, whatever the number of files."""
-    folder, files = landed(spark, d, files=3)
-    return streams.stream_deals(spark, folder, max_files=-(-files // 3))
-
-
 def _run(query):
     query.awaitTermination()
 
 
+def _run_pages(spark, d, start):
+    """Start a stream of landed pages and wait for its end: three micro-batches, whatever the number of files, each with a file for every core.
+
+    What it leaves holds no page, so the files go as it ends.
+    """
+    folder, files = landed(spark, d, files=3 * spark.sparkContext.defaultParallelism)
+    try:
+        _run(start(streams.stream_deals(spark, folder, max_files=-(-files // 3))))
+    finally:
+        delete(spark, folder)
+
+
 @check(
     f"SELECT record->>'$.title' AS title, CAST(sum(CASE WHEN k % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n FROM deal_json WHERE {_KEPT} GROUP BY record->>'$.title'", ("deal_json",),
 )
 def stream_deals(spark, d):
     out, marks = scratch_folder(spark), scratch_folder(spark)
-    titles = page_stream(spark, d).select(F.try_variant_get("record", "$.title", "string").alias("title"))
-    _run(titles.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start())
+    title = F.try_variant_get("record", "$.title", "string").alias("title")
+    _run_pages(spark, d, lambda s: s.select(title).writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start())
     return spark.read.parquet(out).groupBy("title").agg(F.count("*").alias("n"))
 
 
 @check("SELECT * FROM synced", (*INPUTS, "changes"), **{**_STREAMED, "latest": LATEST_SQL, "held": HELD_SQL}, synced=synced_sql())
 def stream_sync(spark, d):
     folder = stored_deals(spark, d)
-    _run(streams.stream_sync(page_stream(spark, d), folder, dims(spark, d), MAPPING, SCHEMA, scratch_folder(spark)))
+    _run_pages(spark, d, lambda s: streams.stream_sync(s, folder, dims(spark, d), MAPPING, SCHEMA, scratch_folder(spark)))
     return tables.read_table(spark, folder, schema=SCHEMA)
 
 
@@ -255,14 +261,14 @@ NARROW = deal_schema(["origem"])
 def stream_sync_evolving(spark, d):
     """The same into a table that lacks two custom columns, which the batches add."""
     folder = stored_deals(spark, d, NARROW)
-    _run(streams.stream_sync(page_stream(spark, d), folder, dims(spark, d), MAPPING, NARROW, scratch_folder(spark), fold_every=2, evolve=True))
+    _run_pages(spark, d, lambda s: streams.stream_sync(s, folder, dims(spark, d), MAPPING, NARROW, scratch_folder(spark), fold_every=2, evolve=True))
     return tables.read_table(spark, folder, schema=tables.table_schema(spark, folder, NARROW))
 
 
 @check(f"SELECT max(CAST(record->>'$.update_time' AS TIMESTAMP)) + INTERVAL 1 SECOND AS watermark FROM deal_json WHERE {_KEPT}", ("deal_json",))
 def stream_watermark(spark, d):
     out = scratch_folder(spark)
-    _run(streams.stream_watermark(page_stream(spark, d), out, scratch_folder(spark)))
+    _run_pages(spark, d, lambda s: streams.stream_watermark(s, out, scratch_folder(spark)))
     return streams.read_watermark(spark, out)
 
 
@@ -293,7 +299,7 @@ def stream_dim_sync(spark, d):
 )
 def stream_batch_stats(spark, d):
     out = scratch_folder(spark)
-    _run(streams.stream_batch_stats(page_stream(spark, d), out, scratch_folder(spark)))
+    _run_pages(spark, d, lambda s: streams.stream_batch_stats(s, out, scratch_folder(spark)))
     return spark.read.parquet(out).agg(*[F.sum(c).alias(c) for c in ("fetched", "valid", "failed")])
 
 

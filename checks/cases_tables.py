@@ -6,7 +6,7 @@ from funnelwise.operators import dimensions, lookups, merge, quality, scan
 from funnelwise.sources import pages
 from funnelwise.sources.export import export_run_metrics_csv
 from funnelwise.sources import tables
-from funnelwise.sources.scratch import keep
+from funnelwise.sources.scratch import keep, shuffles_dropped
 from funnelwise.sources.scratch import new_folder as scratch_folder
 
 from .cases_fields import slug_sql
@@ -26,10 +26,15 @@ FILE_LINES = 50_000
 
 
 def landed(spark, d, files: int = 4) -> tuple[str, int]:
-    """The page lines written out as landed files, `files` of them or as many as the orders need; returns their folder and number."""
+    """The page lines written out as landed files, about `files` of them or as many as the orders need; returns their folder and number.
+
+    The orders are dealt out by key before their lines are built, so no line is shuffled. Files are compressed, and one is read as a whole.
+    """
     folder, number = scratch_folder(spark), parts_for(load(spark, d, "orders").count(), FILE_LINES, files)
-    load(compiled(spark), d, "page_json").select("value").repartition(number).write.text(folder)
-    return folder, number
+    lines = load(compiled(spark), d, "page_json", number).select("value")
+    with shuffles_dropped(spark):
+        lines.write.option("compression", "gzip").option("maxRecordsPerFile", 2 * FILE_LINES).text(folder)
+    return folder, len(spark.read.text(folder).inputFiles())
 
 
 _DATA = "(value->>'$.success') = 'true' AND json_array_length(value, '$.data') > 0"
@@ -41,7 +46,7 @@ _DATA = "(value->>'$.success') = 'true' AND json_array_length(value, '$.data') >
     ("page_json",),
 )
 def read_pages(spark, d):
-    records = pages.read_pages(spark, landed(spark, d)[0])
+    records = pages.read_pages(spark, landed(spark, d, spark.sparkContext.defaultParallelism)[0])
     return records.select("entity", "page_no", "cursor", F.try_variant_get("record", "$.title", "string").alias("title"))
 
 

@@ -89,6 +89,8 @@ _RECORD = _obj(
     custom_fields=_CUSTOM,
 )
 
+_DEAL_COLUMNS, _DEAL_ROWS = f"SELECT {K} AS k, {_RECORD} AS record", "{orders} JOIN {customer} ON o_custkey = c_custkey"
+
 _EVENT_K = "CAST(replace(replace(props, '{{\"k\": ', ''), '}}', '') AS INT)"
 _DAY_SEQ = "((EXTRACT(YEAR FROM o_orderdate) * 12 + EXTRACT(MONTH FROM o_orderdate)) * 31 + EXTRACT(DAY FROM o_orderdate))"
 _PRIORITY = "CAST(substr(o_orderpriority, 1, 1) AS INT)"
@@ -122,7 +124,7 @@ INPUTS: dict[str, str] = {
             l_partkey % 27 AS stage_id,
             l_partkey AS part, l_suppkey AS supplier, CAST(l_linenumber AS INT) AS line
         FROM {lineitem}""",
-    "deal_json": f"SELECT {K} AS k, {_RECORD} AS record FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey",
+    "deal_json": f"{_DEAL_COLUMNS} FROM {_DEAL_ROWS}",
     "page_json": f"""
         SELECT {K} AS k, {_obj(
             entity=_str(f"concat('e', {_text('o_custkey')})"),
@@ -255,6 +257,8 @@ INPUTS: dict[str, str] = {
 TASK_ROWS = 250_000
 #: Input -> the table whose rows are dealt out before the input is built from them, and the keys by which (none: evenly).
 _DEALT = {"batches": ("lineitem", ["l_orderkey", "l_linenumber"]), "field_meta": ("part", []), "deal_json": ("orders", [K])}
+#: Input -> its columns and the joined rows it is made of, where the joined rows are dealt out: a later join by the key then shuffles no text.
+_JOINED = {"deal_json": (_DEAL_COLUMNS, _DEAL_ROWS)}
 
 
 def parts_for(rows: int, each: int, least: int = 1) -> int:
@@ -262,15 +266,20 @@ def parts_for(rows: int, each: int, least: int = 1) -> int:
     return max(least, -(-rows // each))
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table or a derived input."""
+def load(spark: SparkSession, sf_dir: str, name: str, parts: int | None = None) -> DataFrame:
+    """A test table or a derived input, made in `parts` parts where rows are dealt out; without it their number follows the rows."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = INPUTS[name]
-    used = {n: load(spark, sf_dir, n) for n in [*TABLES, *INPUTS] if "{" + n + "}" in sql}
-    if name in _DEALT:
-        table, keys = _DEALT[name]
-        used[table] = used[table].repartition(_parts(used[table]), *keys)
+    used = {n: load(spark, sf_dir, n, parts) for n in [*TABLES, *INPUTS] if "{" + n + "}" in sql}
+    if name not in _DEALT:
+        return spark.sql(sql, **used)
+    table, keys = _DEALT[name]
+    parts = parts or _parts(used[table])
+    if name in _JOINED:
+        columns, rows = _JOINED[name]
+        return spark.sql(f"{columns} FROM {{dealt}}", dealt=spark.sql(f"SELECT * FROM {rows}", **used).repartition(parts, *keys))
+    used[table] = used[table].repartition(parts, *keys)
     return spark.sql(sql, **used)
 
 

@@ -1,10 +1,11 @@
 """Whole inputs, and work that is dealt out by the size of the input; tables are made here."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
-from checks import QUERIES, cases_tables, inputs
+from checks import QUERIES, cases_pipelines, cases_tables, inputs
 from funnelwise.operators import validate
 from funnelwise.plans import metadata, sync, transform
 from funnelwise.schema import BASE_NAMES, deal_schema
@@ -128,3 +129,28 @@ def test_records_are_read_as_texts(spark):
     ]
     found = [(r.one, r.local_do_acidente, r.local_do_acidente_nome_da_rua, r.owner_id) for r in flat.orderBy("k").collect()]
     assert found == [("[1,2]", "v", "r", 4), ("s", None, None, None), *[(None,) * 4] * 2, ('{"x":1}', "5", None, None), *[(None,) * 4] * 2]
+
+
+def test_landed_pages_are_compressed_and_no_line_is_shuffled(spark, tmp_path):
+    write_deals(spark, tmp_path, 100)
+    folder, files = cases_tables.landed(spark, str(tmp_path), files=3)
+    names = spark.read.text(folder).inputFiles()
+    assert files == len(names) == 3 and all(n.endswith(".gz") for n in names)
+    lines = inputs.load(spark, str(tmp_path), "page_json")
+    assert sorted(r.value for r in spark.read.text(folder).collect()) == sorted(r.value for r in lines.select("value").collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = inputs.load(spark, str(tmp_path), "page_json", 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above, below = plan.split("Exchange", 1)
+    assert above.count("concat(") > 1 and plan.count("SortMergeJoin") == 2 and "concat(" not in below
+
+
+def test_streams_leave_no_landed_pages(spark, tmp_path, monkeypatch):
+    write_deals(spark, tmp_path, 100)
+    folders, landed = [], cases_tables.landed
+    monkeypatch.setattr(cases_pipelines, "landed", lambda *a, **b: folders.append(landed(*a, **b)) or folders[-1])
+    read = lambda name: QUERIES[name](spark, str(tmp_path))
+    assert read("stream_watermark").count() == 1 and read("stream_batch_stats").first().fetched > 0 and read("stream_deals").count() > 0
+    assert len(folders) == 3 and not any(os.path.exists(f.removeprefix("file:")) for f, _ in folders)
