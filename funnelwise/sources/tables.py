@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import latest_per_id
-from .scratch import delete, subfolders
+from .scratch import delete, shuffles_dropped, subfolders
 
 _NUMBER, _PARTS, _PART = "upto", "key_parts", "key_part"
 #: Folder of a table's added columns; readers of the table skip names that start so.
@@ -30,7 +30,8 @@ def part_of(key: str, parts: int) -> Column:
 
 def _write(df: DataFrame, path: str, key: str, parts: int, mode: str) -> None:
     placed = df.withColumns({_PARTS: F.lit(parts), _PART: part_of(key, parts)})
-    placed.write.partitionBy(_PARTS, _PART).mode(mode).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        placed.write.partitionBy(_PARTS, _PART).mode(mode).parquet(path)
 
 
 def write_snapshot(df: DataFrame, path: str, key: str = "id", parts: int | None = None) -> None:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -154,3 +155,21 @@ def test_streams_leave_no_landed_pages(spark, tmp_path, monkeypatch):
     read = lambda name: QUERIES[name](spark, str(tmp_path))
     assert read("stream_watermark").count() == 1 and read("stream_batch_stats").first().fetched > 0 and read("stream_deals").count() > 0
     assert len(folders) == 3 and not any(os.path.exists(f.removeprefix("file:")) for f, _ in folders)
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {b for b in (blocks.apply(i).toString() for i in range(blocks.size())) if b.startswith("shuffle")}
+
+
+def test_kept_and_stored_tables_leave_no_shuffle_files(spark, tmp_path):
+    before, path = shuffle_files(spark), str(tmp_path / "deals")
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = spark.range(100).selectExpr("CAST(id AS STRING) AS id", "id % 7 AS n").repartition(3)
+    tables.write_snapshot(keep(rows), path, parts=4)
+    tables.apply_changes(keep(rows), path, 1, lambda held, source: held.join(source, "id", "left_semi"))
+    until = time.time() + 20  # files go a little later
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.conf.get(setting) == "false"
+    assert tables.read_table(spark, path).count() == 100
