@@ -96,12 +96,15 @@ def sync_into_table(
     counts = judged.agg(F.count("*").alias("fetched"), F.count("__reasons").alias("failed"), F.max("update_time").alias("newest")).withColumn("loaded", F.lit(0).cast("long"))
     counts = spark.createDataFrame(counts.collect(), counts.schema)
     try:
-        if rejects is not None:
-            rejected = judged.filter(bad.isNotNull()).select(F.col("__rejected").alias("record"), bad.alias("reasons"))
-            rejected.write.mode("overwrite").parquet(f"{rejects}/write={number}")
-        known = table_schema(spark, path, schema, before=number)
-        flat = judged.filter(bad.isNull()).drop("__reasons", "__rejected")
-        prepared = keep(transform_flat(flat, given, dims, known, seq or ["seq"], evolve))
+        try:
+            if rejects is not None:
+                rejected = judged.filter(bad.isNotNull()).select(F.col("__rejected").alias("record"), bad.alias("reasons"))
+                rejected.write.mode("overwrite").parquet(f"{rejects}/write={number}")
+            known = table_schema(spark, path, schema, before=number)
+            flat = judged.filter(bad.isNull()).drop("__reasons", "__rejected")
+            prepared = keep(transform_flat(flat, given, dims, known, seq or ["seq"], evolve))
+        finally:
+            forget(judged)  # before the merge, which needs the disk
         declared = {f.name for f in known.fields}
         more = [f for f in prepared.schema.fields if f.name not in declared]
         if more:
@@ -116,8 +119,6 @@ def sync_into_table(
         if failed is not None:
             failed(summary_row(counts, str(error)).drop("newest"))
         raise
-    finally:
-        forget(judged)
     forget(prepared)
     row = summary_row(counts.withColumn("loaded", F.lit(loaded).cast("long")))
     return row.withColumn("watermark", F.when(F.col("loaded") > 0, next_watermark("newest"))).drop("newest")

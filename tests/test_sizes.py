@@ -173,3 +173,24 @@ def test_kept_and_stored_tables_leave_no_shuffle_files(spark, tmp_path):
         time.sleep(0.2)
     assert not shuffle_files(spark) - before and spark.conf.get(setting) == "false"
     assert tables.read_table(spark, path).count() == 100
+
+
+def no_dims(spark):
+    empty = {
+        "users": "user_id bigint, user_name string", "persons": "person_id bigint, person_name string", "orgs": "org_id bigint, org_name string",
+        "stages": "stage_id bigint, stage_name string, normalized_name string", "pipelines": "pipeline_id bigint, pipeline_name string",
+    }
+    return {n: spark.createDataFrame([], s) for n, s in empty.items()}
+
+
+def test_a_sync_drops_the_judged_records_before_it_merges(spark, tmp_path, monkeypatch):
+    kept, seen, path = [], [], str(tmp_path / "deals")
+    schema = deal_schema(["one"])
+    tables.write_snapshot(spark.createDataFrame([("7", *[None] * (len(schema) - 1))], schema), path, parts=1)
+    there = lambda: [os.path.exists(df.inputFiles()[0].removeprefix("file://")) for df in kept]
+    monkeypatch.setattr(sync, "keep", lambda df: kept.append(keep(df)) or kept[-1])
+    apply = sync.apply_changes
+    monkeypatch.setattr(sync, "apply_changes", lambda *a, **b: seen.append(there()) or apply(*a, **b))
+    raw = spark.createDataFrame([('{"id": 1, "update_time": "2024-01-01 00:00:00"}',)], "value string").select(F.parse_json("value").alias("record"), F.lit(1).alias("seq"))
+    assert sync.sync_into_table(path, 1, raw, no_dims(spark), {"a": "one"}, schema).first().loaded == 1
+    assert seen == [[False, True]] and there() == [False, False]
